@@ -11,12 +11,11 @@ _RANKINGS = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_r
 def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The row with the greatest ``order`` per key (last one wins).
 
-    An aggregate, not a window: each task first reduces its own rows to one per key, so a key
-    held by a large part of the input costs no more than any other.
+    Each task first keeps one row per key of its own input, so a key held by a large part of the
+    rows costs no more than any other; columns nobody asks for are not read.
     """
-    rest = [c for c in df.columns if c != key]
-    best = F.max_by(F.struct(*rest), F.struct(*order)) if rest else F.lit(None)
-    return df.groupBy(key).agg(best.alias("_row")).select(key, *[F.col("_row")[c].alias(c) for c in rest]).select(df.columns)
+    newest = Window.partitionBy(key).orderBy(*[F.desc_nulls_last(c) for c in order])
+    return df.withColumn("_n", F.row_number().over(newest)).filter(F.col("_n") == 1).drop("_n")
 
 
 def distinct_on(df: DataFrame, key: str, newest: str) -> DataFrame:

@@ -32,7 +32,8 @@ def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        none = spark.range(1).filter(F.lit(False))
+        return none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 class KeyedTable:
@@ -91,7 +92,7 @@ class KeyedTable:
 
     def _state(self) -> tuple[int, int]:
         commits = _read(self.spark, f"{self.path}/commits", StructType().add("version", "long").add("folded", "long"))
-        row = commits.agg(F.max(F.struct("version", "folded")).alias("s")).first()["s"]
+        row = commits.orderBy(F.desc("version")).first()
         return (row["version"], row["folded"]) if row else (0, -1)
 
     def _version(self, version: int) -> str:

@@ -126,13 +126,12 @@ def average_flight_distance_per_continent(
     Of a flight's rows over all batches the newest counts; among equally new ones the choice is
     made by the columns used here, so it is the same on every run.
     """
-    one_each = keyed.distinct_on(
-        transitions.select("flight_id", "created_at", F.col("origin_zone_name").alias("continent"), "distance_km"),
-        "flight_id",
-        "created_at",
-    )
+    newest = F.max(F.struct("created_at", F.col("origin_zone_name").alias("continent"), "distance_km"))
+    # The fields are taken out after the join, so that Spark can move it below the aggregate.
+    one_each = transitions.groupBy("flight_id").agg(newest.alias("_newest"))
     return (
         _still_active(one_each, flights, as_of, seconds)
+        .select("_newest.continent", "_newest.distance_km")
         .groupBy("continent")
         .agg(half_even_int(F.avg("distance_km")).alias("average_flight_distance"))
     )

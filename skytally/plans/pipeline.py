@@ -81,7 +81,10 @@ def run_all(
     transition = "airport_and_zone_transition"
     store(
         transition,
-        jobs.airport_and_zone_transition(flights, airports, as_of, transition_seconds, method, replay),
+        # Few rows of a long scan: merge them into files of a fair size.
+        jobs.airport_and_zone_transition(
+            flights, airports, as_of, transition_seconds, method, replay
+        ).hint("rebalance"),
     )
     history = warehouse.snapshots[transition].read()
     store("most_flights_in_progress", jobs.most_flights_in_progress(flights, airlines, as_of, active_seconds))

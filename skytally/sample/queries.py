@@ -257,7 +257,10 @@ def ingest_flights(spark, sf_dir):
     orders, part = _order_stream(spark, sf_dir)
     seen = _messages(orders, part)
     table = KeyedTable(spark, root, FLIGHT)
-    ingest(seen, table, f"{root}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    tasks = spark.sparkContext.defaultParallelism
+    ingest(
+        seen, table, f"{root}/checkpoint", trigger={"availableNow": True}, partitions=tasks
+    ).awaitTermination()
     return table.read().select("id", "airline_iata", "airline_icao", "altitude", "on_ground", "time", "aircraft_model")
 
 

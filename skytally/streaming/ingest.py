@@ -49,19 +49,22 @@ def ingest(
     quarantine: str | None = None,
     on_bad: str = "quarantine",
     trigger: dict | None = None,
+    partitions: int | None = None,
     compact_every: int | None = None,
     after_batch: Callable[[KeyedTable, int], None] | None = None,
 ) -> StreamingQuery:
     """Run the stream of (value, arrival) into the table.
 
     The checkpoint holds the position, so a restart goes on where the last finished batch ended.
+    ``partitions`` spreads a batch's messages over so many tasks where the source has few splits.
     ``compact_every`` folds the deltas after so many batches; ``after_batch`` may run queries over
     the new state.
     """
     quarantine = quarantine or f"{table.path}_quarantine"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, table, batch_id, quarantine, on_bad)
+        spread = batch.repartition(partitions) if partitions else batch
+        ingest_batch(spread, table, batch_id, quarantine, on_bad)
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
         if after_batch:

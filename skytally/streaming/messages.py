@@ -21,32 +21,39 @@ def decode(messages: DataFrame, schema: StructType, value: str = "value") -> Dat
     text = F.col(value).cast("string")
     names = schema.fieldNames()
     as_text = StructType([StructField(n, StringType()) for n in names])
+    keys = F.json_object_keys(text)
+    wanted = F.array(*[F.lit(n) for n in names])
+    # The flaws of the text as a whole, then its members as text, then as values: one step each, so
+    # that no step repeats the work of the one before.
     parsed = messages.select(
         *messages.columns,
-        F.is_valid_utf8(text).alias("_utf8"),
-        F.json_object_keys(text).alias("_keys"),
+        F.when(~F.is_valid_utf8(text), F.lit("not UTF-8")).when(keys.isNull(), F.lit("not a JSON object")).alias("_flaw"),
+        F.array_join(F.array_except(wanted, keys), ", ").alias("_absent"),
         F.from_json(text, as_text).alias("_text"),
     )
-    typed = {f.name: _typed(F.col("_text")[f.name], f.dataType) for f in schema.fields}
-    unfit = F.array_compact(
-        F.array(*[F.when(F.col("_text")[n].isNotNull() & typed[n].isNull(), F.lit(n)) for n in names])
+    typed = parsed.select(
+        *parsed.columns, *[_typed(F.col("_text")[f.name], f.dataType).alias(f.name) for f in schema.fields]
     )
-    empty = F.array_compact(
-        F.array(*[F.when(F.col("_text")[f.name].isNull(), F.lit(f.name)) for f in schema.fields if not f.nullable])
-    )
-    absent = F.array_except(F.array(*[F.lit(n) for n in names]), F.col("_keys"))
+    checked = [f.name for f in schema.fields if not isinstance(f.dataType, StringType)]
+    required = [f.name for f in schema.fields if not f.nullable]
+    unfit = _names_where({n: F.col("_text")[n].isNotNull() & F.col(n).isNull() for n in checked})
+    empty = _names_where({n: F.col(n).isNull() for n in required})
     reason = (
-        F.when(~F.col("_utf8"), F.lit("not UTF-8"))
-        .when(F.col("_keys").isNull(), F.lit("not a JSON object"))
-        .when(F.size(absent) > 0, F.concat(F.lit("absent: "), F.array_join(absent, ", ")))
-        .when(F.size(unfit) > 0, F.concat(F.lit("wrong type: "), F.array_join(unfit, ", ")))
-        .when(F.size(empty) > 0, F.concat(F.lit("NULL key: "), F.array_join(empty, ", ")))
+        F.when(F.col("_flaw").isNotNull(), F.col("_flaw"))
+        .when(F.col("_absent") != "", F.concat(F.lit("absent: "), "_absent"))
+        .when(unfit != "", F.concat(F.lit("wrong type: "), unfit))
+        .when(empty != "", F.concat(F.lit("NULL key: "), empty))
     )
-    return parsed.select(*messages.columns, *[typed[n].alias(n) for n in names], reason.alias("_reason"))
+    return typed.select(*messages.columns, *names, reason.alias("_reason"))
+
+
+def _names_where(conditions: dict[str, Column]) -> Column:
+    """The names whose condition holds, as one text."""
+    return F.concat_ws(", ", *[F.when(condition, F.lit(n)) for n, condition in conditions.items()])
 
 
 def _typed(text: Column, kind: DataType) -> Column:
     if isinstance(kind, IntegerType):
         # A number with a fraction is rounded on assignment, halves away from zero.
-        return F.round(text.try_cast("decimal(38,10)")).try_cast("int")
+        return F.round(text.try_cast("double")).try_cast("int")
     return text.try_cast(kind)
