@@ -8,10 +8,14 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 CELL_ROWS = ArrayType(ArrayType(StringType()))
 
+# Order of files by landing time, and of the splits of a file.
+_FILE = ("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
+
 
 def read_feed(spark: SparkSession, path: str, schema: StructType | str, format: str = "json", **options) -> DataFrame:
     """Landed feed records with ``_arrival``, their position in the feed."""
-    return _with_file_position(spark.read.schema(schema).options(**options).format(format).load(path))
+    feed = spark.read.schema(schema).options(**options).format(format).load(path)
+    return feed.select("*", F.struct(*_FILE, F.monotonically_increasing_id().alias("row")).alias("_arrival"))
 
 
 def read_reference(spark: SparkSession, path: str, value: StructType | ArrayType | str) -> DataFrame:
@@ -59,9 +63,9 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options) ->
 
 
 def landed_messages(spark: SparkSession, path: str, **options) -> DataFrame:
-    """The same stream out of text files with one message per line."""
+    """The same stream out of text files with one message per line, ordered by landing time."""
     raw = spark.readStream.format("text").options(**options).load(path)
-    return _with_file_position(raw, "arrival").select(F.col("value").cast("binary").alias("value"), "arrival")
+    return raw.select(F.col("value").cast("binary").alias("value"), F.struct(*_FILE).alias("arrival"))
 
 
 def landed_observations(spark: SparkSession, path: str, schema: StructType, format: str = "json", **options) -> DataFrame:
@@ -72,15 +76,3 @@ def landed_observations(spark: SparkSession, path: str, schema: StructType, form
 def topic_table(topic: str) -> str:
     """``raw_flight_data`` feeds the table ``flight``."""
     return topic.split("_")[1]
-
-
-def _with_file_position(df: DataFrame, name: str = "_arrival") -> DataFrame:
-    """Add the order of files by landing time, and of rows in their file."""
-    meta = F.col("_metadata")
-    position = F.struct(
-        meta["file_modification_time"].alias("landed"),
-        meta["file_path"].alias("file"),
-        meta["file_block_start"].alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    return df.select("*", position.alias(name))

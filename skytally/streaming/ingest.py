@@ -63,7 +63,9 @@ def ingest(
     quarantine = quarantine or f"{table.path}_quarantine"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spread = batch.repartition(partitions) if partitions else batch
+        # Where arrivals are equal (lines of one file), the order of reading decides.
+        numbered = batch.withColumn("arrival", F.struct("arrival", F.monotonically_increasing_id().alias("row")))
+        spread = numbered.repartition(partitions) if partitions else numbered
         ingest_batch(spread, table, batch_id, quarantine, on_bad)
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()

@@ -26,7 +26,7 @@ def spark():
             "spark.driver.memory": "4g",
         },
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
 
