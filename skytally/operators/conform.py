@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     CharType,
@@ -13,34 +13,37 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     StringType,
+    StructField,
     StructType,
     VarcharType,
 )
 
-from skytally.functions.clock import half_even_int
+_NUMBERS = (LongType, FloatType, DoubleType, DecimalType)
 
-_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
-
-def _fail(message: str, kind: DataType) -> Column:
-    return F.raise_error(F.lit(message)).cast(kind)
-
-
-def _assign(c: Column, name: str, source: DataType, target: DataType) -> Column:
+def _assign(field: StructField, source: DataType) -> str:
+    """SQL text that assigns the column of the field's name to the field."""
+    name, column, target = field.name, f"`{field.name}`", field.dataType
     if isinstance(target, (VarcharType, CharType)):
-        text = c.cast("string")
-        too_long = _fail(f"{name}: text longer than {target.length}", StringType())
-        return F.when(F.length(text) > target.length, too_long).otherwise(text)
-    if isinstance(target, IntegerType) and isinstance(source, (LongType, FloatType, DoubleType, DecimalType)):
-        fits = c.isNull() | c.between(_INT_MIN, _INT_MAX)
-        if isinstance(source, LongType):
-            value = c.cast("int")
+        limit = target.length
+        value = f"string({column})"
+        value = f"CASE WHEN length({value}) > {limit} THEN raise_error('{name}: text longer than {limit}') ELSE {value} END"
+    elif isinstance(target, IntegerType) and isinstance(source, _NUMBERS):
+        # Floating numbers go to the even neighbour, decimal ones away from zero.
+        whole = column
+        if isinstance(source, (FloatType, DoubleType)):
+            whole = f"bround(double({column}), 0)"
         elif isinstance(source, DecimalType):
-            value = F.round(c).cast("int")
-        else:
-            value = half_even_int(c.cast("double"))
-        return F.when(~fits, _fail(f"{name}: integer out of range", IntegerType())).otherwise(value)
-    return c.cast(target)
+            whole = f"round({column})"
+        value = (
+            f"CASE WHEN {whole} NOT BETWEEN -2147483648 AND 2147483647 "
+            f"THEN raise_error('{name}: integer out of range') ELSE int({whole}) END"
+        )
+    else:
+        value = f"CAST({column} AS {target.simpleString()})"
+    if not field.nullable:
+        value = f"coalesce({value}, raise_error('{name}: NULL in a required column'))"
+    return f"{value} AS {column}"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -49,14 +52,8 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     Too long a text, too large a number or a NULL in a required column raises when the row is
     computed, so the whole batch fails and nothing of it is stored.
     """
-    columns = []
-    for field in schema.fields:
-        value = _assign(F.col(field.name), field.name, df.schema[field.name].dataType, field.dataType)
-        if not field.nullable:
-            kind = StringType() if isinstance(field.dataType, (VarcharType, CharType)) else field.dataType
-            value = F.coalesce(value, _fail(f"{field.name}: NULL in a required column", kind))
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+    sources = {f.name: f.dataType for f in df.schema.fields}
+    return df.selectExpr(*[_assign(f, sources[f.name]) for f in schema.fields])
 
 
 def split_nulls(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -25,15 +25,20 @@ from skytally.operators.keyed import latest_per_key
 from skytally.schemas import KeyedSpec, SnapshotSpec
 
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Rows below the path; none if nothing was written there yet."""
+def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """Rows below the path, or None if nothing was written there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        none = spark.range(1).filter(F.lit(False))
-        return none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+        return None
+
+
+def _no_rows(schema: StructType) -> str:
+    """SQL text of an empty relation."""
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    return f"(SELECT {columns} WHERE false)"
 
 
 class KeyedTable:
@@ -63,14 +68,28 @@ class KeyedTable:
     def read(self) -> DataFrame:
         """The current row of each key."""
         version, _ = self._state()
-        return self._overlay(self._base(version), self._deltas(version))
+        base, deltas = self._base(version), self._deltas(version)
+        frames = {name: df for name, df in (("base", base), ("deltas", deltas)) if df is not None}
+        return self.spark.sql(self._current("{base}" if base else None, "{deltas}" if deltas else None), **frames)
+
+    def definition(self) -> str:
+        """SQL text of the current rows, for a view; it holds until the table changes."""
+        version, _ = self._state()
+        folder = self._version(version)
+        return self._current(
+            f"parquet.`{folder}/base`" if self._base(version) else None,
+            f"parquet.`{folder}/deltas`" if self._deltas(version) else None,
+        )
 
     def compact(self) -> None:
         """Fold all batches so far into a new base, stored in the table's cluster order."""
         version, folded = self._state()
-        newest = self._deltas(version).agg(F.max("batch_id")).first()[0]
-        if newest is None:
+        deltas = self._deltas(version)
+        if deltas is None:
             return
+        newest = deltas.agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            newest = folded
         rows = self.read()
         if self.spec.cluster_by:
             rows = rows.repartitionByRange(*self.spec.cluster_by).sortWithinPartitions(*self.spec.cluster_by)
@@ -80,28 +99,38 @@ class KeyedTable:
             F.lit(version + 1).cast("long").alias("version"), F.lit(max(newest, folded)).cast("long").alias("folded")
         ).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
-    def _overlay(self, base: DataFrame, deltas: DataFrame) -> DataFrame:
-        key, columns = self.spec.key, self.spec.schema.fieldNames()
-        changed = deltas.select(key).distinct()
-        candidates = deltas
-        if self.order_by:
-            old = base.join(changed, key, "left_semi").withColumn("batch_id", F.lit(-1).cast("long"))
-            candidates = deltas.unionByName(old)
-        newest = latest_per_key(candidates, key, [*self.order_by, "batch_id"])
-        return base.join(changed, key, "left_anti").select(columns).unionByName(newest.select(columns))
+    def _current(self, base: str | None, deltas: str | None) -> str:
+        """SQL text that overlays the deltas on the base, given the names of both."""
+        key = f"`{self.spec.key}`"
+        columns = ", ".join(f"`{c}`" for c in self.spec.schema.fieldNames())
+        if deltas is None:
+            return f"SELECT {columns} FROM {base or _no_rows(storage_schema(self.spec.schema))}"
+        changed = f"(SELECT DISTINCT {key} FROM {deltas}) AS changed ON changed.{key} = base.{key}"
+        candidates = f"SELECT {columns}, batch_id FROM {deltas}"
+        if base and self.order_by:
+            old = ", ".join(f"base.`{c}`" for c in self.spec.schema.fieldNames())
+            candidates += f" UNION ALL SELECT {old}, -1 FROM {base} AS base LEFT SEMI JOIN {changed}"
+        order = ", ".join(f"`{c}` DESC NULLS LAST" for c in [*self.order_by, "batch_id"])
+        newest = (
+            f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _n "
+            f"FROM ({candidates})) WHERE _n = 1"
+        )
+        if base is None:
+            return newest
+        return f"SELECT {columns} FROM {base} AS base LEFT ANTI JOIN {changed} UNION ALL {newest}"
 
     def _state(self) -> tuple[int, int]:
         commits = _read(self.spark, f"{self.path}/commits", StructType().add("version", "long").add("folded", "long"))
-        row = commits.orderBy(F.desc("version")).first()
+        row = commits.orderBy(F.desc("version")).first() if commits else None
         return (row["version"], row["folded"]) if row else (0, -1)
 
     def _version(self, version: int) -> str:
         return f"{self.path}/version={version}"
 
-    def _base(self, version: int) -> DataFrame:
+    def _base(self, version: int) -> DataFrame | None:
         return _read(self.spark, f"{self._version(version)}/base", storage_schema(self.spec.schema))
 
-    def _deltas(self, version: int) -> DataFrame:
+    def _deltas(self, version: int) -> DataFrame | None:
         schema = storage_schema(self.spec.schema).add("batch_id", LongType())
         return _read(self.spark, f"{self._version(version)}/deltas", schema)
 
@@ -126,7 +155,9 @@ class SnapshotTable:
 
     def read(self) -> DataFrame:
         """Rows of all runs, with ``batch_id``."""
-        return _read(self.spark, self.path, storage_schema(self.spec.schema).add("batch_id", LongType()))
+        schema = storage_schema(self.spec.schema).add("batch_id", LongType())
+        rows = _read(self.spark, self.path, schema)
+        return rows if rows is not None else self.spark.sql(f"SELECT * FROM {_no_rows(schema)}")
 
     def batch(self, batch_id: int) -> DataFrame:
         return self.read().filter(F.col("batch_id") == batch_id)

@@ -54,12 +54,12 @@ def airport_and_zone_transition(
     ends = ["origin_airport_iata", "destination_airport_iata"]
     legs = active.select(*ends).distinct()
     for end in ("origin", "destination"):
-        side = airports.select(
-            F.col("iata").alias(f"_{end}"),
-            F.col("name").alias(f"{end}_airport_name"),
-            F.col("latitude").alias(f"{end}_airport_latitude"),
-            F.col("longitude").alias(f"{end}_airport_longitude"),
-            F.col("continent").alias(f"{end}_zone_name"),
+        side = airports.selectExpr(
+            f"iata AS _{end}",
+            f"name AS {end}_airport_name",
+            f"latitude AS {end}_airport_latitude",
+            f"longitude AS {end}_airport_longitude",
+            f"continent AS {end}_zone_name",
         )
         legs = fan_out(legs, side, f"{end}_airport_iata", f"_{end}")
     length = geodesic_km(
@@ -70,8 +70,8 @@ def airport_and_zone_transition(
         method,
     )
     legs = legs.withColumn("distance_km", length.cast("float"))
-    return active.join(legs, ends).select(
-        F.col("id").alias("flight_id"), "airline_iata", "airline_icao", *[c for c in legs.columns if c not in ends]
+    return active.join(legs, ends).selectExpr(
+        "id AS flight_id", "airline_iata", "airline_icao", *[c for c in legs.columns if c not in ends]
     )
 
 

@@ -22,13 +22,14 @@ class Warehouse:
         self.snapshots = {s.name: SnapshotTable(spark, root, s) for s in schemas.SNAPSHOTS}
 
     def create_catalog(self) -> None:
-        """Create the three databases and the snapshot tables where absent, so SQL can name them.
+        """Create the three databases, the snapshot tables and views of the current rows for SQL users.
 
-        The tables lie over the folders the jobs write; call again (or MSCK REPAIR TABLE) to show
-        new batches.
+        They lie over the folders the jobs write; call again to show new batches.
         """
         for database in ("raw_data", "processed_data", "analytics_data"):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        for table in (self.flight, self.airline, self.airport):
+            self.spark.sql(f"CREATE OR REPLACE VIEW raw_data.{table.spec.name} AS {table.definition()}")
         for table in self.snapshots.values():
             name = f"{table.spec.database}.{table.spec.name}"
             columns = ", ".join(

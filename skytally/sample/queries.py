@@ -48,13 +48,15 @@ def transitions(spark: SparkSession, sf_dir: str, as_of: int, method: str = "sph
     )
 
 
-def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """Two batches of transitions, stamped with their clocks."""
-    batches = [
-        transitions(spark, sf_dir, as_of).withColumn("created_at", F.timestamp_seconds(F.lit(as_of)))
+    early, late = (
+        jobs.airport_and_zone_transition(flights, airports, as_of, TRANSITION, replay=True).selectExpr(
+            "*", f"timestamp_seconds({as_of}) AS created_at"
+        )
         for as_of in (EARLIER, AS_OF)
-    ]
-    return batches[0].unionByName(batches[1])
+    )
+    return early.unionByName(late)
 
 
 # --- whole jobs -------------------------------------------------------------------------------
@@ -84,26 +86,30 @@ def aircraft_model_per_airline_country(spark, sf_dir):
 
 @query
 def airline_with_most_active_flights_per_continent(spark, sf_dir):
+    flights = views.flights(spark, sf_dir)
     return jobs.airline_with_most_active_flights_per_continent(
-        history(spark, sf_dir), views.airlines(spark, sf_dir), views.flights(spark, sf_dir), AS_OF, ACTIVE
+        history(flights, views.airports(spark, sf_dir)), views.airlines(spark, sf_dir), flights, AS_OF, ACTIVE
     )
 
 
 @query
 def average_flight_distance_per_continent(spark, sf_dir):
+    flights = views.flights(spark, sf_dir)
     return jobs.average_flight_distance_per_continent(
-        history(spark, sf_dir), views.flights(spark, sf_dir), AS_OF, ACTIVE
+        history(flights, views.airports(spark, sf_dir)), flights, AS_OF, ACTIVE
     )
 
 
 @query
 def current_longest_flight(spark, sf_dir):
-    return jobs.current_longest_flight(history(spark, sf_dir)).withColumn("distance_km", _km())
+    transitions = history(views.flights(spark, sf_dir), views.airports(spark, sf_dir))
+    return jobs.current_longest_flight(transitions).withColumn("distance_km", _km())
 
 
 @query
 def current_longest_flight_known(spark, sf_dir):
-    return jobs.current_longest_flight(history(spark, sf_dir), nulls="last").withColumn("distance_km", _km())
+    transitions = history(views.flights(spark, sf_dir), views.airports(spark, sf_dir))
+    return jobs.current_longest_flight(transitions, nulls="last").withColumn("distance_km", _km())
 
 
 @query
@@ -469,7 +475,7 @@ EVENT_NEWEST = KeyedSpec(
 def upsert_event_time(spark, sf_dir):
     """The same batches, but the event with the greatest time wins."""
     table = KeyedTable(spark, shared_dir(spark, "upsert"), EVENT_NEWEST, order_by=("seen", "event_id"))
-    events = views.table(spark, sf_dir, "events").withColumn("seen", views.epoch("ts"))
+    events = views.table(spark, sf_dir, "events").withColumn("seen", F.expr(views.epoch("ts")))
     batch = F.when(F.col("event_type") == "click", 2).when(F.col("event_type") == "error", 1).otherwise(0)
     for number in (0, 1, 2):
         table.upsert(events.filter(batch == number), number)
@@ -592,7 +598,7 @@ def flatten_cells(spark, sf_dir):
 def window_threshold(spark, sf_dir):
     """Start of a 600 s window before each event, rounded to whole seconds."""
     fraction = F.date_part(F.lit("SECOND"), "ts") - F.second("ts")
-    stamp = F.timestamp_micros(views.epoch("ts").cast("long") * 1000000 + (fraction * 1000000).cast("long"))
+    stamp = F.timestamp_micros(F.expr(views.epoch("ts")).cast("long") * 1000000 + (fraction * 1000000).cast("long"))
     return views.table(spark, sf_dir, "events").select("event_id", window_start(stamp, 600).alias("threshold"))
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The newest order date of the sample data, and the windows that stand for 600 s and 300 s.
 AS_OF = 996624000
@@ -14,87 +16,83 @@ ACTIVE = 90 * 86400
 TRANSITION = 45 * 86400
 
 
+@functools.cache
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A sample table; its schema is read from the files once per session."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
-def epoch(c: str) -> Column:
+def epoch(c: str) -> str:
     """Seconds since 1970 of a timestamp without zone, whatever the session's zone is."""
-    day = F.unix_date(F.col(c).cast("date")) * 86400
-    return (day + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("int")
+    return f"int(unix_date(date({c})) * 86400 + hour({c}) * 3600 + minute({c}) * 60 + second({c}))"
 
 
 def instant(seconds: int) -> datetime:
     return datetime.fromtimestamp(seconds, timezone.utc)
 
 
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     places = (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     )
-    unknown = key % 41 == 0
-    return places.select(
-        F.col("c_name").alias("icao"),
-        (key % 3000).cast("int").alias("altitude"),
-        F.col("n_name").alias("country"),
-        F.when(key % 50 == 49, F.lit(""))
-        .otherwise(_text("A", key - F.when(key % 10 == 9, 1).otherwise(0)))
-        .alias("iata"),
-        F.when(~unknown, (key * 37 % 170 - 85).cast("float")).alias("latitude"),
-        F.when(~unknown, (key * 73 % 358 - 179).cast("float")).alias("longitude"),
-        F.concat(F.lit("Airport "), "c_name").alias("name"),
-        F.col("r_name").alias("continent"),
+    return places.selectExpr(
+        "c_name AS icao",
+        "int(c_custkey % 3000) AS altitude",
+        "n_name AS country",
+        "CASE WHEN c_custkey % 50 = 49 THEN '' ELSE concat('A', string(c_custkey - if(c_custkey % 10 = 9, 1, 0))) END AS iata",
+        "CASE WHEN c_custkey % 41 != 0 THEN float(c_custkey * 37 % 170 - 85) END AS latitude",
+        "CASE WHEN c_custkey % 41 != 0 THEN float(c_custkey * 73 % 358 - 179) END AS longitude",
+        "concat('Airport ', c_name) AS name",
+        "r_name AS continent",
     )
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            _text("S", F.col("s_suppkey")).alias("icao"),
-            _text("C", F.col("s_suppkey") % 10).alias("code"),
-            F.col("s_name").alias("name"),
-            F.col("n_name").alias("country"),
-        )
+    suppliers = table(spark, sf_dir, "supplier").join(
+        table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey")
+    )
+    return suppliers.selectExpr(
+        "concat('S', string(s_suppkey)) AS icao",
+        "concat('C', string(s_suppkey % 10)) AS code",
+        "s_name AS name",
+        "n_name AS country",
     )
 
 
 def observations(orders: DataFrame, part: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One flight per order; the 20 columns of the flight table, after the order's own to ``keep``."""
-    key = F.col("o_orderkey")
     # The remainder is below 250 and part keys are unique: at most 250 rows are broadcast.
-    models = F.broadcast(part.filter(F.col("p_partkey").between(0, 249)).select("p_partkey", "p_name"))
-    absent = F.lit(None)
-    return orders.join(models, F.col("p_partkey") == key % 250, "left").select(
+    models = F.broadcast(part.filter("p_partkey BETWEEN 0 AND 249").select("p_partkey", "p_name"))
+    return orders.join(models, F.expr("p_partkey = o_orderkey % 250"), "left").selectExpr(
         *keep,
-        key.cast("string").alias("id"),
-        absent.cast("string").alias("aircraft_code"),
-        F.when(key % 11 == 0, F.lit("")).when(key % 13 != 0, _text("C", key % 12)).alias("airline_iata"),
-        _text("S", key % 100).alias("airline_icao"),
-        (key % 40000).cast("int").alias("altitude"),
-        absent.cast("string").alias("callsign"),
-        _text("A", (key * 13 + 7) % 150).alias("destination_airport_iata"),
-        absent.cast("int").alias("ground_speed"),
-        absent.cast("int").alias("heading"),
-        absent.cast("string").alias("icao_24bit"),
-        absent.cast("float").alias("latitude"),
-        absent.cast("float").alias("longitude"),
-        absent.cast("string").alias("number"),
-        (F.col("o_orderstatus") == "F").cast("int").alias("on_ground"),
-        _text("A", F.col("o_custkey")).alias("origin_airport_iata"),
-        absent.cast("string").alias("registration"),
-        absent.cast("string").alias("squawk"),
-        epoch("o_orderdate").alias("time"),
-        absent.cast("int").alias("vertical_speed"),
-        F.col("p_name").alias("aircraft_model"),
+        "string(o_orderkey) AS id",
+        "string(NULL) AS aircraft_code",
+        "CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 13 != 0 THEN concat('C', string(o_orderkey % 12)) END"
+        " AS airline_iata",
+        "concat('S', string(o_orderkey % 100)) AS airline_icao",
+        "int(o_orderkey % 40000) AS altitude",
+        "string(NULL) AS callsign",
+        "concat('A', string((o_orderkey * 13 + 7) % 150)) AS destination_airport_iata",
+        "int(NULL) AS ground_speed",
+        "int(NULL) AS heading",
+        "string(NULL) AS icao_24bit",
+        "float(NULL) AS latitude",
+        "float(NULL) AS longitude",
+        "string(NULL) AS number",
+        "int(o_orderstatus = 'F') AS on_ground",
+        "concat('A', string(o_custkey)) AS origin_airport_iata",
+        "string(NULL) AS registration",
+        "string(NULL) AS squawk",
+        f"{epoch('o_orderdate')} AS time",
+        "int(NULL) AS vertical_speed",
+        "p_name AS aircraft_model",
     )
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 
 def to_messages(df: DataFrame) -> DataFrame:
@@ -18,42 +18,40 @@ def decode(messages: DataFrame, schema: StructType, value: str = "value") -> Dat
     Members the schema does not name are ignored.  A member that is null is a NULL; a member that
     is absent, or whose text does not fit the column's type, is a reason to refuse the message.
     """
-    text = F.col(value).cast("string")
-    names = schema.fieldNames()
-    as_text = StructType([StructField(n, StringType()) for n in names])
-    keys = F.json_object_keys(text)
-    wanted = F.array(*[F.lit(n) for n in names])
+    kept = [f"`{c}`" for c in messages.columns]
+    fields = schema.fields
+    names = ", ".join(f"'{f.name}'" for f in fields)
+    members = ", ".join(f"`{f.name}` STRING" for f in fields)
+    text = f"string({value})"
     # The flaws of the text as a whole, then its members as text, then as values: one step each, so
     # that no step repeats the work of the one before.
-    parsed = messages.select(
-        *messages.columns,
-        F.when(~F.is_valid_utf8(text), F.lit("not UTF-8")).when(keys.isNull(), F.lit("not a JSON object")).alias("_flaw"),
-        F.array_join(F.array_except(wanted, keys), ", ").alias("_absent"),
-        F.from_json(text, as_text).alias("_text"),
+    parsed = messages.selectExpr(
+        *kept,
+        f"CASE WHEN NOT is_valid_utf8({text}) THEN 'not UTF-8'"
+        f" WHEN json_object_keys({text}) IS NULL THEN 'not a JSON object' END AS _flaw",
+        f"array_join(array_except(array({names}), json_object_keys({text})), ', ') AS _absent",
+        f"from_json({text}, '{members}') AS _text",
     )
-    typed = parsed.select(
-        *parsed.columns, *[_typed(F.col("_text")[f.name], f.dataType).alias(f.name) for f in schema.fields]
-    )
-    checked = [f.name for f in schema.fields if not isinstance(f.dataType, StringType)]
-    required = [f.name for f in schema.fields if not f.nullable]
-    unfit = _names_where({n: F.col("_text")[n].isNotNull() & F.col(n).isNull() for n in checked})
-    empty = _names_where({n: F.col(n).isNull() for n in required})
-    reason = (
-        F.when(F.col("_flaw").isNotNull(), F.col("_flaw"))
-        .when(F.col("_absent") != "", F.concat(F.lit("absent: "), "_absent"))
-        .when(unfit != "", F.concat(F.lit("wrong type: "), unfit))
-        .when(empty != "", F.concat(F.lit("NULL key: "), empty))
-    )
-    return typed.select(*messages.columns, *names, reason.alias("_reason"))
-
-
-def _names_where(conditions: dict[str, Column]) -> Column:
-    """The names whose condition holds, as one text."""
-    return F.concat_ws(", ", *[F.when(condition, F.lit(n)) for n, condition in conditions.items()])
-
-
-def _typed(text: Column, kind: DataType) -> Column:
-    if isinstance(kind, IntegerType):
+    typed = parsed.selectExpr("*", *[f"{_typed(f)} AS `{f.name}`" for f in fields])
+    checked = [f for f in fields if not isinstance(f.dataType, StringType)]
+    unfit = _names_where({f.name: f"_text.`{f.name}` IS NOT NULL AND `{f.name}` IS NULL" for f in checked})
+    empty = _names_where({f.name: f"`{f.name}` IS NULL" for f in fields if not f.nullable})
+    reason = f"""CASE WHEN _flaw IS NOT NULL THEN _flaw
+        WHEN _absent != '' THEN concat('absent: ', _absent)
+        WHEN {unfit} != '' THEN concat('wrong type: ', {unfit})
+        WHEN {empty} != '' THEN concat('NULL key: ', {empty}) END AS _reason"""
+    return typed.selectExpr(*kept, *[f"`{f.name}`" for f in fields], reason)
+
+
+def _names_where(conditions: dict[str, str]) -> str:
+    """SQL text for the names whose condition holds, as one text."""
+    found = [f"CASE WHEN {condition} THEN '{name}' END" for name, condition in conditions.items()]
+    return f"concat_ws(', ', {', '.join(found)})" if found else "''"
+
+
+def _typed(field: StructField) -> str:
+    text = f"_text.`{field.name}`"
+    if isinstance(field.dataType, IntegerType):
         # A number with a fraction is rounded on assignment, halves away from zero.
-        return F.round(text.try_cast("double")).try_cast("int")
-    return text.try_cast(kind)
+        return f"try_cast(round(try_cast({text} AS DOUBLE)) AS INT)"
+    return f"try_cast({text} AS {field.dataType.simpleString()})"

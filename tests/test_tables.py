@@ -8,6 +8,7 @@ from conftest import AS_OF, flight, frame, rows
 from pyspark.sql import functions as F
 
 from skytally import schemas
+from skytally.plans import jobs
 from skytally.operators.tables import KeyedTable, SnapshotTable
 from skytally.plans.pipeline import Warehouse, run_all
 
@@ -130,15 +131,60 @@ def test_run_all(spark, warehouse):
 
 def test_catalog_names_the_tables(spark, warehouse):
     run_all(warehouse, AS_OF, on_null="quarantine")
+    warehouse.flight.compact()
     warehouse.create_catalog()
+    warehouse.flight.upsert(messages(spark, [("f1", 5), ("new", 6)]), 1, "arrival")
     warehouse.create_catalog()
-    found = spark.sql("SELECT builder, flight_count FROM analytics_data.most_active_flights_per_builder")
-    assert found.count() == 6
-    kinds = dict(spark.table("processed_data.most_flights_in_progress").dtypes)
-    assert kinds["airline_code"] == "varchar(100)" or kinds["airline_code"] == "string"
-    for row in spark.sql("SHOW TABLES IN analytics_data").collect():
-        spark.sql(f"DROP TABLE analytics_data.{row['tableName']}")
-    for row in spark.sql("SHOW TABLES IN processed_data").collect():
-        spark.sql(f"DROP TABLE processed_data.{row['tableName']}")
+    try:
+        found = spark.sql("SELECT builder, flight_count FROM analytics_data.most_active_flights_per_builder")
+        assert found.count() == 6
+        joined = spark.sql(
+            """SELECT f.id, a.name FROM raw_data.flight f JOIN raw_data.airline a ON f.airline_icao = a.icao
+            WHERE f.time < 10"""
+        )
+        assert rows(joined) == [("f1", "Alpha"), ("new", "Alpha")]
+        assert spark.sql("SELECT * FROM raw_data.airport").count() == 6
+    finally:
+        for database in ("raw_data", "processed_data", "analytics_data"):
+            spark.sql(f"DROP DATABASE {database} CASCADE")
     warehouse.register_views()
-    assert spark.sql("SELECT * FROM flight").count() == 7
+    assert spark.sql("SELECT * FROM flight").count() == 8
+
+
+def test_hot_route_is_split_in_a_shuffled_join(spark, airports):
+    """A third of the flights on one route: the join's hot partition is split, and no row is lost."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        hot = F.expr("id % 3 = 0")
+        many = spark.range(0, n, 1, 8).select(
+            F.col("id").cast("string").alias("id"),
+            F.lit("AA").alias("airline_iata"),
+            F.lit("AAA").alias("airline_icao"),
+            F.when(hot, "P1").otherwise(F.concat(F.lit("Q"), F.expr("string(id % 500)"))).alias("origin_airport_iata"),
+            F.lit("P3").alias("destination_airport_iata"),
+            F.lit(AS_OF).alias("time"),
+        )
+        others = spark.range(500).selectExpr(
+            "concat('J', id) icao", "0 altitude", "'x' country", "concat('Q', id) iata", "float(1) latitude",
+            "float(id % 90) longitude", "'n' name", "'Asia' continent",
+        )
+        found = jobs.airport_and_zone_transition(many, airports.unionByName(others), AS_OF)
+        assert found.count() == n
+        found.write.format("noop").mode("overwrite").save()
+        collected = found.select("flight_id", "origin_airport_name")
+        assert len(collected.collect()) == n
+        assert "skew=true" in collected._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
