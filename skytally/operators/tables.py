@@ -2,9 +2,9 @@
 
 ``KeyedTable`` holds the current row of each key.  An upsert only writes its own rows, collapsed to
 one per key, to a folder named after the batch; a retried batch rewrites that folder and changes
-nothing.  Readers overlay these deltas on the base, and ``compact`` folds them into a new base, so
-the base is rewritten at that pace and not per micro-batch.  A filter on the current rows is pushed
-into the scan of the base.
+nothing.  Readers overlay these deltas on the base.  ``compact`` folds them into it: it rewrites the
+segments (for flights: days) that hold a changed key, each to a new version folder, and then commits
+one row per segment, which says what version readers take.
 
 ``SnapshotTable`` holds the result rows of every run, one folder per batch.
 
@@ -14,6 +14,7 @@ Each table has one writer at a time; readers need no lock.
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from skytally.operators.conform import conform, storage_schema
 from skytally.operators.keyed import latest_per_key
 from skytally.schemas import KeyedSpec, SnapshotSpec
 
+_COMMIT = StructType().add("version", LongType()).add("folded", LongType()).add("segment", LongType())
+
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """Rows below the path, or None if nothing was written there yet."""
@@ -41,6 +44,18 @@ def _no_rows(schema: StructType) -> str:
     return f"(SELECT {columns} WHERE false)"
 
 
+def _is_live(live: dict[int, int]) -> str:
+    """SQL condition on the partition columns: only folders of live versions are read."""
+    versions = ", ".join(f"{s}L, {v}L" for s, v in sorted(live.items()))
+    return f"try_element_at(map({versions}), bigint(segment)) = version"
+
+
+class _State(NamedTuple):
+    version: int
+    folded: int
+    live: dict[int, int]
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, spec: KeyedSpec, order_by: tuple[str, ...] = ()):
         """By default the last arrival wins; with ``order_by`` (e.g. ``("time",)``) the greatest value does."""
@@ -51,88 +66,106 @@ class KeyedTable:
 
     def upsert(self, rows: DataFrame, batch_id: int, arrival: str | None = None) -> None:
         """Insert the rows, replacing those with the same key; ``arrival`` orders rows of one batch."""
-        version, folded = self._state()
-        if batch_id <= folded:
+        state = self._state()
+        if batch_id <= state.folded:
             return
-        order = [*self.order_by, *([arrival] if arrival else [])]
         columns = self.spec.schema.fieldNames()
-        if order:
-            extra = [c for c in order if c not in columns]
-            rows = latest_per_key(rows.select(*columns, *extra), self.spec.key, order)
-        else:
-            rows = latest_per_key(rows.select(*columns), self.spec.key, [c for c in columns if c != self.spec.key])
-        conform(rows, self.spec.schema).write.mode("overwrite").parquet(
-            f"{self._version(version)}/deltas/batch_id={batch_id}"
+        order = [*self.order_by, *([arrival] if arrival else [])] or [c for c in columns if c != self.spec.key]
+        latest = latest_per_key(
+            rows.select(*columns, *[c for c in order if c not in columns]), self.spec.key, order
+        )
+        conform(latest, self.spec.schema).write.mode("overwrite").parquet(
+            f"{self._delta_path(state)}/batch_id={batch_id}"
         )
 
-    def read(self) -> DataFrame:
-        """The current row of each key."""
-        version, _ = self._state()
-        base, deltas = self._base(version), self._deltas(version)
-        frames = {name: df for name, df in (("base", base), ("deltas", deltas)) if df is not None}
-        return self.spark.sql(self._current("{base}" if base else None, "{deltas}" if deltas else None), **frames)
+    def read(self, since: int | None = None) -> DataFrame:
+        """The current row of each key.
+
+        ``since`` skips the folders of all lower segments, for callers whose filter drops those
+        rows anyway.
+        """
+        state = self._state()
+        live = {s: v for s, v in state.live.items() if since is None or s >= since}
+        return self._overlay(live, self._deltas(state))
 
     def definition(self) -> str:
         """SQL text of the current rows, for a view; it holds until the table changes."""
-        version, _ = self._state()
-        folder = self._version(version)
+        state = self._state()
+        deltas = self._deltas(state)
         return self._current(
-            f"parquet.`{folder}/base`" if self._base(version) else None,
-            f"parquet.`{folder}/deltas`" if self._deltas(version) else None,
+            f"parquet.`{self.path}/base`", state.live, deltas and f"parquet.`{self._delta_path(state)}`"
         )
 
     def compact(self) -> None:
-        """Fold all batches so far into a new base, stored in the table's cluster order."""
-        version, folded = self._state()
-        deltas = self._deltas(version)
-        if deltas is None:
-            return
-        newest = deltas.agg(F.max("batch_id")).first()[0]
+        """Fold all batches so far into the base."""
+        state = self._state()
+        deltas = self._deltas(state)
+        newest = deltas.agg(F.max("batch_id")).first()[0] if deltas else None
         if newest is None:
-            newest = folded
-        rows = self.read()
-        if self.spec.cluster_by:
-            rows = rows.repartitionByRange(*self.spec.cluster_by).sortWithinPartitions(*self.spec.cluster_by)
-        rows.write.mode("overwrite").parquet(f"{self._version(version + 1)}/base")
-        # Readers move to the new base with this row; until then it is invisible.
-        self.spark.range(1).select(
-            F.lit(version + 1).cast("long").alias("version"), F.lit(max(newest, folded)).cast("long").alias("folded")
-        ).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-
-    def _current(self, base: str | None, deltas: str | None) -> str:
-        """SQL text that overlays the deltas on the base, given the names of both."""
+            return
+        segments = deltas.selectExpr(f"bigint({self.spec.segment}) AS segment")
+        if state.live:
+            changed = deltas.select(self.spec.key).distinct()
+            base = self._base().filter(_is_live(state.live))
+            segments = segments.union(base.join(changed, self.spec.key, "left_semi").select("segment"))
+        # One number per segment that holds a changed key, before or now.
+        touched = [row["segment"] for row in segments.distinct().collect()]
+        rows = self._overlay({s: v for s, v in state.live.items() if s in touched}, deltas)
+        version, order = state.version + 1, ["segment", *self.spec.cluster_by]
+        rows = rows.selectExpr("*", f"bigint({self.spec.segment}) AS segment", f"bigint({version}) AS version")
+        (
+            rows.repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("segment", "version")
+            .parquet(f"{self.path}/base")
+        )
+        # Readers move to the new versions with this file; until then they are invisible.
+        commit = self.spark.createDataFrame([(version, newest, s) for s in touched], _COMMIT)
+        commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+
+    def _overlay(self, live: dict[int, int], deltas: DataFrame | None) -> DataFrame:
+        frames = {"base": self._base() if live else None, "deltas": deltas}
+        text = self._current("{base}", live, deltas and "{deltas}")
+        return self.spark.sql(text, **{name: df for name, df in frames.items() if df is not None})
+
+    def _current(self, base: str, live: dict[int, int], deltas: str | None) -> str:
+        """SQL text that overlays the deltas on the live part of the base, given the names of both."""
         key = f"`{self.spec.key}`"
         columns = ", ".join(f"`{c}`" for c in self.spec.schema.fieldNames())
+        kept = f"(SELECT {columns} FROM {base} WHERE {_is_live(live)})" if live else None
         if deltas is None:
-            return f"SELECT {columns} FROM {base or _no_rows(storage_schema(self.spec.schema))}"
-        changed = f"(SELECT DISTINCT {key} FROM {deltas}) AS changed ON changed.{key} = base.{key}"
+            return f"SELECT {columns} FROM {kept or _no_rows(storage_schema(self.spec.schema))}"
+        changed = f"(SELECT DISTINCT {key} FROM {deltas}) AS changed ON changed.{key} = kept.{key}"
         candidates = f"SELECT {columns}, batch_id FROM {deltas}"
-        if base and self.order_by:
-            old = ", ".join(f"base.`{c}`" for c in self.spec.schema.fieldNames())
-            candidates += f" UNION ALL SELECT {old}, -1 FROM {base} AS base LEFT SEMI JOIN {changed}"
+        if kept and self.order_by:
+            candidates += f" UNION ALL SELECT *, -1 FROM {kept} AS kept LEFT SEMI JOIN {changed}"
         order = ", ".join(f"`{c}` DESC NULLS LAST" for c in [*self.order_by, "batch_id"])
         newest = (
             f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _n "
             f"FROM ({candidates})) WHERE _n = 1"
         )
-        if base is None:
-            return newest
-        return f"SELECT {columns} FROM {base} AS base LEFT ANTI JOIN {changed} UNION ALL {newest}"
+        return f"SELECT * FROM {kept} AS kept LEFT ANTI JOIN {changed} UNION ALL {newest}" if kept else newest
 
-    def _state(self) -> tuple[int, int]:
-        commits = _read(self.spark, f"{self.path}/commits", StructType().add("version", "long").add("folded", "long"))
-        row = commits.orderBy(F.desc("version")).first() if commits else None
-        return (row["version"], row["folded"]) if row else (0, -1)
+    def _state(self) -> _State:
+        commits = _read(self.spark, f"{self.path}/commits", _COMMIT)
+        if commits is None:
+            return _State(0, -1, {})
+        newest = commits.groupBy("segment").agg(F.max("version"), F.max("folded")).collect()
+        return _State(max(v for _, v, _ in newest), max(f for _, _, f in newest), {s: v for s, v, _ in newest})
 
-    def _version(self, version: int) -> str:
-        return f"{self.path}/version={version}"
+    def _base(self) -> DataFrame:
+        schema = storage_schema(self.spec.schema).add("segment", LongType()).add("version", LongType())
+        return self.spark.read.schema(schema).parquet(f"{self.path}/base")
 
-    def _base(self, version: int) -> DataFrame | None:
-        return _read(self.spark, f"{self._version(version)}/base", storage_schema(self.spec.schema))
+    def _delta_path(self, state: _State) -> str:
+        """Folder of the batches that arrived since the state's version."""
+        return f"{self.path}/deltas/version={state.version}"
 
-    def _deltas(self, version: int) -> DataFrame | None:
+    def _deltas(self, state: _State) -> DataFrame | None:
         schema = storage_schema(self.spec.schema).add("batch_id", LongType())
-        return _read(self.spark, f"{self._version(version)}/deltas", schema)
+        return _read(self.spark, self._delta_path(state), schema)
 
 
 class SnapshotTable:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,19 @@ from skytally.plans import jobs
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, order_by: tuple[str, ...] = ()):
-        """``order_by`` makes the flight table keep the row with the greatest value, not the last arrival."""
+    def __init__(
+        self, spark: SparkSession, root: str, order_by: tuple[str, ...] = (), segment_seconds: int = 86400
+    ):
+        """``order_by`` makes the flight table keep the row with the greatest value, not the last arrival.
+
+        Flights are stored by the day of their last observation, or another span: updates meet the
+        newest spans, and the others are left alone.  Keep the span as the table was begun with.
+        """
         self.spark = spark
         self.root = root.rstrip("/")
-        self.flight = KeyedTable(spark, root, schemas.FLIGHT, order_by)
+        self.segment_seconds = segment_seconds
+        flight = replace(schemas.FLIGHT, segment=f"coalesce(time div {segment_seconds}, -1)")
+        self.flight = KeyedTable(spark, root, flight, order_by)
         self.airline = KeyedTable(spark, root, schemas.AIRLINE)
         self.airport = KeyedTable(spark, root, schemas.AIRPORT)
         self.snapshots = {s.name: SnapshotTable(spark, root, s) for s in schemas.SNAPSHOTS}
@@ -72,6 +81,9 @@ def run_all(
     batch_id = as_of if batch_id is None else batch_id
     created_at = created_at or datetime.fromtimestamp(as_of, timezone.utc)
     flights, airlines, airports = (t.read() for t in (warehouse.flight, warehouse.airline, warehouse.airport))
+    # The jobs with a window need only the days it touches (a second more, as its start is rounded).
+    start = as_of - max(active_seconds, transition_seconds) - 1
+    lately = warehouse.flight.read(since=start // warehouse.segment_seconds)
     done = {}
 
     def store(name: str, result: DataFrame) -> DataFrame:
@@ -84,11 +96,11 @@ def run_all(
         transition,
         # Few rows of a long scan: merge them into files of a fair size.
         jobs.airport_and_zone_transition(
-            flights, airports, as_of, transition_seconds, method, replay
+            lately, airports, as_of, transition_seconds, method, replay
         ).hint("rebalance"),
     )
     history = warehouse.snapshots[transition].read()
-    store("most_flights_in_progress", jobs.most_flights_in_progress(flights, airlines, as_of, active_seconds))
+    store("most_flights_in_progress", jobs.most_flights_in_progress(lately, airlines, as_of, active_seconds))
     models = jobs.aircraft_model_per_airline_country(flights, airlines, on_null)
     if on_null == "quarantine":
         models, rejects = models
@@ -98,11 +110,11 @@ def run_all(
     models = store("aircraft_model_per_airline_country", models)
     per_continent = store(
         "airline_with_most_active_flights_per_continent",
-        jobs.airline_with_most_active_flights_per_continent(history, airlines, flights, as_of, active_seconds),
+        jobs.airline_with_most_active_flights_per_continent(history, airlines, lately, as_of, active_seconds),
     )
     store(
         "average_flight_distance_per_continent",
-        jobs.average_flight_distance_per_continent(history, flights, as_of, active_seconds),
+        jobs.average_flight_distance_per_continent(history, lately, as_of, active_seconds),
     )
     store("current_longest_flight", jobs.current_longest_flight(history))
     store("most_active_flights_per_builder", jobs.most_active_flights_per_builder(flights))

@@ -299,7 +299,8 @@ def publish_flights(spark, sf_dir):
 @query
 def snapshot_run(spark, sf_dir):
     """All jobs run and stored for two clocks, the second one twice; rows per table and batch."""
-    warehouse = Warehouse(spark, shared_dir(spark, "run"))
+    # 90 days stand for 600 s here, so a stored span is longer than a day too.
+    warehouse = Warehouse(spark, shared_dir(spark, "run"), segment_seconds=4 * ACTIVE)
     warehouse.flight.upsert(views.flights(spark, sf_dir), 0)
     warehouse.flight.compact()
     warehouse.airline.upsert(views.airlines(spark, sf_dir), 0)

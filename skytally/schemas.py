@@ -25,13 +25,18 @@ def _schema(columns: dict, required: tuple[str, ...] = ()) -> StructType:
 
 @dataclass(frozen=True)
 class KeyedSpec:
-    """A table holding one row per key; ``cluster_by`` is the order rows are stored in."""
+    """A table holding one row per key.
+
+    ``segment`` is SQL for the whole number of the part a row is stored in, ``cluster_by`` the
+    order of rows within a part.
+    """
 
     database: str
     name: str
     schema: StructType
     key: str
     cluster_by: tuple[str, ...] = ()
+    segment: str = "0"
 
 
 @dataclass(frozen=True)
@@ -83,6 +88,7 @@ FLIGHT = KeyedSpec(
     ),
     key="id",
     cluster_by=("time", "id"),
+    segment="coalesce(time div 86400, -1)",
 )
 
 AIRLINE = KeyedSpec(

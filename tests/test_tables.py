@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from conftest import AS_OF, flight, frame, rows
@@ -67,11 +68,37 @@ def test_running_a_batch_again_changes_nothing(spark, tmp_path):
 def test_interrupted_compaction_is_invisible(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path), schemas.FLIGHT)
     table.upsert(messages(spark, ENTRIES), 0, "arrival")
-    # A new base was begun, but never committed.
-    messages(spark, [("x", 1)]).drop("arrival").write.parquet(f"{table.path}/version=1/base")
-    assert state(table) == LAST
     table.compact()
-    assert state(table) == LAST
+    table.upsert(messages(spark, [("a", 9), ("e", 86401)]), 1, "arrival")
+    # New versions were begun, but never committed.
+    for segment in (0, 1, 7):
+        folder = f"{table.path}/base/segment={segment}/version=2"
+        messages(spark, [("x", 1)]).drop("arrival").write.parquet(folder)
+    expected = [("a", 9), ("b", 2), ("c", 6), ("d", 1), ("e", 86401)]
+    assert state(table) == expected
+    table.compact()
+    assert state(table) == expected
+
+
+def test_compaction_rewrites_only_segments_with_changed_keys(spark, tmp_path):
+    day = 86400
+    table = KeyedTable(spark, str(tmp_path), schemas.FLIGHT)
+    table.upsert(messages(spark, [("a", 1), ("b", day + 1), ("c", 2 * day + 1), ("n", None)]), 0, "arrival")
+    table.compact()
+    table.upsert(messages(spark, [("b", 2 * day + 5)]), 1, "arrival")
+    table.compact()
+    assert state(table) == [("a", 1), ("b", 2 * day + 5), ("c", 2 * day + 1), ("n", None)]
+    versions = {s.name: sorted(v.name for v in s.iterdir()) for s in Path(table.path, "base").glob("segment=*")}
+    assert versions == {
+        "segment=-1": ["version=1"],
+        "segment=0": ["version=1"],
+        "segment=1": ["version=1"],
+        "segment=2": ["version=1", "version=2"],
+    }
+    plan = table.read().select("id")._jdf.queryExecution().executedPlan().toString()
+    assert rows(table.read(since=2).select("id")) == [("b",), ("c",)]
+    # The live versions are chosen by folder, with no filter on rows.
+    assert "element_at(map(keys: [-1,0,1,2]" in plan and "Filter (" not in plan
 
 
 def test_null_key_fails_the_batch(spark, tmp_path):
