@@ -152,7 +152,8 @@ class KeyedTable:
         commits = _read(self.spark, f"{self.path}/commits", _COMMIT)
         if commits is None:
             return _State(0, -1, {})
-        newest = commits.groupBy("segment").agg(F.max("version"), F.max("folded")).collect()
+        # A few rows per compaction: one task, no shuffle.
+        newest = commits.coalesce(1).groupBy("segment").agg(F.max("version"), F.max("folded")).collect()
         return _State(max(v for _, v, _ in newest), max(f for _, _, f in newest), {s: v for s, v, _ in newest})
 
     def _base(self) -> DataFrame:
