@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import lines, mixing, rules
+from skytally.llm import lines, minhash, mixing, rules
 from skytally.llm.common import table
 
 # Production parameters of the mixture: groups of sources, and the weights of each level.
@@ -26,6 +26,11 @@ def mix_levels() -> dict:
 MIX = dict(weights=[DOMAINS, LANGS, {}], share=SHARE, max_epochs=EPOCHS, seed=SEED)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", minhash.kept(F.col("doc_id"), F.col("component_id")))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lines.drop_boilerplate(docs, dropped="n_dropped").select("doc_id", "text", "n_dropped")
@@ -42,5 +47,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_line_dedup, op9_quality_rules, op10_mixing)
+    f.__name__: f for f in (op2_near_dedup, op4_line_dedup, op9_quality_rules, op10_mixing)
 }
