@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import lines, minhash, mixing, rules
+from skytally.llm import lines, minhash, mixing, pieces, rules
 from skytally.llm.common import table
 
 # Production parameters of the mixture: groups of sources, and the weights of each level.
@@ -16,6 +16,13 @@ LANGS = {"en": 6, "de": 2, "fr": 2, "es": 1}
 SHARE, EPOCHS, SEED = (4, 5), 2, "mix-1"
 
 
+def model_path(name: str) -> str:
+    """Where the public tokenizers are installed, on the driver and on executors alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def mix_levels() -> dict:
     """Domain, language and source; the sources' last digit says the domain."""
     last = F.regexp_extract("source", "([0-9])$", 1)
@@ -36,6 +43,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs, dropped="n_dropped").select("doc_id", "text", "n_dropped")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.sample_segmentations(docs, model_path("piece_bpe_32k.model"), k=2)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.measured(docs, rules.order_rules(docs)).drop("text")
@@ -47,5 +59,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_dedup, op4_line_dedup, op9_quality_rules, op10_mixing)
+    f.__name__: f for f in (op2_near_dedup, op4_line_dedup, op5_sentencepiece, op9_quality_rules, op10_mixing)
 }
