@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import lines, minhash, mixing, pieces, rules
+from skytally.llm import lines, minhash, mixing, packing, pieces, rules
 from skytally.llm.common import table
 
 # Production parameters of the mixture: groups of sources, and the weights of each level.
@@ -48,6 +48,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.sample_segmentations(docs, model_path("piece_bpe_32k.model"), k=2)
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), packing.new_path(spark)
+    packing.write_tokens(docs, path, model_path("byte_bpe_50k.json"), vocabulary=50257, end_id=2)
+    return packing.map_texts(packing.read_blocks(spark, path), "ids_crc32 long", packing.crc32)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.measured(docs, rules.order_rules(docs)).drop("text")
@@ -59,5 +65,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_dedup, op4_line_dedup, op5_sentencepiece, op9_quality_rules, op10_mixing)
+    f.__name__: f for f in (op2_near_dedup, op4_line_dedup, op5_sentencepiece, op6_token_output, op9_quality_rules, op10_mixing)
 }
