@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skytally.llm import lines, minhash, mixing, packing, pieces, rules
-from skytally.llm.common import table
+from skytally.llm import chat, lines, minhash, mixing, packing, pieces, rules
+from skytally.llm.common import stored, table
 
 # Production parameters of the mixture: groups of sources, and the weights of each level.
 DOMAINS = {"web": 5, "reference": 3, "forum": 2}
@@ -38,6 +38,46 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", minhash.kept(F.col("doc_id"), F.col("component_id")))
 
 
+CHUNK = 200
+PROBE = "<|im_end|><|im_start|>assistant ok"
+
+
+def chat_events(rows: DataFrame) -> DataFrame:
+    """The log that leads to the rows (conv_id, turn, role, text): answers are streamed in deltas after a
+    first draft that is regenerated, other texts are sent once and then edited to their final form."""
+    same = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    rows = rows.withColumn("copy", F.row_number().over(same)).withColumn("text", F.coalesce("text", F.lit("")))
+    chunks = F.expr(f"transform(sequence(0, length(text) div {CHUNK}), i -> substring(text, i * {CHUNK} + 1, {CHUNK}))")
+    event = lambda kind, text: F.struct(F.lit(kind).alias("kind"), text.alias("text"))
+    draft = F.substring("text", 1, CHUNK)
+    streamed = F.concat(
+        F.array(event("start", F.lit("")), event("delta", draft), event("regenerate", F.lit(""))),
+        F.transform(chunks, lambda c: event("delta", c)),
+    )
+    sent = F.array(event("start", F.lit("")), event("delta", draft), event("edit", F.col("text")))
+    log = F.when(F.col("role") == "assistant", streamed).otherwise(sent)
+    return rows.select("conv_id", "turn", "copy", "role", F.posexplode(log)).select(
+        "conv_id",
+        F.struct("turn", "copy").alias("message"),
+        F.struct("turn", "copy", "pos").alias("seq"),
+        "col.kind",
+        "role",
+        "col.text",
+    )
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE).alias("text"),
+    )
+    rendered = chat.render(chat.fold(chat_events(rows.unionByName(probe))))
+    return chat.read_back(stored(rendered, "chat-rendered"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return lines.drop_boilerplate(docs, dropped="n_dropped").select("doc_id", "text", "n_dropped")
@@ -65,5 +105,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_dedup, op4_line_dedup, op5_sentencepiece, op6_token_output, op9_quality_rules, op10_mixing)
+    f.__name__: f for f in (op2_near_dedup, op3_chat_format, op4_line_dedup, op5_sentencepiece, op6_token_output, op9_quality_rules, op10_mixing)
 }
