@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skytally.llm import chat, lines, mih, minhash, mixing, packing, pieces, rules
+from skytally.llm import chat, cotrain, lines, mih, minhash, mixing, packing, pieces, rules
 from skytally.llm.common import stored, table
 
 # Production parameters of the mixture: groups of sources, and the weights of each level.
@@ -94,6 +94,10 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.map_texts(packing.read_blocks(spark, path), "ids_crc32 long", packing.crc32)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -109,5 +113,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_dedup, op3_chat_format, op4_line_dedup, op5_sentencepiece, op6_token_output, op8_nearest, op9_quality_rules, op10_mixing)
+    f.__name__: f for f in (op2_near_dedup, op3_chat_format, op4_line_dedup, op5_sentencepiece, op6_token_output, op7_quality_classifier, op8_nearest, op9_quality_rules, op10_mixing)
 }
