@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skytally.llm import chat, cotrain, lines, mih, minhash, mixing, packing, pieces, rules
+from skytally.llm import chat, cotrain, lines, lm, mih, minhash, mixing, packing, pieces, rules
 from skytally.llm.common import stored, table
 
 # Production parameters of the mixture: groups of sources, and the weights of each level.
@@ -33,6 +33,11 @@ def mix_levels() -> dict:
 MIX = dict(weights=[DOMAINS, LANGS, {}], share=SHARE, max_epochs=EPOCHS, seed=SEED)
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return lm.score(table(spark, sf_dir, "documents"), held_out, order=2)
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", minhash.kept(F.col("doc_id"), F.col("component_id")))
@@ -113,5 +118,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_dedup, op3_chat_format, op4_line_dedup, op5_sentencepiece, op6_token_output, op7_quality_classifier, op8_nearest, op9_quality_rules, op10_mixing)
+    f.__name__: f for f in (op1_lm_score, op2_near_dedup, op3_chat_format, op4_line_dedup, op5_sentencepiece, op6_token_output, op7_quality_classifier, op8_nearest, op9_quality_rules, op10_mixing)
 }
