@@ -9,7 +9,7 @@ Texts with equal shingle sets are one class and are compared through one of them
 in a band of the signature meet in a bucket.  Each is compared with the bucket's smallest id, not with
 all others; the confirmed links give components.  Then the buckets that still hold several components
 are searched for further links between different components, so that no link is lost that could join
-two of them.  With 25 bands of 5 places, a pair at similarity 0.85 meets in no bucket with probability
+two of them: members whose signatures come near enough are compared in the task, on full sets.  With 25 bands of 5 places, a pair at similarity 0.85 meets in no bucket with probability
 (1 - 0.85**5)**25 = 4e-7.  Links are confirmed on the words themselves.
 
 A null or empty text, or one without words, has an empty set and is linked with nothing.  Ids identify
@@ -136,6 +136,74 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFr
     return both.filter(_linked(num, den)(F.col("text_a"), F.col("text_b"))).select("a", "b")
 
 
+#: Members of a bucket that are compared in one task.
+GROUP = 1000
+
+
+def _links_between(close: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between members (bucket, doc_id, component) of a bucket in different components.
+
+    All pairs of a bucket are compared on their full sets (of 64-bit shingle values) where they are; only
+    links that join components leave the task.  A large bucket is split, and each two splits meet in a task.
+    """
+    ids = stored(close.select("doc_id").distinct(), "minhash-close-ids")
+    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, elements binary").dropDuplicates(["doc_id"])
+    counts = close.groupBy("bucket").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("splits"))
+    split = F.pmod(F.xxhash64("doc_id"), F.col("splits")).cast("int")
+    rows = close.join(counts, "bucket").withColumn("split", split)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    rows = rows.select(
+        "bucket",
+        F.least("split", "other").alias("i"),
+        F.greatest("split", "other").alias("j"),
+        "doc_id",
+        "component",
+    )
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("doc_id").reset_index(drop=True)
+        sets = [np.frombuffer(e, np.uint64) for e in part["elements"]]
+        n = np.array([len(s) for s in sets])
+        values, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        # Shingles of one member alone are in no intersection.
+        column = np.cumsum(held > 1) - 1
+        owner, shared = np.repeat(np.arange(len(sets)), n), held[place] > 1
+        owner, place = owner[shared], column[place[shared]]
+        both = np.zeros((len(sets), len(sets)), np.int64)
+        for at in range(0, int(column[-1]) + 1, 4096):
+            inside = (place >= at) & (place < at + 4096)
+            matrix = np.zeros((len(sets), 4096), np.float32)
+            matrix[owner[inside], place[inside] - at] = 1
+            both += (matrix @ matrix.T).astype(np.int64)
+        component = part["component"].to_numpy()
+        linked = (both > 0) & (den * both >= num * (n[:, None] + n[None, :] - both))
+        linked &= component[:, None] != component[None, :]
+        root = {c: c for c in component.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        out = []
+        for a, b in zip(*np.nonzero(np.triu(linked))):
+            p, q = find(int(component[a])), find(int(component[b]))
+            if p != q:
+                root[p] = q
+                out.append((part["doc_id"][b], part["doc_id"][a]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return rows.join(sets, "doc_id").groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start, end, offsets, data in slices(batch.column(1)):
+            elements = [s.tobytes() for s in shingle_sets(*words(offsets, data))]
+            ids = batch.column(0).slice(start, end - start)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(elements, pa.binary())], ["doc_id", "elements"])
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 85, den: int = 100
 ) -> DataFrame:
@@ -170,19 +238,13 @@ def near_duplicates(
     full = open_rows.join(heads.select("doc_id", "n", "sig"), "doc_id")
     x, y = full.alias("x"), full.alias("y")
     sizes = f"{den} * least(x.n, y.n) >= {num} * greatest(x.n, y.n)"
-    # Six standard deviations of the agreement below the threshold; exact sets decide on the rest.
+    # Six standard deviations of the agreement below the threshold; full sets decide on the rest.
     least = PLACES * (num / den - 6 * (num / den * (1 - num / den) / PLACES) ** 0.5)
     agree = f"aggregate(zip_with(x.sig, y.sig, (p, q) -> int(p = q)), 0, (s, v) -> s + v) >= {least}"
-    more = x.join(
-        y, F.expr(f"x.bucket = y.bucket AND x.doc_id > y.doc_id AND x.component <> y.component AND {sizes} AND {agree}")
-    ).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-    more = stored(more.distinct().join(pairs, ["a", "b"], "left_anti"), "minhash-more")
-    if not more.isEmpty():
-        wanted = stored(
-            more.select(F.col("a").alias("doc_id")).union(more.select("b")).distinct(), "minhash-wanted"
-        )
-        late = texts.join(wanted, "doc_id", "left_semi")
-        links = stored(links.union(_confirmed(more, late, num, den)), "minhash-all-links")
+    met = F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND {sizes} AND {agree}")
+    close = stored(x.join(y, met, "left_semi").select("bucket", "doc_id", "component"), "minhash-close")
+    if not close.isEmpty():
+        links = stored(links.union(_links_between(close, texts, num, den)), "minhash-all-links")
         found = graph.components(links)
 
     named = classes.join(found.toDF("class", "component"), "class", "left").select(

@@ -78,7 +78,7 @@ def shingle_sets(ends: np.ndarray, values: np.ndarray) -> list[np.ndarray]:
     n = len(values)
     whole = np.zeros(max(n - SHINGLE + 1, 0), np.uint64)
     for k in range(SHINGLE):
-        whole = whole * _BASE + values[k : n - SHINGLE + 1 + k]
+        whole = whole * _BASE + values[k : k + len(whole)]
     whole = mixed(whole, 1)
     sets = []
     for a, b in zip(ends[:-1], ends[1:]):
