@@ -47,6 +47,34 @@ MAX_EDGES = 5_000_000
 SLICE_CHARS = 2_000_000
 
 
+class _Trie:
+    """The pieces by their characters: state 0 is the empty beginning."""
+
+    def __init__(self, pieces: dict[str, tuple[int, float]]):
+        states, moves = {"": 0}, []
+        for piece in pieces:
+            for n in range(1, len(piece) + 1):
+                if piece[:n] not in states:
+                    moves.append((states[piece[: n - 1]] << 21 | ord(piece[n - 1]), len(states)))
+                    states[piece[:n]] = len(states)
+        moves.sort()
+        self._keys, self._next = (np.array(c, np.int64) for c in zip(*moves))
+        found = [pieces.get(s, (-1, -math.inf)) for s in states]
+        self.piece = np.array([k for k, _ in found], np.int32)
+        self.weight = np.exp(np.array([w for _, w in found]))
+        self._other = re.compile("[^" + "".join(re.escape(p) for p in pieces if len(p) == 1) + "]")
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each state goes with the character, and whether it goes anywhere."""
+        key = state << 21 | code
+        place = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return self._next[place], self._keys[place] == key
+
+    def spells(self, unit: str) -> bool:
+        """Whether each character is a piece."""
+        return self._other.search(unit) is None
+
+
 class Lattices:
     """Lattices of units, one after the other in flat arrays that grow as units are met."""
 
@@ -71,12 +99,15 @@ class Lattices:
                     pieces[piece.replace(MARK, " ")] = (i, -power * math.log(i + 3))
         self.pieces, self.longest = pieces, max(map(len, pieces))
         self.byte_ids, self.byte_score = byte_ids, -power * math.log(4 * n)
+        # Units up to this length are built together, with probabilities as they are, not as logarithms.
+        self.short = min(48, int(600 / (power * math.log(n + 3))))
+        self.trie = _Trie(pieces)
         self.clear()
 
     def clear(self) -> None:
         self.base: dict[str, int] = {}
         # Of each edge: piece, next node (-1 at the end of the unit), log-probability given the node,
-        # and the node's number plus the probability of its edges up to this one.
+        # and the probability of the node's edges up to this one.
         self.piece, self.target, self.logp, self.upto = array("i"), array("i"), array("d"), array("d")
         self.first = array("i", [0])  # each node's first edge
 
@@ -114,19 +145,77 @@ class Lattices:
                 self.piece.append(k)
                 self.target.append(start + j if j < n else -1)
                 self.logp.append(min(logp, 0.0))
-                self.upto.append(start + i + reach)
-            self.upto[-1] = start + i + 1.0
+                self.upto.append(reach)
+            self.upto[-1] = 1.0
             self.first.append(len(self.piece))
         self.base[unit] = start
         return start
 
+    def add_short(self, units: list[str]) -> None:
+        """The same for many units of which every character is a piece, in arrays over all their nodes."""
+        sizes = np.array([len(u) for u in units])
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        n = len(codes)
+        left = ends - np.arange(n)
+        weight = np.zeros((n, self.longest))
+        piece = np.zeros((n, self.longest), np.int32)
+        state, at = np.zeros(n, np.int64), np.arange(n)
+        for k in range(self.longest):
+            state, alive = self.trie.step(state, codes[at + k])
+            at, state = at[alive], state[alive]
+            found = self.trie.piece[state] >= 0
+            piece[at[found], k] = self.trie.piece[state[found]]
+            weight[at[found], k] = self.trie.weight[state[found]]
+            more = left[at] > k + 1
+            at, state = at[more], state[more]
+            if not len(at):
+                break
+        # From the ends of the units backwards: the sum over all ways to the end.
+        ways = np.zeros(n + self.longest)
+        by_left = np.argsort(left, kind="stable")
+        steps = np.searchsorted(left[by_left], np.arange(1, int(left.max()) + 2))
+        for d, (a, b) in enumerate(zip(steps[:-1], steps[1:]), 1):
+            nodes = by_left[a:b]
+            total = weight[nodes, d - 1].copy() if d <= self.longest else np.zeros(len(nodes))
+            for k in range(min(d - 1, self.longest)):
+                total += weight[nodes, k] * ways[nodes + k + 1]
+            ways[nodes] = total
+        node, k = np.nonzero(weight)
+        target = node + k + 1
+        last = target == ends[node]
+        share = weight[node, k] * np.where(last, 1.0, ways[np.where(last, 0, target)]) / ways[node]
+        # The likeliest edge of a node first: most walks look at one edge alone.
+        order = np.lexsort((-share, node))
+        node, k, target, last, share = (x[order] for x in (node, k, target, last, share))
+        count = np.bincount(node, minlength=n)
+        first = np.cumsum(count) - count
+        reach = np.cumsum(share)
+        reach -= np.repeat(reach[first] - share[first], count)
+        reach[first + count - 1] = 1.0
+        start = len(self.first) - 1
+        self.first.frombytes((len(self.piece) + np.cumsum(count)).astype(np.int32).tobytes())
+        self.piece.frombytes(piece[node, k].tobytes())
+        self.target.frombytes(np.where(last, -1, start + target).astype(np.int32).tobytes())
+        self.logp.frombytes(np.minimum(np.log(share), 0.0).tobytes())
+        self.upto.frombytes(reach.tobytes())
+        self.base.update(zip(units, (start + np.cumsum(sizes) - sizes).tolist()))
+
     def nodes(self, units: list[str]) -> np.ndarray:
+        """First node of each unit; new units are added."""
         base = self.base
-        return np.array([base[u] if u in base else self.add(u) for u in units], np.int64)
+        new = [u for u in set(units) if u not in base]
+        short = [u for u in new if len(u) <= self.short and self.trie.spells(u)]
+        for at in range(0, len(short), 10_000):
+            self.add_short(short[at : at + 10_000])
+        for u in new:
+            if u not in base:
+                self.add(u)
+        return np.array([base[u] for u in units], np.int64)
 
     def views(self) -> tuple[np.ndarray, ...]:
         kinds = ((self.piece, np.int32), (self.target, np.int32), (self.logp, np.float64), (self.upto, np.float64))
-        return tuple(np.array(a, dtype) for a, dtype in kinds)
+        return *(np.array(a, dtype) for a, dtype in kinds), np.array(self.first, np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation: without the blank that every text begins with here."""
@@ -139,20 +228,28 @@ def _lattices(model_path: str, power: float) -> Lattices:
     return Lattices(model_path, power)
 
 
-def _uniform(keys: np.ndarray, sample: int, purpose: int, place: np.ndarray) -> np.ndarray:
+def _seeds(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return mixed(keys) + places.astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+
+
+def _uniform(seeds: np.ndarray, sample: int, purpose: int) -> np.ndarray:
     """Uniform in (0, 1), a function of its arguments."""
-    x = mixed(mixed(keys, 1000 * purpose + sample) + place.astype(np.uint64) * _U(0x9E3779B97F4A7C15), 7)
+    x = mixed(seeds, 1_000_003 * purpose + sample)
     return ((x >> _U(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
-def _walk(views, nodes: np.ndarray, keys: np.ndarray, places: np.ndarray, sample: int):
+def _walk(views, nodes: np.ndarray, seeds: np.ndarray, sample: int):
     """One segmentation of each unit: its edges in order, where each unit's begin, log-probabilities."""
-    _, target, logp, upto = views
+    _, target, logp, upto, first = views
     at, active, steps = nodes, np.arange(len(nodes)), []
     count = np.zeros(len(nodes), np.int64)
     while len(active):
-        u = _uniform(keys[active], sample, 10 + len(steps), places[active])
-        edge = np.searchsorted(upto, at + u, "right")
+        u = _uniform(seeds[active], sample, 10 + len(steps))
+        edge = first[at].astype(np.int64)
+        beyond = np.flatnonzero(u >= upto[edge])
+        while len(beyond):
+            edge[beyond] += 1
+            beyond = beyond[u[beyond] >= upto[edge[beyond]]]
         steps.append((active, edge))
         count[active] += 1
         at = target[edge].astype(np.int64)
@@ -205,8 +302,8 @@ def _rest(logp: np.ndarray) -> np.ndarray:
 class _Text:
     """The search in one text: found samples, and the sets that are left with their bounds."""
 
-    def __init__(self, key: int, nodes: np.ndarray):
-        self.key, self.nodes = np.array([key], np.uint64), nodes
+    def __init__(self, key: np.ndarray, nodes: np.ndarray, seeds: np.ndarray):
+        self.key, self.nodes, self.seeds = key, nodes, seeds
         self.samples: list[tuple] = []  # edges, begins, log-probability of each unit, perturbed value
         self.sets: list[tuple] = []  # of a sample: first unit, bounds of the units from there on
         self.taken: dict[tuple[int, int], list] = {}  # segmentations excluded at (sample, unit)
@@ -216,8 +313,7 @@ class _Text:
         k = len(self.samples)
         self.samples.append((edges, begins, scores, value))
         ahead = np.concatenate([[0.0], np.cumsum(scores)])[:-1]
-        places = np.arange(unit, len(scores))
-        u = _uniform(self.key, k, 2, places)
+        u = _uniform(self.seeds[unit:], k, 2)
         self.sets.append((unit, _cut_gumbel(ahead[unit:] + _rest(scores[unit:]), u, value)))
 
     def best(self) -> tuple[float, int, int]:
@@ -231,14 +327,14 @@ class _Text:
         taken = self.taken.setdefault((k, unit), [tuple(edges[begins[unit] : begins[unit + 1]].tolist())])
         count = iter(range(1 << 30))
         new = len(self.samples)
-        place = np.array([unit])
-        draw = lambda: float(_uniform(self.key, new, 500 + next(count), place)[0])
+        place = self.seeds[unit : unit + 1]
+        draw = lambda: float(_uniform(place, new, 100_000 + next(count))[0])
         path = _other(lattices, int(self.nodes[unit]), taken, draw)
         taken.append(path)
         gone = sum(math.exp(sum(lattices.logp[e] for e in t)) for t in taken)
         left = float(scores[:unit].sum()) + (math.log(1 - gone) if 1 - gone > 1e-12 else -math.inf)
         first, bounds = self.sets[k]
-        u = _uniform(self.key, new, 3, place)
+        u = _uniform(place, new, 3)
         bounds[unit - first] = _cut_gumbel(np.array([left]), u, value)[0]
         return path
 
@@ -253,12 +349,13 @@ def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int)
     views = lattices.views()
     owner = np.repeat(np.arange(len(texts)), np.diff(ends))
     places = np.arange(ends[-1]) - ends[owner]
-    edges, begins, scores = _walk(views, nodes, keys[owner], places, 0)
+    seeds = _seeds(keys[owner], places)
+    edges, begins, scores = _walk(views, nodes, seeds, 0)
     searches = []
     for d in range(len(texts)):
         a, b = ends[d], ends[d + 1]
-        s = _Text(int(keys[d]), nodes[a:b])
-        value = -math.log(-math.log(float(_uniform(s.key, 0, 1, np.array([0]))[0])))
+        s = _Text(keys[d : d + 1], nodes[a:b], seeds[a:b])
+        value = -math.log(-math.log(float(_uniform(s.key, 0, 1)[0])))
         s.found(0, edges[begins[a] : begins[b]], begins[a : b + 1] - begins[a], scores[a:b], value)
         searches.append(s)
     for sample in range(1, k):
@@ -271,10 +368,9 @@ def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int)
         if not opened:
             break
         rest = [searches[d].nodes[unit + 1 :] for d, _, unit, _, _ in opened]
+        rest_seeds = np.concatenate([searches[d].seeds[unit + 1 :] for d, _, unit, _, _ in opened])
         sizes = [len(x) for x in rest]
-        which = np.repeat([d for d, *_ in opened], sizes)
-        place = np.concatenate([np.arange(len(x)) + u + 1 for x, (_, _, u, _, _) in zip(rest, opened)])
-        tail, tail_begins, tail_scores = _walk(views, np.concatenate(rest), keys[which], place, sample)
+        tail, tail_begins, tail_scores = _walk(views, np.concatenate(rest), rest_seeds, sample)
         at = 0
         for (d, of, unit, value, path), size in zip(opened, sizes):
             e, b, sc, _ = searches[d].samples[of]
