@@ -88,24 +88,44 @@ def standard_continents(names: DataFrame, codes: DataFrame) -> DataFrame:
     return names.join(codes, "alpha2").select("country", continent.alias("continent"))
 
 
-def installed_continents(spark: SparkSession) -> DataFrame:
-    """The standard table out of the ``pycountry_convert`` package, where that is installed."""
-    try:
-        import pycountry
-        import pycountry_convert as library
-    except ImportError as missing:
-        raise ImportError("pass your own (country, continent) table: pycountry_convert is not installed") from missing
-    names = {
-        getattr(country, attribute)
-        for country in pycountry.countries
-        for attribute in ("name", "common_name", "official_name")
-        if hasattr(country, attribute)
-    }
-    rows = []
-    for name in sorted(names):
-        try:
-            code = library.country_alpha2_to_continent_code(library.country_name_to_country_alpha2(name))
-        except KeyError:
-            continue
-        rows.append((name, library.convert_continent_code_to_continent_name(code)))
+# Short names of the other countries by continent code.
+COUNTRIES = {
+    "AF": (
+        "Algeria, Angola, Benin, Botswana, Burkina Faso, Burundi, Cameroon, Central African Republic, Chad, Comoros, "
+        "Congo, Cote D'ivoire, Djibouti, Egypt, Equatorial Guinea, Eritrea, Eswatini, Ethiopia, Gabon, Gambia, Ghana, "
+        "Guinea, Guinea-Bissau, Ivory Coast, Kenya, Lesotho, Liberia, Libya, Madagascar, Malawi, Mali, Mauritania, "
+        "Mauritius, Mayotte, Morocco, Mozambique, Namibia, Niger, Nigeria, Rwanda, Senegal, Seychelles, Sierra Leone, "
+        "Somalia, South Africa, South Sudan, Sudan, Swaziland, Tanzania, Togo, Tunisia, Uganda, Zambia, Zimbabwe"
+    ),
+    "AS": (
+        "Afghanistan, Armenia, Azerbaijan, Bahrain, Bangladesh, Brunei, Brunei Darussalam, Cambodia, China, Cyprus, "
+        "Georgia, India, Indonesia, Iran, Iraq, Israel, Japan, Jordan, Kazakhstan, Kuwait, Kyrgyzstan, Laos, Lebanon, "
+        "Macao, Malaysia, Maldives, Mongolia, Nepal, North Korea, Oman, Pakistan, Philippines, Qatar, Saudi Arabia, "
+        "Singapore, South Korea, Sri Lanka, Syria, Taiwan, Tajikistan, Thailand, Turkey, Turkmenistan, "
+        "United Arab Emirates, Uzbekistan, Vietnam, Yemen"
+    ),
+    "EU": (
+        "Albania, Andorra, Austria, Belarus, Belgium, Bulgaria, Croatia, Czech Republic, Czechia, Denmark, Estonia, "
+        "Finland, France, Germany, Greece, Hungary, Iceland, Ireland, Italy, Jersey, Latvia, Liechtenstein, Lithuania, "
+        "Luxembourg, Malta, Moldova, Monaco, Montenegro, Netherlands, North Macedonia, Norway, Poland, Portugal, "
+        "Romania, Russia, San Marino, Serbia, Slovakia, Slovenia, Spain, Svalbard And Jan Mayen, Sweden, Switzerland, "
+        "Ukraine, United Kingdom"
+    ),
+    "NA": (
+        "Bahamas, Barbados, Belize, Canada, Costa Rica, Cuba, Dominica, Dominican Republic, El Salvador, Grenada, "
+        "Guatemala, Haiti, Honduras, Jamaica, Martinique, Mexico, Montserrat, Nicaragua, Panama, Puerto Rico, "
+        "Saint Lucia, United States"
+    ),
+    "OC": (
+        "Australia, Fiji, Kiribati, Marshall Islands, Micronesia, Nauru, New Caledonia, New Zealand, Niue, "
+        "Norfolk Island, Northern Mariana Islands, Palau, Papua New Guinea, Samoa, Solomon Islands, Tokelau, Tonga, "
+        "Tuvalu, Vanuatu"
+    ),
+    "SA": "Argentina, Bolivia, Brazil, Chile, Colombia, Ecuador, Guyana, Paraguay, Peru, Suriname, Uruguay, Venezuela",
+}
+
+
+def built_in_continents(spark: SparkSession) -> DataFrame:
+    """The standard table: short English names, one row each."""
+    rows = [(name, CONTINENTS[code]) for code, names in COUNTRIES.items() for name in names.split(", ")]
     return spark.createDataFrame(rows, _DIMENSION)

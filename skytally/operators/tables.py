@@ -1,197 +1,329 @@
 """The two kinds of stored table, both plain Parquet folders.
 
 ``KeyedTable`` holds the current row of each key.  An upsert only writes its own rows, collapsed to
-one per key, to a folder named after the batch; a retried batch rewrites that folder and changes
-nothing.  Readers overlay these deltas on the base.  ``compact`` folds them into it: it rewrites the
-segments (for flights: days) that hold a changed key, each to a new version folder, and then commits
-one row per segment, which says what version readers take.
+one per key, to a folder of its own.  Readers overlay these deltas on the base.  ``compact`` folds them
+into it: it rewrites the segments (for flights: days) that hold a changed key.
 
 ``SnapshotTable`` holds the result rows of every run, one folder per batch.
 
-Each table has one writer at a time; readers need no lock.
+No folder is written twice: each attempt has a name of its own, and what is live is said by a small
+list, rewritten as a whole by every commit.  So a write that breaks off, or is repeated, leaves nothing
+that a reader could see; ``retire`` removes what no recent list names.  Each table has one writer at a
+time; readers need no lock.
 """
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass, replace
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from skytally.operators.conform import conform, storage_schema
 from skytally.operators.keyed import latest_per_key
 from skytally.schemas import KeyedSpec, SnapshotSpec
+from skytally.sources import files
 
-_COMMIT = StructType().add("version", LongType()).add("folded", LongType()).add("segment", LongType())
 
+class Entry(NamedTuple):
+    """One line of a table's list.
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """Rows below the path, or None if nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    ``base``: the folder of a segment.  ``delta``: the folder of a writer's batch, by arrival.  ``folded``: the
+    writer's last batch in the base.  ``batch``: the folder of a run.  ``view``: a view that follows the table.
+    """
 
+    kind: str
+    name: str
+    segment: int | None = None
+    seq: int | None = None
+    writer: str | None = None
+    number: int | None = None
 
-def _no_rows(schema: StructType) -> str:
-    """SQL text of an empty relation."""
-    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
-    return f"(SELECT {columns} WHERE false)"
 
+_ENTRY = StructType()
+for _name, _kind in zip(Entry._fields, (StringType(), StringType(), LongType(), LongType(), StringType(), LongType())):
+    _ENTRY = _ENTRY.add(_name, _kind)
 
-def _is_live(live: dict[int, int]) -> str:
-    """SQL condition on the partition columns: only folders of live versions are read."""
-    versions = ", ".join(f"{s}L, {v}L" for s, v in sorted(live.items()))
-    return f"try_element_at(map({versions}), bigint(segment)) = version"
 
-
-class _State(NamedTuple):
+@dataclass(frozen=True)
+class _List:
     version: int
-    folded: int
-    live: dict[int, int]
+    entries: tuple[Entry, ...]
 
+    def of(self, kind: str) -> list[Entry]:
+        return [e for e in self.entries if e.kind == kind]
 
-class KeyedTable:
-    def __init__(self, spark: SparkSession, root: str, spec: KeyedSpec, order_by: tuple[str, ...] = ()):
-        """By default the last arrival wins; with ``order_by`` (e.g. ``("time",)``) the greatest value does."""
+    def without(self, drop) -> _List:
+        return replace(self, entries=tuple(e for e in self.entries if not drop(e)))
+
+    def plus(self, *entries: Entry) -> _List:
+        return replace(self, entries=self.entries + entries)
+
+
+class _Stored:
+    """A table's path and its list of live folders."""
+
+    def __init__(self, spark: SparkSession, root: str, spec: KeyedSpec | SnapshotSpec):
         self.spark = spark
         self.spec = spec
-        self.order_by = list(order_by)
         self.path = f"{root.rstrip('/')}/{spec.database}/{spec.name}"
 
-    def upsert(self, rows: DataFrame, batch_id: int, arrival: str | None = None) -> None:
-        """Insert the rows, replacing those with the same key; ``arrival`` orders rows of one batch."""
+    def _versions(self) -> list[int]:
+        return [int(n.split("=")[1]) for n in files.names(self.spark, f"{self.path}/list") if n.startswith("version=")]
+
+    def _list_path(self, version: int) -> str:
+        return f"{self.path}/list/version={version}"
+
+    def _finished(self, version: int) -> bool:
+        return files.exists(self.spark, f"{self._list_path(version)}/_SUCCESS")
+
+    def _load(self, version: int) -> _List:
+        rows = self.spark.read.schema(_ENTRY).parquet(self._list_path(version)).collect()
+        return _List(version, tuple(Entry(*r) for r in rows))
+
+    def _state(self) -> _List:
+        """The newest finished list: one small file, however often the table has changed."""
+        for version in sorted(self._versions(), reverse=True):
+            if self._finished(version):
+                return self._load(version)
+        return _List(0, ())
+
+    def _commit(self, state: _List) -> None:
+        version = max([0, *self._versions()]) + 1
+        rows = self.spark.createDataFrame([tuple(e) for e in state.entries], _ENTRY)
+        rows.coalesce(1).write.parquet(self._list_path(version))
+        for view in state.of("view"):
+            if self.spark.catalog.databaseExists(view.name.split(".")[0]):
+                self._create_view(view.name)
+
+    def publish(self, view: str) -> None:
+        """Create a view of the table; each later commit to the table brings it up to date."""
         state = self._state()
-        if batch_id <= state.folded:
+        if view not in [e.name for e in state.of("view")]:
+            self._commit(state.plus(Entry("view", view)))
+        else:
+            self._create_view(view)
+
+    def _create_view(self, view: str) -> None:
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS {self.definition()}")
+
+    def retire(self, keep: int = 10) -> list[str]:
+        """Delete the folders that none of the newest ``keep`` lists names, and older lists.
+
+        Readers that began before these lists must have ended.  Returns what was deleted.
+        """
+        finished = [v for v in sorted(self._versions(), reverse=True) if self._finished(v)]
+        kept = finished[:keep]
+        live = {e.name for v in kept for e in self._load(v).entries}
+        gone = [f for f in self._folders() if f not in live] if kept else []
+        gone += [f"list/version={v}" for v in self._versions() if kept and v < kept[-1]]
+        for folder in gone:
+            files.delete(self.spark, f"{self.path}/{folder}")
+        return gone
+
+    def _folders(self) -> list[str]:
+        """All attempts' folders, as lists name them."""
+        found = []
+        for top in ("base", "deltas", "batches"):
+            for middle in files.names(self.spark, f"{self.path}/{top}"):
+                found += [
+                    f"{top}/{middle}/{n}"
+                    for n in files.names(self.spark, f"{self.path}/{top}/{middle}")
+                    if n.startswith("attempt=")
+                ]
+        return found
+
+    def _read(self, top: str, folders: list[str], schema: StructType) -> DataFrame | None:
+        """Rows of the named folders, and of no others."""
+        if not folders:
+            return None
+        paths = [f"{self.path}/{f}" for f in folders]
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{top}").parquet(*paths)
+
+
+def _attempt() -> str:
+    # The letter keeps Spark from taking the name for a number.
+    return f"attempt=a{uuid.uuid4().hex}"
+
+
+def _no_rows(schema: StructType) -> str:
+    """SQL text of an empty relation."""
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    return f"(SELECT {columns} WHERE false)"
+
+
+class KeyedTable(_Stored):
+    def __init__(self, spark: SparkSession, root: str, spec: KeyedSpec, order_by: tuple[str, ...] = ()):
+        """By default the last arrival wins; with ``order_by`` (e.g. ``("time",)``) the greatest value does."""
+        super().__init__(spark, root, spec)
+        self.order_by = list(order_by)
+
+    def upsert(self, rows: DataFrame, batch_id: int | None = None, arrival: str | None = None, writer: str = "") -> None:
+        """Insert the rows, replacing those with the same key; ``arrival`` orders rows of one batch.
+
+        A batch is known by its writer and number: running it again replaces it in its old place, or changes
+        nothing once it is folded into the base.  Other writers' numbers don't matter; batches
+        count in the order in which they first came.  Without a number it is a new batch.
+        Without ``arrival`` or ``order_by`` a key that a batch holds twice fails it.
+        """
+        state = self._state()
+        own = [e for e in state.of("delta") if e.writer == writer]
+        folded = max([e.number for e in state.of("folded") if e.writer == writer], default=-1)
+        if batch_id is None:
+            batch_id = max([folded, *(e.number for e in own)]) + 1
+        if batch_id <= folded:
             return
+        before = [e for e in own if e.number == batch_id]
+        seq = before[0].seq if before else max([0, *(e.seq for e in state.entries if e.seq is not None)]) + 1
         columns = self.spec.schema.fieldNames()
-        order = [*self.order_by, *([arrival] if arrival else [])] or [c for c in columns if c != self.spec.key]
-        latest = latest_per_key(
-            rows.select(*columns, *[c for c in order if c not in columns]), self.spec.key, order
-        )
-        conform(latest, self.spec.schema).write.mode("overwrite").parquet(
-            f"{self._delta_path(state)}/batch_id={batch_id}"
-        )
+        order = [*self.order_by, *([arrival] if arrival else [])]
+        batch = rows.select(*columns, *[c for c in order if c not in columns])
+        if order:
+            # Ties in the order are settled by the columns, the same way every time.
+            rest = [c for c in columns if c not in (*order, self.spec.key)]
+            latest = latest_per_key(batch, self.spec.key, [*order, *rest])
+        else:
+            latest = _single(batch, self.spec.key)
+        name = f"deltas/seq={seq}/{_attempt()}"
+        conform(latest, self.spec.schema).write.parquet(f"{self.path}/{name}")
+        folder = Entry("delta", name, seq=seq, writer=writer, number=batch_id)
+        # The greatest place so far outlives the batches that held it.
+        top = Entry("top", "", seq=max([seq, *(e.seq for e in state.of("top"))]))
+        self._commit(state.without(lambda e: e in before or e.kind == "top").plus(folder, top))
 
     def read(self, since: int | None = None) -> DataFrame:
         """The current row of each key.
 
         ``since`` skips the folders of all lower segments, for callers whose filter drops those
-        rows anyway.
+        rows anyway.  Where another column than the segment's decides which row is current, an old segment
+        can hold it, and nothing is skipped.
         """
         state = self._state()
-        live = {s: v for s, v in state.live.items() if since is None or s >= since}
-        return self._overlay(live, self._deltas(state))
+        if self.order_by and self.order_by[0] != self.spec.segment_column:
+            since = None
+        base = self._base([e for e in state.of("base") if since is None or e.segment >= since])
+        return self._overlay(base, self._deltas(state))
 
     def definition(self) -> str:
-        """SQL text of the current rows, for a view; it holds until the table changes."""
+        """SQL text of the current rows as they are now."""
         state = self._state()
-        deltas = self._deltas(state)
-        return self._current(
-            f"parquet.`{self.path}/base`", state.live, deltas and f"parquet.`{self._delta_path(state)}`"
-        )
+
+        def part(top: str, kind: str) -> str | None:
+            attempts = ", ".join(f"'{e.name.rsplit('=', 1)[1]}'" for e in state.of(kind))
+            return f"(SELECT * FROM parquet.`{self.path}/{top}` WHERE attempt IN ({attempts}))" if attempts else None
+
+        return self._current(part("base", "base"), part("deltas", "delta"))
 
     def compact(self) -> None:
         """Fold all batches so far into the base."""
         state = self._state()
         deltas = self._deltas(state)
-        newest = deltas.agg(F.max("batch_id")).first()[0] if deltas else None
-        if newest is None:
+        if deltas is None:
             return
+        old = state.of("base")
         segments = deltas.selectExpr(f"bigint({self.spec.segment}) AS segment")
-        if state.live:
+        if old:
             changed = deltas.select(self.spec.key).distinct()
-            base = self._base().filter(_is_live(state.live))
-            segments = segments.union(base.join(changed, self.spec.key, "left_semi").select("segment"))
+            segments = segments.union(self._base(old).join(changed, self.spec.key, "left_semi").select("segment"))
         # One number per segment that holds a changed key, before or now.
-        touched = [row["segment"] for row in segments.distinct().collect()]
-        rows = self._overlay({s: v for s, v in state.live.items() if s in touched}, deltas)
-        version, order = state.version + 1, ["segment", *self.spec.cluster_by]
-        rows = rows.selectExpr("*", f"bigint({self.spec.segment}) AS segment", f"bigint({version}) AS version")
+        touched = {row["segment"] for row in segments.distinct().collect()}
+        rows = self._overlay(self._base([e for e in old if e.segment in touched]), deltas)
+        attempt, order = _attempt(), ["segment", *self.spec.cluster_by]
+        rows = rows.selectExpr("*", f"bigint({self.spec.segment}) AS segment")
         (
-            rows.repartitionByRange(*order)
+            rows.withColumn("attempt", F.lit(attempt.split("=")[1]))
+            .repartitionByRange(*order)
             .sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("segment", "version")
+            .write.mode("append")
+            .partitionBy("segment", "attempt")
             .parquet(f"{self.path}/base")
         )
-        # Readers move to the new versions with this file; until then they are invisible.
-        commit = self.spark.createDataFrame([(version, newest, s) for s in touched], _COMMIT)
-        commit.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
-
-    def _overlay(self, live: dict[int, int], deltas: DataFrame | None) -> DataFrame:
-        frames = {"base": self._base() if live else None, "deltas": deltas}
-        text = self._current("{base}", live, deltas and "{deltas}")
+        # Readers move over with the list; a touched segment without rows is in it no more.
+        written = [
+            Entry("base", f"base/segment={s}/{attempt}", segment=s)
+            for s in sorted(touched)
+            if files.exists(self.spark, f"{self.path}/base/segment={s}/{attempt}")
+        ]
+        folded = {e.writer: e.number for e in state.of("folded")}
+        for e in state.of("delta"):
+            folded[e.writer] = max(e.number, folded.get(e.writer, -1))
+        state = state.without(lambda e: e.kind in ("delta", "folded") or e.kind == "base" and e.segment in touched)
+        self._commit(state.plus(*written, *[Entry("folded", "", writer=w, number=n) for w, n in folded.items()]))
+
+    def _overlay(self, base: DataFrame | None, deltas: DataFrame | None) -> DataFrame:
+        text = self._current("{base}" if base is not None else None, "{deltas}" if deltas is not None else None)
+        frames = {"base": base, "deltas": deltas}
         return self.spark.sql(text, **{name: df for name, df in frames.items() if df is not None})
 
-    def _current(self, base: str, live: dict[int, int], deltas: str | None) -> str:
-        """SQL text that overlays the deltas on the live part of the base, given the names of both."""
+    def _current(self, base: str | None, deltas: str | None) -> str:
+        """SQL text that overlays the live deltas on the live base, given the names of both."""
         key = f"`{self.spec.key}`"
         columns = ", ".join(f"`{c}`" for c in self.spec.schema.fieldNames())
-        kept = f"(SELECT {columns} FROM {base} WHERE {_is_live(live)})" if live else None
+        kept = f"(SELECT {columns} FROM {base})" if base else None
         if deltas is None:
             return f"SELECT {columns} FROM {kept or _no_rows(storage_schema(self.spec.schema))}"
         changed = f"(SELECT DISTINCT {key} FROM {deltas}) AS changed ON changed.{key} = kept.{key}"
-        candidates = f"SELECT {columns}, batch_id FROM {deltas}"
+        candidates = f"SELECT {columns}, bigint(seq) AS _seq FROM {deltas}"
         if kept and self.order_by:
-            candidates += f" UNION ALL SELECT *, -1 FROM {kept} AS kept LEFT SEMI JOIN {changed}"
-        order = ", ".join(f"`{c}` DESC NULLS LAST" for c in [*self.order_by, "batch_id"])
+            candidates += f" UNION ALL SELECT *, -1L FROM {kept} AS kept LEFT SEMI JOIN {changed}"
+        order = ", ".join(f"`{c}` DESC NULLS LAST" for c in [*self.order_by, "_seq"])
         newest = (
             f"SELECT {columns} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _n "
             f"FROM ({candidates})) WHERE _n = 1"
         )
         return f"SELECT * FROM {kept} AS kept LEFT ANTI JOIN {changed} UNION ALL {newest}" if kept else newest
 
-    def _state(self) -> _State:
-        commits = _read(self.spark, f"{self.path}/commits", _COMMIT)
-        if commits is None:
-            return _State(0, -1, {})
-        # A few rows per compaction: one task, no shuffle.
-        newest = commits.coalesce(1).groupBy("segment").agg(F.max("version"), F.max("folded")).collect()
-        return _State(max(v for _, v, _ in newest), max(f for _, _, f in newest), {s: v for s, v, _ in newest})
+    def _base(self, entries: list[Entry]) -> DataFrame | None:
+        schema = storage_schema(self.spec.schema).add("segment", LongType()).add("attempt", StringType())
+        return self._read("base", [e.name for e in entries], schema)
 
-    def _base(self) -> DataFrame:
-        schema = storage_schema(self.spec.schema).add("segment", LongType()).add("version", LongType())
-        return self.spark.read.schema(schema).parquet(f"{self.path}/base")
+    def _deltas(self, state: _List) -> DataFrame | None:
+        schema = storage_schema(self.spec.schema).add("seq", LongType()).add("attempt", StringType())
+        return self._read("deltas", [e.name for e in state.of("delta")], schema)
 
-    def _delta_path(self, state: _State) -> str:
-        """Folder of the batches that arrived since the state's version."""
-        return f"{self.path}/deltas/version={state.version}"
 
-    def _deltas(self, state: _State) -> DataFrame | None:
-        schema = storage_schema(self.spec.schema).add("batch_id", LongType())
-        return _read(self.spark, self._delta_path(state), schema)
+def _single(batch: DataFrame, key: str) -> DataFrame:
+    """The batch, which fails when it is computed if a key stands in it twice."""
+    n = F.count("*").over(Window.partitionBy(key))
+    wrong = F.raise_error(F.concat(F.lit("rows of one batch need an arrival column: repeated key "), F.col(key).cast("string")))
+    return batch.withColumn("_n", n).filter(F.when(F.col(key).isNotNull() & (F.col("_n") > 1), wrong.cast("boolean")).otherwise(True)).drop("_n")
 
 
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, spec: SnapshotSpec):
-        self.spark = spark
-        self.spec = spec
-        self.path = f"{root.rstrip('/')}/{spec.database}/{spec.name}"
-
+class SnapshotTable(_Stored):
     def append(self, result: DataFrame, batch_id: int, created_at: datetime) -> None:
         """Store a run's rows, stamped with its time; running the same batch again replaces it.
 
-        ``id`` is unique in the batch and grows with the result's order, without gathering the
-        rows in one place to number them.
+        Readers see the old rows until the new ones are complete.  ``id`` is unique in the batch and
+        grows with the result's order, without gathering the rows in one place to number them.
         """
         rows = conform(result, self.spec.result)
         rows = rows.select(
             F.monotonically_increasing_id().alias("id"), *rows.columns, F.lit(created_at).alias("created_at")
         )
-        rows.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        name = f"batches/batch_id={batch_id}/{_attempt()}"
+        rows.write.parquet(f"{self.path}/{name}")
+        state = self._state().without(lambda e: e.kind == "batch" and e.number == batch_id)
+        self._commit(state.plus(Entry("batch", name, number=batch_id)))
 
-    def read(self) -> DataFrame:
-        """Rows of all runs, with ``batch_id``."""
-        schema = storage_schema(self.spec.schema).add("batch_id", LongType())
-        rows = _read(self.spark, self.path, schema)
-        return rows if rows is not None else self.spark.sql(f"SELECT * FROM {_no_rows(schema)}")
+    def read(self, batch_ids: list[int] | None = None) -> DataFrame:
+        """Rows of all runs, or of those named, with ``batch_id``; other folders are not opened."""
+        live = [e.name for e in self._state().of("batch") if batch_ids is None or e.number in batch_ids]
+        rows = self._read("batches", live, self._schema().add("attempt", StringType()))
+        return rows.drop("attempt") if rows is not None else self.spark.sql(f"SELECT * FROM {_no_rows(self._schema())}")
 
     def batch(self, batch_id: int) -> DataFrame:
-        return self.read().filter(F.col("batch_id") == batch_id)
+        return self.read([batch_id])
+
+    def definition(self) -> str:
+        columns = ", ".join(f"`{c}`" for c in self._schema().fieldNames())
+        attempts = ", ".join(f"'{e.name.rsplit('=', 1)[1]}'" for e in self._state().of("batch"))
+        if not attempts:
+            return f"SELECT {columns} FROM {_no_rows(self._schema())}"
+        return f"SELECT {columns} FROM parquet.`{self.path}/batches` WHERE attempt IN ({attempts})"
+
+    def _schema(self) -> StructType:
+        return storage_schema(self.spec.schema).add("batch_id", LongType())

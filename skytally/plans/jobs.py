@@ -21,13 +21,22 @@ from skytally.operators.lookup import fan_out
 
 
 def most_flights_in_progress(
-    flights: DataFrame, airlines: DataFrame, as_of: Instant, seconds: int = 600, approximate: bool = False
+    flights: DataFrame,
+    airlines: DataFrame,
+    as_of: Instant,
+    seconds: int = 600,
+    repeated_ids: str | None = None,
+    replay: bool = False,
 ) -> DataFrame:
-    """Flights now in the air per airline code and name."""
-    active = non_empty(in_the_air(recent(flights, as_of, seconds)), "airline_iata")
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+    """Flights now in the air per airline code and name.
+
+    ``id`` is the key of the flight table, so counting needs no distinct ids.  For input that holds an
+    id more than once ``repeated_ids`` is "exact" or "approximate".
+    """
+    count = {None: F.count, "exact": F.count_distinct, "approximate": F.approx_count_distinct}[repeated_ids]
+    active = non_empty(in_the_air(recent(flights, as_of, seconds, replay=replay)), "airline_iata")
     counts = active.groupBy(F.col("airline_iata").alias("airline_code")).agg(
-        distinct("id").cast("int").alias("flight_count")
+        count("id").cast("int").alias("flight_count")
     )
     named = fan_out(counts, _names_by_code(airlines), "airline_code", "code", "left")
     return named.select("airline_code", "airline_name", "flight_count").orderBy(
@@ -75,15 +84,26 @@ def airport_and_zone_transition(
     )
 
 
+def flights_per_model(flights: DataFrame) -> DataFrame:
+    """Flights per airline and model: what J3 and J7 need of the flights, in one pass over them."""
+    return flights.groupBy("airline_icao", "aircraft_model").agg(F.count("id").alias("flights"))
+
+
+def _weighted(rows: DataFrame, *by) -> DataFrame:
+    """Rows per group, of flights themselves or of their counts."""
+    n = F.sum("flights") if "flights" in rows.columns else F.count("*")
+    return rows.groupBy(*by).agg(n.cast("long").alias("n"))
+
+
 def aircraft_model_per_airline_country(
     flights: DataFrame, airlines: DataFrame, on_null: str = "fail"
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Aircraft models in use per airline and country.
 
     Storing a NULL name, country or model fails the batch; ``on_null="quarantine"`` returns
-    (complete groups, the others) instead.
+    (complete groups, the others) instead.  ``flights`` can be ``flights_per_model`` of them.
     """
-    models = flights.groupBy("airline_icao", F.col("aircraft_model").alias("model_name")).agg(F.count("*").alias("n"))
+    models = _weighted(flights, "airline_icao", F.col("aircraft_model").alias("model_name"))
     named = fan_out(
         models, airlines.select("icao", F.col("name").alias("airline_name"), "country"), "airline_icao", "icao"
     )
@@ -98,7 +118,12 @@ def aircraft_model_per_airline_country(
 
 
 def airline_with_most_active_flights_per_continent(
-    transitions: DataFrame, airlines: DataFrame, flights: DataFrame, as_of: Instant, seconds: int = 600
+    transitions: DataFrame,
+    airlines: DataFrame,
+    flights: DataFrame,
+    as_of: Instant,
+    seconds: int = 600,
+    replay: bool = False,
 ) -> DataFrame:
     """Active flights that stay in one zone, per airline and zone.
 
@@ -108,7 +133,7 @@ def airline_with_most_active_flights_per_continent(
         "flight_id", F.col("airline_iata").alias("airline_code"), F.col("origin_zone_name").alias("continent")
     )
     counts = (
-        _still_active(local.distinct(), flights, as_of, seconds)
+        _still_active(local.distinct(), flights, as_of, seconds, replay)
         .groupBy("continent", "airline_code")
         .agg(F.count("flight_id").cast("int").alias("flight_count"))
     )
@@ -119,22 +144,22 @@ def airline_with_most_active_flights_per_continent(
 
 
 def average_flight_distance_per_continent(
-    transitions: DataFrame, flights: DataFrame, as_of: Instant, seconds: int = 600
+    transitions: DataFrame, flights: DataFrame, as_of: Instant, seconds: int = 600, replay: bool = False
 ) -> DataFrame:
     """Mean route length of active flights by origin zone, each flight once.
 
     Of a flight's rows over all batches the newest counts; among equally new ones the choice is
     made by the columns used here, so it is the same on every run.
     """
-    newest = F.max(F.struct("created_at", F.col("origin_zone_name").alias("continent"), "distance_km"))
-    # The fields are taken out after the join, so that Spark can move it below the aggregate.
-    one_each = transitions.groupBy("flight_id").agg(newest.alias("_newest"))
-    return (
-        _still_active(one_each, flights, as_of, seconds)
-        .select("_newest.continent", "_newest.distance_km")
-        .groupBy("continent")
-        .agg(half_even_int(F.avg("distance_km")).alias("average_flight_distance"))
+    active = _still_active(
+        transitions.select("flight_id", "created_at", F.col("origin_zone_name").alias("continent"), "distance_km"),
+        flights,
+        as_of,
+        seconds,
+        replay,
     )
+    one_each = keyed.latest_per_key(active, "flight_id", ["created_at", "continent", "distance_km"])
+    return one_each.groupBy("continent").agg(half_even_int(F.avg("distance_km")).alias("average_flight_distance"))
 
 
 def current_longest_flight(transitions: DataFrame, nulls: str = "first") -> DataFrame:
@@ -159,10 +184,12 @@ def current_longest_flight(transitions: DataFrame, nulls: str = "first") -> Data
 
 
 def most_active_flights_per_builder(flights: DataFrame) -> DataFrame:
-    """Flights ever seen per aircraft builder, the first word of the model."""
-    counts = flights.groupBy(first_word("aircraft_model").alias("builder")).agg(
-        F.count("id").cast("int").alias("flight_count")
-    )
+    """Flights ever seen per aircraft builder, the first word of the model.
+
+    ``flights`` can be ``flights_per_model`` of them.
+    """
+    counts = _weighted(flights, first_word("aircraft_model").alias("builder"))
+    counts = counts.select("builder", F.col("n").cast("int").alias("flight_count"))
     return counts.orderBy(F.desc("flight_count"), "builder")
 
 
@@ -186,9 +213,10 @@ def _names_by_code(airlines: DataFrame) -> DataFrame:
     return airlines.select("code", F.col("name").alias("airline_name")).distinct()
 
 
-def _still_active(rows: DataFrame, flights: DataFrame, as_of: Instant, seconds: int) -> DataFrame:
+def _still_active(
+    rows: DataFrame, flights: DataFrame, as_of: Instant, seconds: int, replay: bool = False
+) -> DataFrame:
     """Rows whose flight was observed in the window.  The input has few rows per flight, so a
-    shuffled join meets no hot key; if the active ids are few, Spark moves the join below the
-    input's aggregate and broadcasts them."""
-    ids = recent(flights, as_of, seconds).select(F.col("id").alias("flight_id"))
+    shuffled join meets no hot key; if the active ids are few, Spark broadcasts them."""
+    ids = recent(flights, as_of, seconds, replay=replay).select(F.col("id").alias("flight_id"))
     return rows.join(ids, "flight_id", "left_semi")

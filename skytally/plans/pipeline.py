@@ -6,10 +6,12 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skytally import schemas
 from skytally.operators.tables import KeyedTable, SnapshotTable
 from skytally.plans import jobs
+from skytally.session import shared_dir
 
 
 class Warehouse:
@@ -31,26 +33,14 @@ class Warehouse:
         self.snapshots = {s.name: SnapshotTable(spark, root, s) for s in schemas.SNAPSHOTS}
 
     def create_catalog(self) -> None:
-        """Create the three databases, the snapshot tables and views of the current rows for SQL users.
+        """Create the three databases, and in them a view of every table for SQL users.
 
-        They lie over the folders the jobs write; call again to show new batches.
+        The tables keep their views up to date from then on, whoever writes them.
         """
         for database in ("raw_data", "processed_data", "analytics_data"):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        for table in (self.flight, self.airline, self.airport):
-            self.spark.sql(f"CREATE OR REPLACE VIEW raw_data.{table.spec.name} AS {table.definition()}")
-        for table in self.snapshots.values():
-            name = f"{table.spec.database}.{table.spec.name}"
-            columns = ", ".join(
-                f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
-                + (" DEFAULT current_timestamp()" if f.name == "created_at" else "")
-                for f in table.spec.schema.fields
-            )
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {name} ({columns}, batch_id BIGINT) "
-                f"USING parquet PARTITIONED BY (batch_id) LOCATION '{table.path}'"
-            )
-            self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        for table in (self.flight, self.airline, self.airport, *self.snapshots.values()):
+            table.publish(f"{table.spec.database}.{table.spec.name}")
 
     def register_views(self) -> None:
         """Temporary views flight, airline, airport over the current rows, and one per snapshot history."""
@@ -75,15 +65,32 @@ def run_all(
 
     The transitions are stored first and the jobs that need them read the stored history, so they
     are computed once per run.  A batch run again, after a failure or by mistake, replaces itself.
+    ``replay`` bounds all windows at the clock, for runs that are done later; the flights are still as they
+    are now, so a flight observed again since then is missing from a replay.
     A NULL where J3 requires a value fails the run, or with ``on_null="quarantine"`` is stored aside.
     Returns the stored batch of each table, and the two rankings.
     """
     batch_id = as_of if batch_id is None else batch_id
     created_at = created_at or datetime.fromtimestamp(as_of, timezone.utc)
-    flights, airlines, airports = (t.read() for t in (warehouse.flight, warehouse.airline, warehouse.airport))
-    # The jobs with a window need only the days it touches (a second more, as its start is rounded).
+    spark = warehouse.spark
+    airlines, airports = warehouse.airline.read(), warehouse.airport.read()
+
+    def kept(rows: DataFrame, purpose: str) -> DataFrame:
+        path = shared_dir(spark, purpose)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    # The deltas are laid over the base once for all jobs with a window, and once for those without.
+    # The former need only the days it touches (a second more, as its start is rounded).
     start = as_of - max(active_seconds, transition_seconds) - 1
-    lately = warehouse.flight.read(since=start // warehouse.segment_seconds)
+    lately = warehouse.flight.read(since=start // warehouse.segment_seconds).filter(F.col("time") >= start)
+    lately = kept(
+        lately.select(
+            "id", "airline_iata", "airline_icao", "origin_airport_iata", "destination_airport_iata", "on_ground", "time"
+        ),
+        "lately",
+    )
+    per_model = kept(jobs.flights_per_model(warehouse.flight.read()), "models")
     done = {}
 
     def store(name: str, result: DataFrame) -> DataFrame:
@@ -92,16 +99,21 @@ def run_all(
         return done[name]
 
     transition = "airport_and_zone_transition"
-    store(
+    own = store(
         transition,
         # Few rows of a long scan: merge them into files of a fair size.
         jobs.airport_and_zone_transition(
             lately, airports, as_of, transition_seconds, method, replay
         ).hint("rebalance"),
     )
-    history = warehouse.snapshots[transition].read()
-    store("most_flights_in_progress", jobs.most_flights_in_progress(lately, airlines, as_of, active_seconds))
-    models = jobs.aircraft_model_per_airline_country(flights, airlines, on_null)
+    # Runs that came later don't count, so that a run done again gives what it gave.
+    stamp = F.lit(created_at)
+    history = warehouse.snapshots[transition].read().filter(F.col("created_at").isNull() | (F.col("created_at") <= stamp))
+    store(
+        "most_flights_in_progress",
+        jobs.most_flights_in_progress(lately, airlines, as_of, active_seconds, replay=replay),
+    )
+    models = jobs.aircraft_model_per_airline_country(per_model, airlines, on_null)
     if on_null == "quarantine":
         models, rejects = models
         rejects.write.mode("overwrite").parquet(
@@ -110,14 +122,17 @@ def run_all(
     models = store("aircraft_model_per_airline_country", models)
     per_continent = store(
         "airline_with_most_active_flights_per_continent",
-        jobs.airline_with_most_active_flights_per_continent(history, airlines, lately, as_of, active_seconds),
+        jobs.airline_with_most_active_flights_per_continent(
+            history, airlines, lately, as_of, active_seconds, replay
+        ),
     )
     store(
         "average_flight_distance_per_continent",
-        jobs.average_flight_distance_per_continent(history, lately, as_of, active_seconds),
+        jobs.average_flight_distance_per_continent(history, lately, as_of, active_seconds, replay),
     )
-    store("current_longest_flight", jobs.current_longest_flight(history))
-    store("most_active_flights_per_builder", jobs.most_active_flights_per_builder(flights))
+    # The newest batch with rows is this run's, unless it has none.
+    store("current_longest_flight", jobs.current_longest_flight(history if own.isEmpty() else own))
+    store("most_active_flights_per_builder", jobs.most_active_flights_per_builder(per_model))
     done["top_models_per_country"] = jobs.top_models_per_country(models)
     done["top_airlines_per_continent"] = jobs.top_airlines_per_continent(per_continent)
     return done

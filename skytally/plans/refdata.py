@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skytally.functions.country import built_in_continents, override_continents
 from skytally.functions.text import field_after, non_empty_cells
 from skytally.operators.keyed import latest_per_key
 from skytally.operators.lookup import first_of, with_default
@@ -23,9 +24,18 @@ def load_airlines(feed: DataFrame, countries: DataFrame) -> DataFrame:
 
 
 def load_airports(
-    feed: DataFrame, overrides: DataFrame, standard: DataFrame, on_unknown: str = "fail"
+    feed: DataFrame,
+    overrides: DataFrame | None = None,
+    standard: DataFrame | None = None,
+    on_unknown: str = "fail",
 ) -> DataFrame:
-    """Airport feed with the continent of its country; the override table wins."""
+    """Airport feed with the continent of its country; the override table wins.
+
+    Without tables of one's own the built-in ones hold.
+    """
+    spark = feed.sparkSession
+    overrides = override_continents(spark) if overrides is None else overrides
+    standard = built_in_continents(spark) if standard is None else standard
     arrival = [c for c in feed.columns if c == "_arrival"]
     public = feed.select(*public_columns(feed).columns, *arrival)
     placed = first_of(public, [overrides, standard], "country", "continent", on_unknown)

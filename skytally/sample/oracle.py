@@ -23,13 +23,16 @@ _FLIGHT = """flight as (
   select cast(o_orderkey as varchar) id, p_name aircraft_model,
     case when o_orderkey % 11 = 0 then '' when o_orderkey % 13 = 0 then null
          else concat('C', cast(o_orderkey % 12 as varchar)) end airline_iata,
-    concat('S', cast(o_orderkey % 100 as varchar)) airline_icao,
+    case when carrier is not null then concat('S', cast(carrier as varchar)) end airline_icao,
     concat('A', cast(o_custkey as varchar)) origin_airport_iata,
-    concat('A', cast((o_orderkey*13+7) % 150 as varchar)) destination_airport_iata,
+    case when last_part is not null then concat('A', cast(last_part as varchar)) end destination_airport_iata,
     case when o_orderstatus = 'F' then 1 else 0 end on_ground,
     cast(o_orderkey % 40000 as int) altitude,
     cast(epoch(o_orderdate) as int) as "time", o_custkey, o_orderkey, o_totalprice
-  from orders left join part on p_partkey = o_orderkey % 250)"""
+  from orders left join (
+    select l_orderkey, min(l_partkey) model_part, max(l_partkey) last_part, max(l_suppkey) carrier
+    from lineitem group by 1) on l_orderkey = o_orderkey
+  left join part on p_partkey = model_part)"""
 
 # Two clocks, and every transition of each.
 _LEGS = f"""clock(batch) as (select unnest([{EARLIER}, {AS_OF}])),
@@ -160,28 +163,31 @@ _BATCH = "case event_type when 'click' then 2 when 'error' then 1 else 0 end"
 
 
 def _runs() -> str:
-    """Rows stored by each job for both clocks; the later run sees the transitions of both."""
+    """What each job stores for both clocks; the later run sees the transitions of both."""
     parts = []
     for as_of in (EARLIER, AS_OF):
-        active = f'f."time" > {as_of} - {ACTIVE}'
+        active = f'f."time" > {as_of} - {ACTIVE} and f."time" <= {as_of}'
+        ends = "flight_id a, origin_airport_name b, destination_airport_name c, round(cast(distance_km as double), 1) n"
         parts += [
-            f"""select 'most_flights_in_progress' table_name, {as_of} batch_id, count(*) n from (
-              select distinct f.airline_iata, al.name from flight f left join airline al on al.code = f.airline_iata
-              where {active} and on_ground = 0 and airline_iata != '')""",
-            f"select 'airport_and_zone_transition', {as_of}, count(*) from leg where batch = {as_of}",
-            f"""select 'aircraft_model_per_airline_country', {as_of}, count(*) from (
-              {_MODELS}) where model_name is not null""",
-            f"""select 'airline_with_most_active_flights_per_continent', {as_of}, count(*) from (
-              select distinct leg.airline_iata, al.name, origin_zone_name
-              from leg left join airline al on al.code = leg.airline_iata join flight f on f.id = leg.flight_id
-              where {active} and batch <= {as_of} and origin_zone_name = destination_zone_name)""",
-            f"""select 'average_flight_distance_per_continent', {as_of}, count(distinct origin_zone_name) from (
-              select flight_id, origin_zone_name, row_number() over (partition by flight_id
-                order by batch desc, origin_zone_name desc) n
-              from leg join flight f on f.id = leg.flight_id where {active} and batch <= {as_of}) where n = 1""",
-            f"select 'current_longest_flight', {as_of}, least(count(*), 1) from leg where batch <= {as_of}",
-            f"""select 'most_active_flights_per_builder', {as_of}, count(*) from (
-              select distinct split_part(aircraft_model, ' ', 1) from flight)""",
+            f"""select 'most_flights_in_progress' table_name, {as_of} batch_id, f.airline_iata a, al.name b, null c, count(*) n
+              from flight f left join airline al on al.code = f.airline_iata
+              where {active} and on_ground = 0 and airline_iata != '' group by all""",
+            f"select 'airport_and_zone_transition', {as_of}, {ends} from azt where batch = {as_of}",
+            f"""select 'aircraft_model_per_airline_country', {as_of}, airline_name, country, model_name, aircraft_count
+              from ({_MODELS}) where model_name is not null""",
+            f"""select 'airline_with_most_active_flights_per_continent', {as_of}, azt.airline_iata, al.name, origin_zone_name,
+                count(distinct f.id)
+              from azt left join airline al on al.code = azt.airline_iata join flight f on f.id = azt.flight_id
+              where {active} and batch <= {as_of} and origin_zone_name = destination_zone_name group by all""",
+            f"""select 'average_flight_distance_per_continent', {as_of}, origin_zone_name, null, null,
+                round_even(avg(cast(distance_km as double)), 0)
+              from (select azt.* from azt join flight f on f.id = azt.flight_id where {active} and batch <= {as_of}
+                qualify row_number() over (partition by flight_id order by batch desc,
+                  origin_zone_name desc nulls last, distance_km desc nulls last) = 1) group by all""",
+            f"""select * from (select 'current_longest_flight', {as_of}, {ends} from azt where batch = {as_of}
+              order by azt.distance_km desc nulls first, flight_id, airline_iata, {_ENDS} limit 1)""",
+            f"""select 'most_active_flights_per_builder', {as_of}, split_part(aircraft_model, ' ', 1), null, null, count(*)
+              from flight group by all""",
         ]
     return " union all ".join(parts)
 
@@ -255,9 +261,8 @@ ORACLE: dict[str, str] = {
         'number': null, 'on_ground': on_ground, 'origin_airport_iata': origin_airport_iata, 'registration': null,
         'squawk': null, 'time': "time", 'vertical_speed': null, 'aircraft_model': aircraft_model}}) as varchar) as "value"
       from flight""",
-    "snapshot_run": f"""{_BASE}, {_LEGS}
-      select table_name, cast(batch_id as bigint) batch_id, cast(n as bigint) row_count, cast(n as bigint) ids
-      from ({_runs()}) where n > 0""",
+    "snapshot_run": f"""{_BASE}, {_TRANSITION}
+      select table_name, cast(batch_id as bigint) batch_id, a, b, c, cast(n as double) n from ({_runs()})""",
     "recent_filter": f"""with {_FLIGHT} select id, "time" from flight where "time" > {AS_OF} - {ACTIVE}""",
     "recent_filter_short": f"""with {_FLIGHT} select id, "time" from flight
       where "time" > {AS_OF} - {TRANSITION} and "time" <= {AS_OF}""",

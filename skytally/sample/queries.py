@@ -44,7 +44,7 @@ def _km(c: str = "distance_km") -> Column:
 
 def transitions(spark: SparkSession, sf_dir: str, as_of: int, method: str = "spheroid") -> DataFrame:
     return jobs.airport_and_zone_transition(
-        views.flights(spark, sf_dir), views.airports(spark, sf_dir), as_of, TRANSITION, method, replay=True
+        views.flights(spark, sf_dir, model=False), views.airports(spark, sf_dir), as_of, TRANSITION, method, replay=True
     )
 
 
@@ -65,7 +65,7 @@ def history(flights: DataFrame, airports: DataFrame) -> DataFrame:
 @query
 def most_flights_in_progress(spark, sf_dir):
     return jobs.most_flights_in_progress(
-        views.flights(spark, sf_dir), views.airlines(spark, sf_dir), AS_OF, ACTIVE
+        views.flights(spark, sf_dir, model=False), views.airlines(spark, sf_dir), AS_OF, ACTIVE
     )
 
 
@@ -86,7 +86,7 @@ def aircraft_model_per_airline_country(spark, sf_dir):
 
 @query
 def airline_with_most_active_flights_per_continent(spark, sf_dir):
-    flights = views.flights(spark, sf_dir)
+    flights = views.flights(spark, sf_dir, model=False)
     return jobs.airline_with_most_active_flights_per_continent(
         history(flights, views.airports(spark, sf_dir)), views.airlines(spark, sf_dir), flights, AS_OF, ACTIVE
     )
@@ -94,7 +94,7 @@ def airline_with_most_active_flights_per_continent(spark, sf_dir):
 
 @query
 def average_flight_distance_per_continent(spark, sf_dir):
-    flights = views.flights(spark, sf_dir)
+    flights = views.flights(spark, sf_dir, model=False)
     return jobs.average_flight_distance_per_continent(
         history(flights, views.airports(spark, sf_dir)), flights, AS_OF, ACTIVE
     )
@@ -102,13 +102,13 @@ def average_flight_distance_per_continent(spark, sf_dir):
 
 @query
 def current_longest_flight(spark, sf_dir):
-    transitions = history(views.flights(spark, sf_dir), views.airports(spark, sf_dir))
+    transitions = history(views.flights(spark, sf_dir, model=False), views.airports(spark, sf_dir))
     return jobs.current_longest_flight(transitions).withColumn("distance_km", _km())
 
 
 @query
 def current_longest_flight_known(spark, sf_dir):
-    transitions = history(views.flights(spark, sf_dir), views.airports(spark, sf_dir))
+    transitions = history(views.flights(spark, sf_dir, model=False), views.airports(spark, sf_dir))
     return jobs.current_longest_flight(transitions, nulls="last").withColumn("distance_km", _km())
 
 
@@ -250,7 +250,7 @@ def _order_stream(spark, sf_dir):
     """Orders as a stream; a glob names the table whether it is a file or a folder."""
     path = f"{sf_dir}/orders.parque[t]"
     orders = spark.readStream.schema(views.table(spark, sf_dir, "orders").schema).parquet(path)
-    return orders, views.table(spark, sf_dir, "part")
+    return orders, views.first_lines(spark, sf_dir), views.table(spark, sf_dir, "part")
 
 
 @query
@@ -260,8 +260,7 @@ def ingest_flights(spark, sf_dir):
     Costly orders carry a text as altitude and are refused.
     """
     root = shared_dir(spark, "ingest")
-    orders, part = _order_stream(spark, sf_dir)
-    seen = _messages(orders, part)
+    seen = _messages(*_order_stream(spark, sf_dir))
     table = KeyedTable(spark, root, FLIGHT)
     tasks = spark.sparkContext.defaultParallelism
     ingest(
@@ -270,7 +269,7 @@ def ingest_flights(spark, sf_dir):
     return table.read().select("id", "airline_iata", "airline_icao", "altitude", "on_ground", "time", "aircraft_model")
 
 
-def _messages(orders, part):
+def _messages(orders, lines, part):
     flight = F.struct(
         F.col("o_custkey").cast("string").alias("id"),
         F.when(F.col("o_totalprice") > 400000, F.lit("N/A"))
@@ -279,7 +278,7 @@ def _messages(orders, part):
         *[F.col(c) for c in FLIGHT.schema.fieldNames() if c not in ("id", "altitude")],
         F.struct(F.col("o_totalprice")).alias("details"),
     )
-    rows = views.observations(orders, part, keep=("o_orderkey", "o_custkey", "o_totalprice"))
+    rows = views.observations(orders, lines, part, keep=("o_orderkey", "o_custkey", "o_totalprice"))
     value = F.to_json(flight, {"ignoreNullFields": "false"}).cast("binary")
     return rows.select(value.alias("value"), F.col("o_orderkey").alias("arrival"))
 
@@ -288,8 +287,7 @@ def _messages(orders, part):
 def publish_flights(spark, sf_dir):
     """Orders as a stream of JSON messages in text files."""
     root = shared_dir(spark, "publish")
-    orders, part = _order_stream(spark, sf_dir)
-    seen = views.observations(orders, part).withColumn("_internal", F.lit(1))
+    seen = views.observations(*_order_stream(spark, sf_dir)).withColumn("_internal", F.lit(1))
     publish(
         seen, f"{root}/checkpoint", format="text", trigger={"availableNow": True}, path=f"{root}/messages"
     ).awaitTermination()
@@ -298,14 +296,14 @@ def publish_flights(spark, sf_dir):
 
 @query
 def snapshot_run(spark, sf_dir):
-    """All jobs run and stored for two clocks, the second one twice; rows per table and batch."""
+    """All jobs run and stored for two clocks, then the earlier one again; the values in all tables."""
     # 90 days stand for 600 s here, so a stored span is longer than a day too.
     warehouse = Warehouse(spark, shared_dir(spark, "run"), segment_seconds=4 * ACTIVE)
     warehouse.flight.upsert(views.flights(spark, sf_dir), 0)
     warehouse.flight.compact()
     warehouse.airline.upsert(views.airlines(spark, sf_dir), 0)
     warehouse.airport.upsert(views.airports(spark, sf_dir), 0)
-    for as_of in (EARLIER, AS_OF, AS_OF):
+    for as_of in (EARLIER, AS_OF, EARLIER):
         run_all(
             warehouse,
             as_of,
@@ -314,14 +312,28 @@ def snapshot_run(spark, sf_dir):
             replay=True,
             on_null="quarantine",
         )
-    counts = None
-    for name, table in warehouse.snapshots.items():
-        rows = table.read().groupBy("batch_id").agg(
-            F.count("*").alias("row_count"), F.count_distinct("id").alias("ids")
+    values = None
+    for name, (*texts, n) in _RESULTS.items():
+        number = F.round(F.col(n).cast("double"), 1) if n == "distance_km" else F.col(n).cast("double")
+        columns = [F.col(t).alias(c) for t, c in zip(texts, "abc")]
+        columns += [F.lit(None).cast("string").alias(c) for c in "abc"[len(texts) :]]
+        rows = warehouse.snapshots[name].read().select(
+            F.lit(name).alias("table_name"), "batch_id", *columns, number.alias("n")
         )
-        rows = rows.select(F.lit(name).alias("table_name"), "batch_id", "row_count", "ids")
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts
+        values = rows if values is None else values.unionByName(rows)
+    return values
+
+
+# What is compared of each stored table: up to three texts and a number.
+_RESULTS = {
+    "most_flights_in_progress": ("airline_code", "airline_name", "flight_count"),
+    "airport_and_zone_transition": ("flight_id", "origin_airport_name", "destination_airport_name", "distance_km"),
+    "aircraft_model_per_airline_country": ("airline_name", "country", "model_name", "aircraft_count"),
+    "airline_with_most_active_flights_per_continent": ("airline_code", "airline_name", "continent", "flight_count"),
+    "average_flight_distance_per_continent": ("continent", "average_flight_distance"),
+    "current_longest_flight": ("flight_id", "origin_airport_name", "destination_airport_name", "distance_km"),
+    "most_active_flights_per_builder": ("builder", "flight_count"),
+}
 
 
 # --- single operators -------------------------------------------------------------------------
@@ -329,17 +341,17 @@ def snapshot_run(spark, sf_dir):
 
 @query
 def recent_filter(spark, sf_dir):
-    return filters.recent(views.flights(spark, sf_dir), AS_OF, ACTIVE).select("id", "time")
+    return filters.recent(views.flights(spark, sf_dir, model=False), AS_OF, ACTIVE).select("id", "time")
 
 
 @query
 def recent_filter_short(spark, sf_dir):
-    return filters.recent(views.flights(spark, sf_dir), AS_OF, TRANSITION, replay=True).select("id", "time")
+    return filters.recent(views.flights(spark, sf_dir, model=False), AS_OF, TRANSITION, replay=True).select("id", "time")
 
 
 @query
 def in_the_air_non_empty(spark, sf_dir):
-    return filters.non_empty(filters.in_the_air(views.flights(spark, sf_dir)), "airline_iata").select(
+    return filters.non_empty(filters.in_the_air(views.flights(spark, sf_dir, model=False)), "airline_iata").select(
         "id", "airline_iata"
     )
 
@@ -355,14 +367,14 @@ def same_zone_filter(spark, sf_dir):
 def inner_join_fan_out(spark, sf_dir):
     airports = views.airports(spark, sf_dir).select("iata", F.col("name").alias("airport_name"))
     return lookup.fan_out(
-        views.flights(spark, sf_dir).select("id", "origin_airport_iata"), airports, "origin_airport_iata", "iata"
+        views.flights(spark, sf_dir, model=False).select("id", "origin_airport_iata"), airports, "origin_airport_iata", "iata"
     )
 
 
 @query
 def left_join_fan_out(spark, sf_dir):
     """Every flight with every airline of its code, counted per pair so the result stays small."""
-    counts = views.flights(spark, sf_dir).groupBy("airline_iata").agg(F.count("*").alias("flight_count"))
+    counts = views.flights(spark, sf_dir, model=False).groupBy("airline_iata").agg(F.count("*").alias("flight_count"))
     names = views.airlines(spark, sf_dir).select("code", F.col("name").alias("airline_name"))
     return lookup.fan_out(counts, names, "airline_iata", "code", "left")
 
@@ -371,7 +383,7 @@ def left_join_fan_out(spark, sf_dir):
 def semi_join_active(spark, sf_dir):
     """Transitions of the earlier batch whose flight is still active."""
     old = transitions(spark, sf_dir, EARLIER).select("flight_id", "origin_zone_name").distinct()
-    return jobs._still_active(old, views.flights(spark, sf_dir), AS_OF, ACTIVE)
+    return jobs._still_active(old, views.flights(spark, sf_dir, model=False), AS_OF, ACTIVE)
 
 
 @query
@@ -511,7 +523,7 @@ def last_wins_per_key(spark, sf_dir):
 
 @query
 def distinct_count(spark, sf_dir):
-    return views.flights(spark, sf_dir).groupBy("airline_icao").agg(
+    return views.flights(spark, sf_dir, model=False).groupBy("airline_icao").agg(
         F.count_distinct("origin_airport_iata").cast("int").alias("origins"),
         F.count("airline_iata").cast("int").alias("with_code"),
     )
@@ -519,7 +531,7 @@ def distinct_count(spark, sf_dir):
 
 @query
 def mean_half_even(spark, sf_dir):
-    return views.flights(spark, sf_dir).groupBy("airline_iata").agg(
+    return views.flights(spark, sf_dir, model=False).groupBy("airline_iata").agg(
         half_even_int(F.avg(F.col("altitude").cast("float"))).alias("mean_altitude")
     )
 

@@ -66,20 +66,33 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def observations(orders: DataFrame, part: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One flight per order; the 20 columns of the flight table, after the order's own to ``keep``."""
-    # The remainder is below 250 and part keys are unique: at most 250 rows are broadcast.
-    models = F.broadcast(part.filter("p_partkey BETWEEN 0 AND 249").select("p_partkey", "p_name"))
-    return orders.join(models, F.expr("p_partkey = o_orderkey % 250"), "left").selectExpr(
+def first_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an order's lines say about its flight; orders without lines have none."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+    return lines.agg(
+        F.min("l_partkey").alias("model_part"), F.max("l_partkey").alias("last_part"), F.max("l_suppkey").alias("carrier")
+    )
+
+
+def observations(orders: DataFrame, lines: DataFrame, part: DataFrame | None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One flight per order; the 20 columns of the flight table, after the order's own to ``keep``.
+
+    Model, destination and carrier come from the order's lines.  Without ``part`` the model is NULL, for
+    queries that have no use for it.
+    """
+    flights = orders.join(lines, F.expr("l_orderkey = o_orderkey"), "left")
+    if part is not None:
+        flights = flights.join(part.select("p_partkey", "p_name"), F.expr("p_partkey = model_part"), "left")
+    return flights.selectExpr(
         *keep,
         "string(o_orderkey) AS id",
         "string(NULL) AS aircraft_code",
         "CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 13 != 0 THEN concat('C', string(o_orderkey % 12)) END"
         " AS airline_iata",
-        "concat('S', string(o_orderkey % 100)) AS airline_icao",
+        "concat('S', string(carrier)) AS airline_icao",
         "int(o_orderkey % 40000) AS altitude",
         "string(NULL) AS callsign",
-        "concat('A', string((o_orderkey * 13 + 7) % 150)) AS destination_airport_iata",
+        "concat('A', string(last_part)) AS destination_airport_iata",
         "int(NULL) AS ground_speed",
         "int(NULL) AS heading",
         "string(NULL) AS icao_24bit",
@@ -92,9 +105,11 @@ def observations(orders: DataFrame, part: DataFrame, keep: tuple[str, ...] = ())
         "string(NULL) AS squawk",
         f"{epoch('o_orderdate')} AS time",
         "int(NULL) AS vertical_speed",
-        "p_name AS aircraft_model",
+        "p_name AS aircraft_model" if part is not None else "string(NULL) AS aircraft_model",
     )
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observations(table(spark, sf_dir, "orders"), table(spark, sf_dir, "part"))
+def flights(spark: SparkSession, sf_dir: str, model: bool = True) -> DataFrame:
+    return observations(
+        table(spark, sf_dir, "orders"), first_lines(spark, sf_dir), table(spark, sf_dir, "part") if model else None
+    )

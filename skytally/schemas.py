@@ -28,7 +28,7 @@ class KeyedSpec:
     """A table holding one row per key.
 
     ``segment`` is SQL for the whole number of the part a row is stored in, ``cluster_by`` the
-    order of rows within a part.
+    order of rows within a part, ``segment_column`` the column that segments grow with.
     """
 
     database: str
@@ -37,6 +37,7 @@ class KeyedSpec:
     key: str
     cluster_by: tuple[str, ...] = ()
     segment: str = "0"
+    segment_column: str = ""
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,7 @@ FLIGHT = KeyedSpec(
     key="id",
     cluster_by=("time", "id"),
     segment="coalesce(time div 86400, -1)",
+    segment_column="time",
 )
 
 AIRLINE = KeyedSpec(

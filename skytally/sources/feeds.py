@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
@@ -47,8 +47,10 @@ def write_reference(df: DataFrame, path: str, key: str, value: str) -> None:
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """A topic from its first offset, as (value, arrival).
 
-    Lost offsets stop the query.  Messages carry no key, so across partitions only the broker's
-    time orders them.
+    Lost offsets stop the query.  Within a partition the offsets decide, whatever a producer's clock
+    says: ``arrival`` goes by the greatest time up to the message's own offset.  Messages carry no
+    key, so across partitions only these times order them; let the broker stamp them
+    (``message.timestamp.type=LogAppendTime``).
     """
     raw = (
         spark.readStream.format("kafka")
@@ -59,9 +61,31 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **options) ->
         .options(**options)
         .load()
     )
+    return topic_arrival(raw)
+
+
+def topic_arrival(raw: DataFrame) -> DataFrame:
+    """(value, arrival) of a topic's rows; ``in_batch`` turns this arrival into a sortable one."""
     return raw.select("value", F.struct("timestamp", "partition", "offset").alias("arrival"))
 
 
+def in_batch(messages: DataFrame) -> DataFrame:
+    """The rows of one batch with an ``arrival`` that never goes back within a partition of the topic.
+
+    Each time is raised to the greatest one before it in its partition: a window over the topic's partition,
+    which one task reads in the order of offsets, as it does from the topic.
+    """
+    fields = messages.schema["arrival"].dataType
+    if "offset" not in getattr(fields, "names", ()):
+        return messages
+    so_far = Window.partitionBy("arrival.partition").orderBy("arrival.offset")
+    time = F.max("arrival.timestamp").over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return messages.withColumn("_time", time).select(
+        *[c for c in messages.columns if c != "arrival"],
+        F.struct(F.col("_time").alias("timestamp"), "arrival.partition", "arrival.offset").alias("arrival"),
+    )
+
+
 def landed_messages(spark: SparkSession, path: str, **options) -> DataFrame:
     """The same stream out of text files with one message per line, ordered by landing time."""
     raw = spark.readStream.format("text").options(**options).load(path)

@@ -10,16 +10,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skytally.operators.records import public_columns
 from skytally.operators.tables import KeyedTable
+from skytally.sources.feeds import in_batch
 from skytally.streaming.messages import decode, to_messages
 
 
 def ingest_batch(
-    messages: DataFrame, table: KeyedTable, batch_id: int, quarantine: str | None, on_bad: str = "quarantine"
+    messages: DataFrame,
+    table: KeyedTable,
+    batch_id: int,
+    quarantine: str | None,
+    on_bad: str = "quarantine",
+    writer: str = "",
 ) -> None:
     """Upsert one micro-batch of (value, arrival).
 
-    Refused messages go to ``quarantine/batch_id=...`` with the reason, or raise with
-    ``on_bad="fail"``.  Both writes replace what an earlier try of the same batch left.
+    Refused messages go to ``quarantine/writer=.../batch_id=...`` with the reason, or raise with
+    ``on_bad="fail"``.  Both writes replace what an earlier try of the same writer's batch left.
     """
     if on_bad not in ("quarantine", "fail"):
         raise ValueError(f"unknown policy {on_bad!r}")
@@ -31,13 +37,13 @@ def ingest_batch(
                 F.col(table.spec.key)
             ),
         )
-        table.upsert(good, batch_id, arrival="arrival")
+        table.upsert(good, batch_id, "arrival", writer)
         return
     decoded = decoded.persist()
     try:
         bad = decoded.filter(F.col("_reason").isNotNull()).select("value", "arrival", F.col("_reason").alias("reason"))
-        bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        table.upsert(decoded.filter(F.col("_reason").isNull()), batch_id, arrival="arrival")
+        bad.write.mode("overwrite").parquet(f"{quarantine}/writer=s{writer}/batch_id={batch_id}")
+        table.upsert(decoded.filter(F.col("_reason").isNull()), batch_id, "arrival", writer)
     finally:
         decoded.unpersist()
 
@@ -50,25 +56,31 @@ def ingest(
     on_bad: str = "quarantine",
     trigger: dict | None = None,
     partitions: int | None = None,
-    compact_every: int | None = None,
+    compact_every: int | None = 100,
     after_batch: Callable[[KeyedTable, int], None] | None = None,
 ) -> StreamingQuery:
     """Run the stream of (value, arrival) into the table.
 
     The checkpoint holds the position, so a restart goes on where the last finished batch ended.
     ``partitions`` spreads a batch's messages over so many tasks where the source has few splits.
-    ``compact_every`` folds the deltas after so many batches; ``after_batch`` may run queries over
-    the new state.
+    ``compact_every`` folds the deltas after so many batches and removes folders that recent lists don't
+    name; ``after_batch`` may run queries over the new state.
+
+    Batches are known by the stream's id, which lies in the checkpoint: a new checkpoint is a new
+    writer, whose batches count whatever their numbers.  A topic's first batch takes all there is; bound
+    it with the source's own option (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
     """
     quarantine = quarantine or f"{table.path}_quarantine"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Where arrivals are equal (lines of one file), the order of reading decides.
-        numbered = batch.withColumn("arrival", F.struct("arrival", F.monotonically_increasing_id().alias("row")))
+        numbered = in_batch(batch).withColumn("arrival", F.struct("arrival", F.monotonically_increasing_id().alias("row")))
         spread = numbered.repartition(partitions) if partitions else numbered
-        ingest_batch(spread, table, batch_id, quarantine, on_bad)
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        ingest_batch(spread, table, batch_id, quarantine, on_bad, writer)
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
+            table.retire()
         if after_batch:
             after_batch(table, batch_id)
 

@@ -20,18 +20,20 @@ def decode(messages: DataFrame, schema: StructType, value: str = "value") -> Dat
     """
     kept = [f"`{c}`" for c in messages.columns]
     fields = schema.fields
-    names = ", ".join(f"'{f.name}'" for f in fields)
-    members = ", ".join(f"`{f.name}` STRING" for f in fields)
     text = f"string({value})"
-    # The flaws of the text as a whole, then its members as text, then as values: one step each, so
-    # that no step repeats the work of the one before.
+    # The message is parsed once, to its members as text; then members become values.
     parsed = messages.selectExpr(
+        *kept, f"is_valid_utf8({text}) AS _valid", f"from_json({text}, 'MAP<STRING, STRING>') AS _members"
+    )
+    parsed = parsed.selectExpr(
         *kept,
-        f"CASE WHEN NOT is_valid_utf8({text}) THEN 'not UTF-8'"
-        f" WHEN json_object_keys({text}) IS NULL THEN 'not a JSON object' END AS _flaw",
-        f"array_join(array_except(array({names}), json_object_keys({text})), ', ') AS _absent",
-        f"from_json({text}, '{members}') AS _text",
+        "CASE WHEN NOT _valid THEN 'not UTF-8' WHEN _members IS NULL THEN 'not a JSON object' END AS _flaw",
+        "_members",
+        f"named_struct({', '.join(f"""'{f.name}', try_element_at(_members, '{f.name}')""" for f in fields)}) AS _text",
     )
+    # Only a member without text can be absent.
+    absent = _names_where({f.name: f"_text.`{f.name}` IS NULL AND NOT map_contains_key(_members, '{f.name}')" for f in fields})
+    parsed = parsed.selectExpr(*kept, "_flaw", f"{absent} AS _absent", "_text")
     typed = parsed.selectExpr("*", *[f"{_typed(f)} AS `{f.name}`" for f in fields])
     checked = [f for f in fields if not isinstance(f.dataType, StringType)]
     unfit = _names_where({f.name: f"_text.`{f.name}` IS NOT NULL AND `{f.name}` IS NULL" for f in checked})
