@@ -14,6 +14,7 @@ time; readers need no lock.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -44,11 +45,6 @@ class Entry(NamedTuple):
     number: int | None = None
 
 
-_ENTRY = StructType()
-for _name, _kind in zip(Entry._fields, (StringType(), StringType(), LongType(), LongType(), StringType(), LongType())):
-    _ENTRY = _ENTRY.add(_name, _kind)
-
-
 @dataclass(frozen=True)
 class _List:
     version: int
@@ -73,29 +69,22 @@ class _Stored:
         self.path = f"{root.rstrip('/')}/{spec.database}/{spec.name}"
 
     def _versions(self) -> list[int]:
-        return [int(n.split("=")[1]) for n in files.names(self.spark, f"{self.path}/list") if n.startswith("version=")]
-
-    def _list_path(self, version: int) -> str:
-        return f"{self.path}/list/version={version}"
-
-    def _finished(self, version: int) -> bool:
-        return files.exists(self.spark, f"{self._list_path(version)}/_SUCCESS")
+        found = files.names(self.spark, f"{self.path}/list")
+        return [int(n.split("=")[1]) for n in found if n.startswith("version=") and not n.endswith(".tmp")]
 
     def _load(self, version: int) -> _List:
-        rows = self.spark.read.schema(_ENTRY).parquet(self._list_path(version)).collect()
-        return _List(version, tuple(Entry(*r) for r in rows))
+        lines = files.read(self.spark, f"{self.path}/list/version={version}").splitlines()
+        return _List(version, tuple(Entry(*json.loads(line)) for line in lines))
 
     def _state(self) -> _List:
-        """The newest finished list: one small file, however often the table has changed."""
-        for version in sorted(self._versions(), reverse=True):
-            if self._finished(version):
-                return self._load(version)
-        return _List(0, ())
+        """The newest list: one small file, however often the table has changed."""
+        versions = self._versions()
+        return self._load(max(versions)) if versions else _List(0, ())
 
     def _commit(self, state: _List) -> None:
-        version = max([0, *self._versions()]) + 1
-        rows = self.spark.createDataFrame([tuple(e) for e in state.entries], _ENTRY)
-        rows.coalesce(1).write.parquet(self._list_path(version))
+        """Make the state the newest; fails if another writer has committed since it was read."""
+        text = "\n".join(json.dumps(e) for e in state.entries)
+        files.write(self.spark, f"{self.path}/list/version={state.version + 1}", text)
         for view in state.of("view"):
             if self.spark.catalog.databaseExists(view.name.split(".")[0]):
                 self._create_view(view.name)
@@ -116,8 +105,7 @@ class _Stored:
 
         Readers that began before these lists must have ended.  Returns what was deleted.
         """
-        finished = [v for v in sorted(self._versions(), reverse=True) if self._finished(v)]
-        kept = finished[:keep]
+        kept = sorted(self._versions(), reverse=True)[:keep]
         live = {e.name for v in kept for e in self._load(v).entries}
         gone = [f for f in self._folders() if f not in live] if kept else []
         gone += [f"list/version={v}" for v in self._versions() if kept and v < kept[-1]]

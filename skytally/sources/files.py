@@ -1,7 +1,9 @@
-"""Names of stored folders, through the file system that Spark itself uses."""
+"""Names of stored folders and small lists, through the file system that Spark itself uses."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -24,3 +26,25 @@ def names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     system, place = _open(spark, path)
     system.delete(place, True)
+
+
+def write(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, which has its name only once it is complete."""
+    unfinished = f"{path}.{uuid.uuid4().hex}.tmp"
+    system, place = _open(spark, unfinished)
+    stream = system.create(place, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if not system.rename(place, _open(spark, path)[1]):
+        raise FileExistsError(path)
+
+
+def read(spark: SparkSession, path: str) -> str:
+    system, place = _open(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
