@@ -20,6 +20,7 @@ there are; an empty table gives a table without blocks.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -29,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skytally.llm.common import stored
 from skytally.session import shared_dir
 
 BLOCK_IDS = 1 << 19
 MAGIC = b"TKB1"
-#: Pieces of text whose ids a worker remembers before it starts anew.
-MAX_KNOWN = 600_000
+#: Pieces of text whose ids a worker remembers, twice at most: those used lately, and those before.
+MAX_KNOWN = 400_000
+_INNER_SPACE = re.compile(r"\s")
 _NULL_ID = np.iinfo(np.int64).min
 
 
@@ -99,6 +102,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._line_end = self._whole(["\n"])[0]
         kind = type(self._tokenizer.pre_tokenizer).__name__
         self._split = kind == "ByteLevel" and self._tokenizer.normalizer is None and not self._merges_words()
@@ -121,14 +125,30 @@ class Encoder:
         # A blank opens a new piece; a line end is one.
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces, many in one text with a line end after each."""
+        plain = [p for p in pieces if not _INNER_SPACE.search(p, 1) and (p[:1] == " " or not p[:1].isspace())]
+        self._known.update((p, d) for p, d in zip(rest := list(set(pieces) - set(plain)), self._whole(rest)))
+        mark = int(np.frombuffer(self._line_end, "<u4")[0])
+        groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
+        for group, data in zip(groups, self._whole(["\n".join(g) for g in groups])):
+            cuts = np.flatnonzero(np.frombuffer(data, "<u4") == mark) * 4
+            if len(cuts) == len(group) - 1:
+                begins, ends = [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]
+                self._known.update((p, data[a:b]) for p, a, b in zip(group, begins, ends))
+            else:
+                self._known.update(zip(group, self._whole(group)))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids, as bytes of unsigned 32-bit integers."""
-        known = self._known
-        if len(known) > MAX_KNOWN:
-            known.clear()
+        if len(self._known) > MAX_KNOWN:
+            # What is still in use comes back from the older half.
+            self._older, self._known = self._known, {}
+        known, older = self._known, self._older
         parts = [self._pieces(t) if self._split else None for t in texts]
-        new = list({p for found in parts if found for p in found if p not in known})
-        known.update(zip(new, self._whole(new)))
+        new = {p for found in parts if found for p in found if p not in known}
+        known.update((p, older[p]) for p in new if p in older)
+        self._learn([p for p in new if p not in older])
         whole = iter(self._whole([t for t, found in zip(texts, parts) if found is None]))
         return [next(whole) if found is None else b"".join([known[p] for p in found]) for found in parts]
 
@@ -203,6 +223,8 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     files = blocks.groupBy("file").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    # Stored, so that Spark knows its size and, where it is small, leaves the blocks where they are.
+    starts = stored(starts, "token-starts")
     return blocks.join(starts, "file").withColumn("start", F.col("base") + F.col("file_start")).drop("base")
 
 
