@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from skytally.llm.common import stored
 from skytally.llm.shingles import mixed, slices, words
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_200_000
 BUCKET_TOKENS = 2_500_000
 #: Counts above this are trusted as they are.
 K = 5
@@ -47,12 +47,16 @@ _END, _BEGIN = mixed(np.array([1, 2], np.uint64), 77)
 _NULL_ID = np.iinfo(np.int64).min
 
 
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=6)
+
+
 def dump(*arrays: np.ndarray) -> bytes:
     """Arrays as bytes: like places of all values side by side, compressed."""
     parts = []
     for a in arrays:
         planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
-        packed = pa.compress(planes, "zstd", asbytes=True) if planes else b""
+        packed = _codec().compress(planes, asbytes=True) if planes else b""
         parts.append(struct.pack("<2sqq", a.dtype.str[1:].encode(), len(a), len(packed)) + packed)
     return b"".join(parts)
 
@@ -138,7 +142,8 @@ class Block:
         self.token = order[load(tokens)[0]].astype(np.int32)
         self.trained = np.repeat(~self.held, self.sizes)
         self.begins = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)
-        self.place = np.arange(len(self.token)) - np.repeat(self.begins, self.sizes)
+        places = np.arange(len(self.token), dtype=np.int32)
+        self.place = places - np.repeat(self.begins.astype(np.int32), self.sizes)
 
     def unigrams(self) -> tuple[np.ndarray, np.ndarray]:
         """The block's words and their training counts."""
@@ -153,9 +158,10 @@ class Block:
 
     def grams(self, order: int, n_buckets: int) -> Grams:
         """The distinct n-grams, by history; takes the histories one word further back."""
-        back = np.roll(self.token, order - 1)
-        word = np.where(self.place >= order - 1, self.words[back], _BEGIN)
-        self.history = mixed(self.history * _STEP + word, order)
+        word = self.words[np.roll(self.token, order - 1)]
+        word[self.place < order - 1] = _BEGIN
+        word += self.history * _STEP
+        self.history = mixed(word, order)
         # How often the history was seen: the count of the shorter n-gram that ends before this token.
         seen = np.roll(self.count, 1)
         seen[self.begins] = self.n_trained
@@ -196,10 +202,12 @@ class Grams:
         self.keys, self.history_of_part = keys[order], owner[order]
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        word = block.words[block.token]
         h = self.history_of_token
-        part = place[start[h] + (mixed(word, 32) % parts[h].astype(np.uint64)).astype(np.int64)]
-        gram = mixed(self.keys[part] ^ mixed(word, 33), 34)
+        # Per word first, then per token: there are fewer words.
+        share = mixed(block.words, 32)[block.token] % parts[h].astype(np.uint64)
+        part = place[start[h] + share.astype(np.int64)].astype(np.int32)
+        del share
+        gram = mixed(self.keys[part] ^ mixed(block.words, 33)[block.token], 34)
         _, first, of_token = np.unique(gram, return_index=True, return_inverse=True)
         order = np.lexsort((gram[first], part[first]))
         rank = np.empty(len(order), np.int64)

@@ -128,7 +128,8 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces, many in one text with a line end after each."""
         plain = [p for p in pieces if not _INNER_SPACE.search(p, 1) and (p[:1] == " " or not p[:1].isspace())]
-        self._known.update((p, d) for p, d in zip(rest := list(set(pieces) - set(plain)), self._whole(rest)))
+        rest = list(set(pieces) - set(plain))
+        self._known.update(zip(rest, self._whole(rest)))
         mark = int(np.frombuffer(self._line_end, "<u4")[0])
         groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
         for group, data in zip(groups, self._whole(["\n".join(g) for g in groups])):
