@@ -343,3 +343,39 @@ ORACLE: dict[str, str] = {
       {_spheroid("place")}
       select icao, round(km, 3) km from place left join km using (lat1, lon1, lat2, lon2)""",
 }
+
+_LAST_ORDER = "qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1"
+
+ORACLE |= {
+    "upsert_after_interrupted_compaction": ORACLE["upsert_latest"],
+    "upsert_two_writers": ORACLE["upsert_latest"],
+    "upsert_new_checkpoint": ORACLE["ingest_flights"],
+    # A costly last order is refused, and the customer's first one stays, unless it was costly too.
+    "ingest_resumed": f"""with {_FLIGHT},
+      ends as (
+        select *, row_number() over (partition by o_custkey order by o_orderkey) as up,
+          row_number() over (partition by o_custkey order by o_orderkey desc) down from flight)
+      select cast(o_custkey as varchar) id, airline_iata, altitude, on_ground, "time", aircraft_model
+      from ends where (up = 1 or down = 1) and o_totalprice <= 400000 {_LAST_ORDER}""",
+    "publish_landed": ORACLE["publish_flights"],
+    "jobs_after_each_batch": f"""with {_FLIGHT}, {_AIRLINE},
+      state as (select * from flight where o_totalprice <= 400000 {_LAST_ORDER})
+      select fl.airline_iata airline_code, al.name airline_name, cast(count(*) as int) flight_count
+      from state fl left join airline al on al.code = fl.airline_iata
+      where "time" > {AS_OF} - {ACTIVE} and on_ground = 0 and airline_iata != '' group by all""",
+    "topic_offset_order": """select event_id, max(cast(floor(epoch(ts)) as bigint) - (event_id * 37 % 1000) * 60)
+        over (partition by user_id % 4 order by event_id) arrived from events""",
+    "landed_airline_feed": ORACLE["load_airlines"],
+    "reference_objects": """select cast(s_suppkey as varchar) icao, s_name as name, n_name country
+      from supplier join nation on s_nationkey = n_nationkey""",
+    "upsert_airports": ORACLE["load_airports"],
+    "catalog_views": f"""with {_FLIGHT}, {_AIRLINE}, {_AIRPORT}
+      select a.name airline, count(*) flights, count(distinct p.icao) airports from flight f
+      join airline a on f.airline_icao = a.icao left join airport p on p.iata = f.origin_airport_iata group by a.name
+      union all select 'builder ' || builder, n, 1 from (
+        select split_part(aircraft_model, ' ', 1) builder, count(*) n from flight group by 1)""",
+    "json_refused": """select event_id, case when event_id % 6 in (2, 5) then event_id end id,
+        cast(case when event_id % 6 = 3 then 1 end as int) k,
+        case event_id % 6 when 0 then 'not a JSON object' when 1 then 'absent: id, k' when 2 then 'wrong type: k'
+          when 3 then 'NULL key: id' when 4 then 'not a JSON object' end _reason from events""",
+}

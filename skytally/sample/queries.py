@@ -6,7 +6,9 @@ Each query reads whole tables.  The ones that store something write below the fo
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,18 @@ from skytally.plans import jobs, refdata
 from skytally.plans.pipeline import Warehouse, run_all
 from skytally.sample import views
 from skytally.sample.views import ACTIVE, AS_OF, EARLIER, TRANSITION
-from skytally.schemas import AIRLINE, FLIGHT, KeyedSpec, SnapshotSpec
+from skytally.schemas import AIRLINE, AIRPORT, FLIGHT, KeyedSpec, SnapshotSpec
 from skytally.session import shared_dir
+from skytally.sources.feeds import (
+    in_batch,
+    landed_messages,
+    landed_observations,
+    read_feed,
+    read_reference,
+    read_reference_object,
+    topic_arrival,
+    write_reference,
+)
 from skytally.sources.pages import DETAILS_CLASS
 from skytally.streaming.ingest import ingest, publish
 from skytally.streaming.messages import decode, to_messages
@@ -476,6 +488,207 @@ def upsert_latest(spark, sf_dir):
     return table.read()
 
 
+class _Interrupted(KeyedTable):
+    """Writes like its parent, but is lost before the list says so."""
+
+    def _commit(self, state):
+        raise InterruptedError
+
+
+def _event_batches(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events")
+    batch = F.when(F.col("event_type") == "click", 2).when(F.col("event_type") == "error", 1).otherwise(0)
+    return [events.filter(batch == number) for number in (0, 1, 2)]
+
+
+@query
+def upsert_after_interrupted_compaction(spark, sf_dir):
+    """The batches of ``upsert_latest``; a compaction is lost after each, and another one follows."""
+    root = shared_dir(spark, "upsert")
+    # Segments by event: each later batch moves its users to other segments.
+    spec = replace(EVENT_STATE, segment="event_id % 7")
+    table, lost = KeyedTable(spark, root, spec), _Interrupted(spark, root, spec)
+    for number, events in enumerate(_event_batches(spark, sf_dir)):
+        table.upsert(events, number, arrival="ts")
+        with contextlib.suppress(InterruptedError):
+            lost.compact()
+        if number != 1:
+            table.compact()
+    return table.read()
+
+
+@query
+def upsert_two_writers(spark, sf_dir):
+    """The same batches by three writers that all count from 0; the first runs its own again."""
+    table = KeyedTable(spark, shared_dir(spark, "upsert"), EVENT_STATE)
+    batches = _event_batches(spark, sf_dir)
+    for number, events in enumerate(batches):
+        table.upsert(events, 0, arrival="ts", writer=f"writer {number}")
+    table.upsert(batches[0], 0, arrival="ts", writer="writer 0")
+    table.compact()
+    table.upsert(batches[1], 0, arrival="ts", writer="writer 1")
+    table.retire(keep=1)
+    return table.read()
+
+
+@query
+def upsert_new_checkpoint(spark, sf_dir):
+    """``ingest_flights`` from a new checkpoint after a compaction: its batches, again from 0, count."""
+    root = shared_dir(spark, "ingest")
+    # The sample orders span years: stored by quarters rather than days.
+    table = KeyedTable(spark, root, replace(FLIGHT, segment=f"coalesce(time div {ACTIVE}, -1)"))
+    for n, keep in enumerate(("o_orderkey % 2 = 0", "true")):
+        orders, lines, part = _order_stream(spark, sf_dir)
+        ingest(
+            _messages(orders.filter(keep), lines, part), table, f"{root}/checkpoint-{n}", trigger={"availableNow": True},
+            partitions=spark.sparkContext.defaultParallelism, compact_every=1,
+        ).awaitTermination()
+    return table.read().select("id", "airline_iata", "airline_icao", "altitude", "on_ground", "time", "aircraft_model")
+
+
+@query
+def ingest_resumed(spark, sf_dir):
+    """Landed message files: each customer's first order, a stop, then the last orders from the same
+    checkpoint.  Within a file a customer stands once."""
+    root = shared_dir(spark, "ingest")
+    table = KeyedTable(spark, root, FLIGHT)
+    orders = views.table(spark, sf_dir, "orders")
+    ends = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+    lines, part = views.first_lines(spark, sf_dir), views.table(spark, sf_dir, "part")
+    for end in ("first", "last"):
+        these = orders.join(ends.select(F.col(end).alias("o_orderkey")), "o_orderkey", "left_semi")
+        sent = _messages(these, lines, part).select(F.col("value").cast("string").alias("value"))
+        sent.write.mode("append").text(f"{root}/messages")
+        ingest(
+            landed_messages(spark, f"{root}/messages"), table, f"{root}/checkpoint", trigger={"availableNow": True}
+        ).awaitTermination()
+    return table.read().select("id", "airline_iata", "altitude", "on_ground", "time", "aircraft_model")
+
+
+@query
+def publish_landed(spark, sf_dir):
+    """Observations landed as JSON records, streamed from there to messages."""
+    root = shared_dir(spark, "publish")
+    views.flights(spark, sf_dir).write.json(f"{root}/landed")
+    seen = landed_observations(spark, f"{root}/landed", FLIGHT.schema)
+    publish(
+        seen, f"{root}/checkpoint", format="text", trigger={"availableNow": True}, path=f"{root}/messages"
+    ).awaitTermination()
+    return spark.read.schema("value string").text(f"{root}/messages")
+
+
+@query
+def jobs_after_each_batch(spark, sf_dir):
+    """The first job over the state that a stream has just brought up to date."""
+    root = shared_dir(spark, "ingest")
+    table, airlines = KeyedTable(spark, root, FLIGHT), views.airlines(spark, sf_dir)
+
+    def report(state: KeyedTable, batch_id: int) -> None:
+        found = jobs.most_flights_in_progress(state.read(), airlines, AS_OF, ACTIVE)
+        found.write.mode("overwrite").parquet(f"{root}/report")
+
+    ingest(
+        _messages(*_order_stream(spark, sf_dir)), table, f"{root}/checkpoint", trigger={"availableNow": True},
+        partitions=spark.sparkContext.defaultParallelism, after_batch=report,
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/report")
+
+
+@query
+def topic_offset_order(spark, sf_dir):
+    """Events as rows of a topic with stamps that run backwards: offsets decide in a partition."""
+    events = views.table(spark, sf_dir, "events")
+    raw = events.select(
+        F.col("event_id").cast("string").cast("binary").alias("value"),
+        F.expr(f"timestamp_seconds({views.epoch('ts')} - (event_id * 37 % 1000) * 60)").alias("timestamp"),
+        F.expr("int(user_id % 4)").alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    ordered = in_batch(topic_arrival(raw))
+    return ordered.select(
+        F.col("value").cast("string").cast("long").alias("event_id"), F.unix_timestamp("arrival.timestamp").alias("arrived")
+    )
+
+
+@query
+def landed_airline_feed(spark, sf_dir):
+    """The airline feed as landed JSON records, and the countries as stored reference lines."""
+    root = shared_dir(spark, "feed")
+    _airline_feed(spark, sf_dir).write.json(f"{root}/feed")
+    write_reference(_airline_reference(spark, sf_dir), f"{root}/reference", "key", "value")
+    feed = read_feed(spark, f"{root}/feed", "ICAO string, Code string, Name string")
+    countries = refdata.reference_countries(read_reference(spark, f"{root}/reference", "map<string, string>"))
+    table = KeyedTable(spark, root, AIRLINE)
+    table.upsert(refdata.load_airlines(feed, countries), arrival="_arrival")
+    return table.read()
+
+
+@query
+def reference_objects(spark, sf_dir):
+    """Legacy reference files of one JSON object each, and their lines read back."""
+    root = shared_dir(spark, "reference")
+    entry = F.create_map(F.lit("name"), F.col("s_name"), F.lit("country"), F.col("n_name"))
+    suppliers = views.table(spark, sf_dir, "supplier").join(
+        views.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
+    )
+    objects = suppliers.select(F.to_json(F.create_map(F.col("s_suppkey").cast("string"), entry)).alias("value"))
+    objects.coalesce(1).write.option("maxRecordsPerFile", 1).text(f"{root}/objects")
+    found = read_reference_object(spark, f"{root}/objects", "map<string, string>")
+    write_reference(found, f"{root}/lines", "key", "value")
+    lines = read_reference(spark, f"{root}/lines", "map<string, string>")
+    return lines.select(F.col("key").alias("icao"), F.col("value")["name"].alias("name"), F.col("value")["country"].alias("country"))
+
+
+@query
+def upsert_airports(spark, sf_dir):
+    """The airport load, stored twice."""
+    table = KeyedTable(spark, shared_dir(spark, "airport"), AIRPORT)
+    for _ in range(2):
+        table.upsert(load_airports(spark, sf_dir))
+    table.compact()
+    return table.read()
+
+
+@query
+def catalog_views(spark, sf_dir):
+    """Catalog views created before the data, read by SQL after upserts and a compaction."""
+    warehouse = Warehouse(spark, shared_dir(spark, "catalog"), segment_seconds=4 * ACTIVE)
+    warehouse.create_catalog()
+    flights = views.flights(spark, sf_dir)
+    warehouse.airline.upsert(views.airlines(spark, sf_dir))
+    warehouse.airport.upsert(views.airports(spark, sf_dir))
+    warehouse.flight.upsert(flights.filter("bigint(id) % 3 > 0"))
+    warehouse.flight.compact()
+    warehouse.flight.upsert(flights.filter("bigint(id) % 3 < 2"))
+    warehouse.snapshots["most_active_flights_per_builder"].append(
+        jobs.most_active_flights_per_builder(warehouse.flight.read()), 1, views.instant(AS_OF)
+    )
+    current = spark.sql(
+        """SELECT a.name AS airline, count(*) AS flights, count(DISTINCT p.icao) AS airports FROM raw_data.flight f
+        JOIN raw_data.airline a ON f.airline_icao = a.icao LEFT JOIN raw_data.airport p ON p.iata = f.origin_airport_iata
+        GROUP BY a.name
+        UNION ALL SELECT concat('builder ', builder), flight_count, batch_id FROM analytics_data.most_active_flights_per_builder"""
+    )
+    return current
+
+
+@query
+def json_refused(spark, sf_dir):
+    """Why messages are refused: other than JSON, a member that is absent, one of the wrong type, a NULL key."""
+    kind = F.col("event_id") % 6
+    value = (
+        F.when(kind == 0, F.concat(F.lit("[1, "), F.col("props"), F.lit("]")))
+        .when(kind == 1, F.concat(F.lit('{"other": '), F.col("event_id"), F.lit("}")))
+        .when(kind == 2, F.concat(F.lit('{"k": "x", "id": '), F.col("event_id"), F.lit("}")))
+        .when(kind == 3, F.lit('{"k": 1, "id": null}'))
+        .when(kind == 4, F.lit("event"))
+        .otherwise(F.concat(F.lit('{"k": null, "id": '), F.col("event_id"), F.lit("}")))
+    )
+    messages = views.table(spark, sf_dir, "events").select("event_id", value.alias("value"))
+    schema = StructType([StructField("id", LongType(), False), StructField("k", IntegerType())])
+    return decode(messages, schema).select("event_id", "id", "k", "_reason")
+
+
 EVENT_NEWEST = KeyedSpec(
     "raw_data",
     "event_newest",
