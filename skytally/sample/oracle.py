@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skytally.functions.country import OVERRIDES
+from skytally.functions.country import CONTINENTS, COUNTRIES, OVERRIDES
 from skytally.sample.views import ACTIVE, AS_OF, EARLIER, TRANSITION
 
 _AIRPORT = """airport as (
@@ -346,7 +346,18 @@ ORACLE: dict[str, str] = {
 
 _LAST_ORDER = "qualify row_number() over (partition by o_custkey order by o_orderkey desc) = 1"
 
+_KNOWN = [(n, CONTINENTS[code]) for code, names in COUNTRIES.items() for n in names.split(", ")] + list(OVERRIDES.items())
+
+
+def _texts(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
 ORACLE |= {
+    "load_airports_built_in": f"""with {_AIRPORT},
+      numbered as (select *, cast(regexp_extract(icao, '([0-9]+)$', 1) as int) % {len(_KNOWN)} + 1 place from airport)
+      select icao, altitude, {_texts(n for n, _ in _KNOWN)}[place] country, iata, latitude, longitude, name,
+        {_texts(c for _, c in _KNOWN)}[place] continent from numbered""",
     "upsert_after_interrupted_compaction": ORACLE["upsert_latest"],
     "upsert_two_writers": ORACLE["upsert_latest"],
     "upsert_new_checkpoint": ORACLE["ingest_flights"],

@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from skytally.functions.clock import half_even_int, window_start
 from skytally.functions.geo import geodesic_km
 from skytally.functions.text import field_after, first_word, non_empty_cells, strip
-from skytally.functions.country import override_continents, standard_continents
+from skytally.functions.country import COUNTRIES, OVERRIDES, override_continents, standard_continents
 from skytally.operators import filters, keyed, lookup, records
 from skytally.operators.conform import conform, split_nulls
 from skytally.operators.tables import KeyedTable, SnapshotTable
@@ -194,6 +194,15 @@ def load_airports(spark, sf_dir):
     return refdata.load_airports(feed, override_continents(spark), _standard(spark, sf_dir))
 
 
+@query
+def load_airports_built_in(spark, sf_dir):
+    """Airports of all countries that the built-in tables know, by name."""
+    names = [name for row in COUNTRIES.values() for name in row.split(", ")] + list(OVERRIDES)
+    number = F.regexp_extract("icao", "([0-9]+)$", 1).cast("int")
+    country = F.element_at(F.array(*[F.lit(n) for n in names]), number % len(names) + 1)
+    return refdata.load_airports(views.airports(spark, sf_dir).drop("continent").withColumn("country", country))
+
+
 def _standard(spark, sf_dir):
     """Nations as countries; region keys 0-4 stand for continent codes."""
     nation = views.table(spark, sf_dir, "nation")
