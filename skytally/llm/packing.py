@@ -147,11 +147,24 @@ class Encoder:
             self._older, self._known = self._known, {}
         known, older = self._known, self._older
         parts = [self._pieces(t) if self._split else None for t in texts]
-        new = {p for found in parts if found for p in found if p not in known}
+        # One look at each piece; the few that are new are looked up again once they are known.
+        found = [list(map(known.get, p)) if p else [] for p in parts]
+        gaps = [list(_places_of_none(f)) for f in found]
+        new = {p[k] for p, holes in zip(parts, gaps) for k in holes}
         known.update((p, older[p]) for p in new if p in older)
         self._learn([p for p in new if p not in older])
-        whole = iter(self._whole([t for t, found in zip(texts, parts) if found is None]))
-        return [next(whole) if found is None else b"".join([known[p] for p in found]) for found in parts]
+        for p, f, holes in zip(parts, found, gaps):
+            for k in holes:
+                f[k] = known[p[k]]
+        whole = iter(self._whole([t for t, p in zip(texts, parts) if p is None]))
+        return [next(whole) if p is None else b"".join(f) for p, f in zip(parts, found)]
+
+
+def _places_of_none(values: list) -> Iterator[int]:
+    at = -1
+    for _ in range(values.count(None)):
+        at = values.index(None, at + 1)
+        yield at
 
 
 @lru_cache(2)
