@@ -23,6 +23,23 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, key: str, purpose: str) -> DataFrame:
+    """Like ``stored``, bucketed by a column: joins and groups by it leave these rows where they are.
+
+    Spark knows buckets of catalog tables only.  The table's name is given up again once it is read; its
+    files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").option("path", path).bucketBy(n, key).sortBy(key).saveAsTable(name)
+    rows = spark.table(name)
+    rows.schema  # resolved now, while the name is known
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like the given ones that the frame doesn't have."""
     taken = {c.lower() for c in df.columns}

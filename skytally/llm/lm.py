@@ -34,10 +34,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import stored
+from skytally.llm.common import stored, stored_by
 from skytally.llm.shingles import mixed, slices, words
 
-BLOCK_TOKENS = 1_200_000
+BLOCK_TOKENS = 700_000
 BUCKET_TOKENS = 2_500_000
 #: Counts above this are trusted as they are.
 K = 5
@@ -385,7 +385,7 @@ def score(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text")
     )
     kinds = "block long, n_tokens long, texts binary, vocabulary binary, tokens binary"
-    blocks = stored(rows.mapInArrow(_blocks, kinds), "lm-blocks")
+    blocks = stored_by(rows.mapInArrow(_blocks, kinds), "block", "lm-blocks")
     n_trained = rows.filter("NOT held").count()
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     n_buckets = max(1, -(-tokens // BUCKET_TOKENS))
