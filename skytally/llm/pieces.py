@@ -42,7 +42,7 @@ MARK = "▁"
 _UNIT = re.compile(r" [^ \n]*|[^ \n]+|\n")
 _U = np.uint64
 #: Edges of lattices that a worker keeps (about 24 bytes each) before it starts anew.
-MAX_EDGES = 5_000_000
+MAX_EDGES = 8_000_000
 #: Characters of text worked on at once; a longer text is taken alone.
 SLICE_CHARS = 2_000_000
 
@@ -214,8 +214,15 @@ class Lattices:
         return np.array([base[u] for u in units], np.int64)
 
     def views(self) -> tuple[np.ndarray, ...]:
-        kinds = ((self.piece, np.int32), (self.target, np.int32), (self.logp, np.float64), (self.upto, np.float64))
-        return *(np.array(a, dtype) for a, dtype in kinds), np.array(self.first, np.int32)
+        """The arrays, as they are now and without a copy: they can't grow while a view of them is held."""
+        if not self.piece:
+            return *(np.zeros(0, k) for k in (np.int32, np.int32, np.float64, np.float64)), np.zeros(1, np.int32)
+        ints, floats = (self.piece, self.target), (self.logp, self.upto)
+        return (
+            *(np.frombuffer(a, np.int32) for a in ints),
+            *(np.frombuffer(a, np.float64) for a in floats),
+            np.frombuffer(self.first, np.int32),
+        )
 
     def decode(self, ids: list[int]) -> str:
         """The text of a segmentation: without the blank that every text begins with here."""
