@@ -38,6 +38,8 @@ MAGIC = b"TKB1"
 #: Pieces of text whose ids a worker remembers, twice at most: those used lately, and those before.
 MAX_KNOWN = 400_000
 _INNER_SPACE = re.compile(r"\s")
+#: White space but the blank and the line end, of any reading of \s.
+_OTHER_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _NULL_ID = np.iinfo(np.int64).min
 
 
@@ -119,8 +121,8 @@ class Encoder:
         """The text in pieces; None where it has to be encoded whole."""
         if not text or any(pair in text for pair in ("  ", "\n\n", " \n", "\n ", "\0")):
             return None
-        # Each blank and line end must part two words, or there is white space of another kind.
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1 or text[0].isspace() or text[-1].isspace():
+        # Each blank and line end parts two words, unless there is white space of another kind.
+        if text[0].isspace() or text[-1].isspace() or _OTHER_SPACE.search(text):
             return None
         # A blank opens a new piece; a line end is one.
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")

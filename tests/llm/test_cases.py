@@ -313,6 +313,17 @@ def test_encoding_in_pieces_equals_encoding_whole():
     assert encoder.encode(texts) == encoder._whole(texts)
 
 
+def test_encoding_in_pieces_of_any_white_space():
+    encoder = packing.Encoder(TOKENIZER)
+    texts = ["a\n\u00a0\u00a0b", "a\n\t\tb", "a \u3000\u3000b c", "a\u2003\u2003\nb", "a\u00a0b c\nd"]
+    random = np.random.default_rng(11)
+    parts = ["a", "word", "12", "é", " ", " ", "\n", "\t", "\r", "\u00a0", "\u00a0\u00a0", "\u2003", "\u3000", "\x85", "\x1c", "\u2028", "\u180e", "\u200b"]
+    texts += ["x" + "".join(random.choice(parts, random.integers(2, 12))) + "y" for _ in range(20000)]
+    wrong = [t for t, a, b in zip(texts, encoder.encode(texts), encoder._whole(texts)) if a != b]
+    assert wrong == []
+    assert encoder._pieces("plain words\nof a text") is not None
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 17, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 1001, dtype=np.uint64).astype(np.uint32)
