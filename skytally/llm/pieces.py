@@ -1,8 +1,8 @@
 """Sampled segmentations into SentencePiece pieces, without replacement, and their decoding.
 
-A text's segmentations form a lattice over its characters.  No piece but the word mark itself
-crosses a blank or a line end, so the lattice is a chain of small ones, one per unit (a blank with
-the characters up to the next blank, or a line end), which are built once per different unit.
+A text's segmentations form a lattice over its characters.  Blanks stand at a piece's begin only, or are
+all of it, and no piece holds a line end, so the lattice is a chain of small ones, one per unit (a run of
+blanks with the characters up to the next blank, or a line end), which are built once per different unit.
 
 Each segmentation has the probability of its pieces, and sampling k of them without replacement is
 taking the k largest of their Gumbel-perturbed log-probabilities.  These are found best first, as
@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 from skytally.llm.shingles import mixed
 
 MARK = "▁"
-_UNIT = re.compile(r" [^ \n]*|[^ \n]+|\n")
+_UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _U = np.uint64
 #: Edges of lattices that a worker keeps (about 24 bytes each) before it starts anew.
 MAX_EDGES = 8_000_000
 #: Characters of text worked on at once; a longer text is taken alone.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 class _Trie:
@@ -94,9 +94,9 @@ class Lattices:
                 self.bytes_of[i] = bytes([value])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.bytes_of[i] = piece.replace(MARK, " ").encode()
-                # Pieces of several blanks join units; each blank has a unit of its own here.
-                if MARK not in piece[1:]:
-                    pieces[piece.replace(MARK, " ")] = (i, -power * math.log(i + 3))
+                if MARK in piece.lstrip(MARK) or "\n" in piece:
+                    raise ValueError(f"piece {i} joins units: {piece!r}")
+                pieces[piece.replace(MARK, " ")] = (i, -power * math.log(i + 3))
         self.pieces, self.longest = pieces, max(map(len, pieces))
         self.byte_ids, self.byte_score = byte_ids, -power * math.log(4 * n)
         # Units up to this length are built together, with probabilities as they are, not as logarithms.

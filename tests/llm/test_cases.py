@@ -280,6 +280,39 @@ def test_pieces_are_sampled_by_their_probability_without_replacement():
     assert abs(np.mean([sum(np.exp(l) / q for _, l, q in f) for f in found]) - 1) < 0.02
 
 
+@pytest.mark.parametrize("text", ["   if x", "a  \n   b", "x" * 2 + " " * 3])
+def test_runs_of_blanks_use_all_pieces_of_the_model(text):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces_of = {model.id_to_piece(i).replace(pieces.MARK, " "): i for i in range(model.get_piece_size()) if not model.is_byte(i) and i > 2}
+
+    def all_of(rest):
+        if not rest:
+            yield (), 0.0
+        elif rest[0] == "\n":
+            i = next(i for i in range(model.get_piece_size()) if model.is_byte(i) and model.id_to_piece(i) == "<0x0A>")
+            for tail, q in all_of(rest[1:]):
+                yield (i, *tail), q - 0.5 * np.log(4 * model.get_piece_size())
+        for j in range(1, len(rest) + 1):
+            if rest[:j] in pieces_of:
+                for tail, q in all_of(rest[j:]):
+                    yield (pieces_of[rest[:j]], *tail), q - 0.5 * np.log(pieces_of[rest[:j]] + 3)
+
+    total = {ids: q for ids, q in all_of(" " + text)}
+    norm = np.log(sum(np.exp(q) for q in total.values()))
+    lattices, n = pieces.Lattices(MODEL, 0.5), 4000
+    seen = Counter()
+    for found in pieces.sample_texts(lattices, pieces.mixed(np.arange(n, dtype=np.uint64)), [text] * n, 2):
+        for ids, logp, _ in found:
+            assert abs(total[tuple(ids.tolist())] - norm - logp) < 1e-9
+            assert lattices.decode(ids.tolist()) == text
+        seen[tuple(found[0][0].tolist())] += 1
+    for ids in sorted(total, key=total.get)[-5:]:
+        p = np.exp(total[ids] - norm)
+        assert abs(seen[ids] / n - p) < 5 * (p / n) ** 0.5
+
+
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
