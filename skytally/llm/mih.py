@@ -17,7 +17,8 @@ meets every batch in a task of its own, and gives k rows a query.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, nor do rows with a null id.  A query doesn't find rows with its own id.  Ties go to the smaller id;
-repeated rows are rows of their own.  No queries or an empty table give an empty result.
+repeated rows are found as rows of their own.  A query that is repeated is asked once, and an id with
+several vectors asks with each of them, for k rows each.  No queries or an empty table give an empty result.
 """
 
 from __future__ import annotations
@@ -128,11 +129,11 @@ class Index(NamedTuple):
         rows = np.flatnonzero(np.unpackbits(found, count=len(self.ids)))
         return rows[_distance(self.codes[rows], query) <= radius]
 
-    def nearest(self, ids: np.ndarray, queries: np.ndarray, code: Code, radius: int, k: int):
-        """(query id, row id, score) of each query's k nearest rows of the block within the radius."""
+    def nearest(self, ids: np.ndarray, keys: np.ndarray, queries: np.ndarray, code: Code, radius: int, k: int):
+        """(query id and key, row id, score) of each query's k nearest rows of the block within the radius."""
         known: dict = {}
-        for own, query, key in zip(ids, queries, code.of(queries, True)):
-            rows = self.probe(key, radius, known)
+        for own, key, query, bits in zip(ids, keys, queries, code.of(queries, True)):
+            rows = self.probe(bits, radius, known)
             rows = rows[self.ids[rows] != own]
             if not len(rows):
                 continue
@@ -145,26 +146,26 @@ class Index(NamedTuple):
                 rows, part = rows[near], part[near]
             score = (part * query).sum(axis=1)
             order = np.lexsort((self.ids[rows], -score))[:k]
-            yield np.full(len(order), own), self.ids[rows[order]], score[order]
+            yield np.full(len(order), own), np.full(len(order), key), self.ids[rows[order]], score[order]
 
 
 def _packed(rows: DataFrame, group: str) -> DataFrame:
-    """One row per group: its ids and vectors as binary values."""
+    """One row per group: its ids, keys and vectors as binary values."""
 
     def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        ids = part["vec_id"].to_numpy(np.int64)
+        ids, keys = (part[c].to_numpy(np.int64) for c in ("vec_id", "key"))
         vectors = np.stack(part["v"].to_list()).astype(np.float64)
-        return pd.DataFrame({group: [key[0]], "ids": [ids.tobytes()], "vectors": [vectors.tobytes()]})
+        return pd.DataFrame({group: [key[0]], "ids": [ids.tobytes()], "keys": [keys.tobytes()], "vectors": [vectors.tobytes()]})
 
-    return rows.groupBy(group).applyInPandas(pack, f"{group} long, ids binary, vectors binary")
+    return rows.groupBy(group).applyInPandas(pack, f"{group} long, ids binary, keys binary, vectors binary")
 
 
 def _search(blocks: DataFrame, queries: DataFrame, code: Code, radius: int, k: int, n_blocks: int) -> DataFrame:
     """The k best rows of each query."""
-    batches = _packed(queries, "batch").toDF("batch", "asked", "asked_vectors")
+    batches = _packed(queries, "batch").toDF("batch", "asked", "asked_keys", "asked_vectors")
     # Every batch goes to every block, by an equality join on the block's number.
     met = batches.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>")))
-    pairs = met.join(blocks, "block").select("ids", "vectors", "asked", "asked_vectors")
+    pairs = met.join(blocks, "block").select("ids", "vectors", "asked", "asked_keys", "asked_vectors")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last: tuple[bytes, Index] | None = None
@@ -175,13 +176,13 @@ def _search(blocks: DataFrame, queries: DataFrame, code: Code, radius: int, k: i
                     last = (row.ids, Index.build(ids, np.frombuffer(row.vectors).reshape(len(ids), -1), code))
                 asked = np.frombuffer(row.asked, np.int64)
                 vectors = np.frombuffer(row.asked_vectors).reshape(len(asked), -1)
-                found = list(last[1].nearest(asked, vectors, code, radius, k))
+                found = list(last[1].nearest(asked, np.frombuffer(row.asked_keys, np.int64), vectors, code, radius, k))
                 if found:
                     columns = [np.concatenate(c) for c in zip(*found)]
-                    yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns)))
+                    yield pd.DataFrame(dict(zip(("query_id", "query_key", "vec_id", "score"), columns)))
 
-    found = pairs.mapInPandas(run, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInPandas(run, "query_id long, query_key long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
@@ -210,7 +211,8 @@ def nearest(
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if usual is None:
         return spark.createDataFrame([], empty)
-    rows = rows.filter(F.size("v") == usual["n"])
+    # An id's vectors are told apart by their hash values.
+    rows = rows.filter(F.size("v") == usual["n"]).withColumn("key", F.xxhash64("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     total, asked, longest = rows.agg(F.count("*"), F.count_if("asks"), F.max(norm)).first()
     if not asked:
@@ -227,12 +229,14 @@ def nearest(
 
     place = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("long")
     blocks = stored(_packed(rows.withColumn("block", place(n_blocks)), "block"), "mih-blocks")
-    queries = stored(rows.filter("asks").withColumn("batch", place(n_batches)), "mih-queries")
+    queries = stored(rows.filter("asks").dropDuplicates(["vec_id", "key"]).withColumn("batch", place(n_batches)), "mih-queries")
     found = stored(_search(blocks, queries, code, radius, k, n_blocks), "mih-found")
     # Queries with too few rows within the radius: all codes are within the greatest one.
-    enough = found.groupBy("query_id").count().filter(F.col("count") >= min(k, total - 1)).select("query_id")
-    few = stored(queries.join(enough, queries["vec_id"] == enough["query_id"], "left_anti"), "mih-few")
+    enough = found.groupBy("query_id", "query_key").count().filter(F.col("count") >= min(k, total - 1))
+    enough = enough.select(F.col("query_id").alias("vec_id"), F.col("query_key").alias("key"))
+    few = stored(queries.join(enough, ["vec_id", "key"], "left_anti").select(queries.columns), "mih-few")
     if radius < code.bits and not few.isEmpty():
         again = _search(blocks, few, code, code.bits, k, n_blocks)
-        found = found.join(few.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(again)
+        asked_again = few.select(F.col("vec_id").alias("query_id"), F.col("key").alias("query_key"))
+        found = found.join(asked_again, ["query_id", "query_key"], "left_anti").unionByName(again)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -441,6 +441,25 @@ def test_nearest(spark):
     assert mih.nearest(frame, F.lit(False)).count() == mih.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("radius", [None, 0, 64])
+def test_repeated_queries_find_all_their_ranks(spark, radius):
+    v = np.random.default_rng(9).normal(size=(300, 16))
+    rows = [(k, [float(y) for y in x]) for k, x in enumerate(v)]
+    rows += [rows[20], rows[40], rows[40], (60, rows[7][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = mih.nearest(frame, F.col("vec_id") % 20 == 0, k=20, radius=radius).collect()
+    assert Counter(r["query_id"] for r in found) == {q: 40 if q == 60 else 20 for q in range(0, 300, 20)}
+    own, w = np.array([k for k, _ in rows]), np.array([x for _, x in rows])
+    for q in (0, 20, 40):
+        got = sorted((r["rank"], r["vec_id"]) for r in found if r["query_id"] == q)
+        score = np.where(own == q, -np.inf, w @ v[q])
+        best = own[np.lexsort((own, -score))[:20]].tolist()
+        assert [r[0] for r in got] == list(range(1, 21))
+        assert [r[1] for r in got] == best if radius is not None else len(set(best) & {r[1] for r in got}) >= len(set(best)) - 3
+    both = {r["vec_id"] for r in found if r["query_id"] == 60 and r["rank"] == 1}
+    assert radius is None or both == {int(own[np.argmax(np.where(own == 60, -np.inf, w @ x))]) for x in (v[60], v[7])}
+
+
 def test_small_radius_still_gives_k_rows(spark):
     v = np.random.default_rng(4).normal(size=(200, 16))
     frame = spark.createDataFrame([(k, [float(y) for y in x]) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
