@@ -1,7 +1,7 @@
 """The corpus pipeline: each stage works on all that the one before it kept.
 
 Quality rules reject documents; lines that a source repeats on too many documents go; of near
-duplicates the one with the smallest id stays; sources are mixed to target weights, where a document
+duplicates (five-word sets alike at 0.8 or more) the one with the smallest id stays, once; sources are mixed to target weights, where a document
 is repeated as often as it is read; and each document is segmented, twice, into sampled pieces.
 """
 
@@ -24,7 +24,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.one_of_each(docs)
+    return minhash.one_of_each(docs, num=80, bands=37)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

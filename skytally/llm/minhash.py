@@ -10,11 +10,12 @@ in a band of the signature meet in a bucket.  Each is compared with the bucket's
 all others; the confirmed links give components.  Then the buckets that still hold several components
 are searched for further links between different components, so that no link is lost that could join
 two of them: members whose signatures come near enough are compared in the task, on full sets.  With 25 bands of 5 places, a pair at similarity 0.85 meets in no bucket with probability
-(1 - 0.85**5)**25 = 4e-7.  Links are confirmed on the words themselves.
+(1 - 0.85**5)**25 = 4e-7; at 0.80, 37 bands do the same.  Links are confirmed on the words themselves.
 
 A null or empty text, or one without words, has an empty set and is linked with nothing.  Ids identify
 texts: a repeated row gives a repeated result row.  Rows with a null id get a null component and are not
-kept.  Texts that tie in everything but the id go to the smallest id.  Other columns are not looked at,
+kept.  ``one_of_each`` compares rows instead: of rows with one id and text one stays, and texts without an id, or
+with an id that another text has too, are compared like others, where those with an id of their own go first.  Texts that tie in everything but the id go to the smallest id.  Other columns are not looked at,
 whatever their names; an empty table gives an empty result.
 """
 
@@ -26,7 +27,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.llm import graph
@@ -39,11 +40,12 @@ _U = np.uint64
 
 
 def signatures(elements: np.ndarray, sizes: np.ndarray, places: int = PLACES) -> np.ndarray:
-    """SuperMinHash of many sets at once: 32-bit rank and fraction, one row of ``places`` per set.
+    """SuperMinHash of many sets at once: rank and fraction in 32 bits, one row of ``places`` per set.
 
     ``elements`` holds the sets one after the other.  A row of an empty set is all ones.
     """
     out = np.full((len(sizes), places), 0xFFFFFFFF, np.uint32)
+    bits = 32 - (places - 1).bit_length()
     owner = np.repeat(np.arange(len(sizes)), sizes)
     picks: list[np.ndarray] = []  # what each of the ranks so far was exchanged with, of each element
     for rank in range(places):
@@ -55,12 +57,12 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, places: int = PLACES) ->
         place = pick
         for earlier in range(rank - 1, -1, -1):
             place = np.where(place == picks[earlier], earlier, place)
-        value = (_U(rank << 25) + (random & _U((1 << 25) - 1))).astype(np.uint32)
+        value = (_U(rank << bits) + (random & _U((1 << bits) - 1))).astype(np.uint32)
         np.minimum.at(out.reshape(-1), owner * places + place, value)
         picks.append(pick)
         open_sets = np.zeros(len(sizes), bool)
         rows = np.unique(owner)
-        open_sets[rows] = out[rows].max(axis=1) >= (rank + 1) << 25
+        open_sets[rows] = out[rows].max(axis=1) >= (rank + 1) << bits
         left = open_sets[owner]
         if not left.all():
             elements, owner, picks = elements[left], owner[left], [p[left] for p in picks]
@@ -69,8 +71,9 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, places: int = PLACES) ->
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """A 64-bit key of each band."""
-    parts = signature.astype(np.uint64).reshape(len(signature), BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64)[None, :] * np.ones((len(signature), 1), np.uint64)
+    bands = signature.shape[1] // ROWS
+    parts = signature.astype(np.uint64).reshape(len(signature), bands, ROWS)
+    key = np.arange(bands, dtype=np.uint64)[None, :] * np.ones((len(signature), 1), np.uint64)
     for k in range(ROWS):
         key = mixed(key * _U(0x9E3779B97F4A7C15) + parts[:, :, k], 3)
     return key
@@ -79,14 +82,14 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 _FEATURES = "doc_id long, n long, key1 long, key2 long, sig array<int>, bands array<long>"
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], places: int = PLACES) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for start, end, offsets, data in slices(texts):
             sets = shingle_sets(*words(offsets, data))
             sizes = np.array([len(s) for s in sets])
             elements = np.concatenate(sets)
-            sig = signatures(elements, sizes)
+            sig = signatures(elements, sizes, places)
             sig[sizes == 0] = 0
             # Sums of scrambled elements name the set, whatever its order.
             ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -205,11 +208,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 85, den: int = 100
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 85, den: int = 100, bands: int = BANDS
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row; links have intersection / union >= num / den."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    features = stored(texts.mapInArrow(_features, _FEATURES), "minhash-features")
+    places = bands * ROWS
+    features = stored(texts.mapInArrow(lambda batches: _features(batches, places), _FEATURES), "minhash-features")
     # One class for each different set; the sums per task keep a class of any size apart from the shuffle.
     keyed = features.filter("n > 0 AND doc_id IS NOT NULL")
     classes = keyed.groupBy("key1", "key2").agg(F.min("doc_id").alias("class"))
@@ -239,7 +243,7 @@ def near_duplicates(
     x, y = full.alias("x"), full.alias("y")
     sizes = f"{den} * least(x.n, y.n) >= {num} * greatest(x.n, y.n)"
     # Six standard deviations of the agreement below the threshold; full sets decide on the rest.
-    least = PLACES * (num / den - 6 * (num / den * (1 - num / den) / PLACES) ** 0.5)
+    least = places * (num / den - 6 * (num / den * (1 - num / den) / places) ** 0.5)
     agree = f"aggregate(zip_with(x.sig, y.sig, (p, q) -> int(p = q)), 0, (s, v) -> s + v) >= {least}"
     met = F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND {sizes} AND {agree}")
     close = stored(x.join(y, met, "left_semi").select("bucket", "doc_id", "component"), "minhash-close")
@@ -259,11 +263,29 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **kwargs) -> DataFrame:
-    """``docs`` without the texts that a similar one with a smaller id stands for."""
-    found = near_duplicates(docs, doc_id, text, **kwargs)
+    """``docs`` without the texts that a similar one with a smaller id stands for, one row of each text."""
+    key, digest, least, name = fresh(docs, "key", "digest", "least", "name")
+    rows = docs.withColumn(digest, F.xxhash64(text))
+    # Ids that several texts have: the others get keys of their own, like texts without an id.
+    own = rows.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias(name))
+    shared = own.agg(F.min(digest).alias(least), F.max(digest).alias("greatest")).filter(f"{least} <> greatest")
+    shared = stored(shared.select(name, least), "minhash-shared-ids")
+    rows = rows.join(shared, F.col(doc_id).cast("long") == F.col(name), "left")
+    # Greater than the ids in use.
+    made = F.shiftrightunsigned(F.xxhash64(F.col(doc_id).cast("long"), text), 2).bitwiseOR(F.lit(1 << 62))
+    named = F.col(doc_id).isNotNull() & (F.col(least).isNull() | (F.col(least) == F.col(digest)))
+    rows = rows.withColumn(key, F.when(named, F.col(doc_id).cast("long")).otherwise(made))
+    rows = rows.select(*docs.columns, key)
+    again = stored(rows.groupBy(key).count().filter("count > 1").select(F.col(key).alias(name)), "minhash-again")
+    if not again.isEmpty():
+        # Only rows whose key stands there more than once are moved.
+        copies = rows.join(again, F.col(key) == F.col(name), "left_semi")
+        place = F.row_number().over(Window.partitionBy(key).orderBy(F.to_json(F.struct(*docs.columns))))
+        first = copies.withColumn(name, place).filter(F.col(name) == 1).drop(name)
+        rows = rows.join(again, F.col(key) == F.col(name), "left_anti").unionByName(first)
+    found = near_duplicates(rows, key, text, **kwargs)
     gone = stored(found.filter("doc_id <> component_id").select("doc_id").distinct(), "minhash-gone")
-    [name] = fresh(docs, "gone")
-    return docs.join(gone.toDF(name), F.col(doc_id) == F.col(name), "left_anti")
+    return rows.join(gone.toDF(name), F.col(key) == F.col(name), "left_anti").select(docs.columns)
 
 
 def kept(doc: Column, component: Column) -> Column:

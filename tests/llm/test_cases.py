@@ -146,6 +146,24 @@ def test_near_duplicates_of_chains_and_shared_passages(spark):
     assert {r[0]: (r[1], r[2]) for r in minhash.near_duplicates(frame).collect()} == brute_components(table)
 
 
+def test_one_of_each_compares_rows_with_any_ids(spark):
+    random = np.random.default_rng(7)
+    word = lambda n: [f"v{x}" for x in random.integers(0, 10**6, n)]
+    base, rows = word(300), []
+    for k in range(40):  # 296 shingles, of which k // 5 * 5 + 5 are others: similarity from 0.97 to 0.76
+        cut = k // 5 * 5 + 5
+        rows.append((10 + k, " ".join(word(100) + base[:cut])))
+        rows.append((60 + k, rows[-1][1] + " " + " ".join(word(cut))))
+    rows += [rows[0], rows[0], (None, rows[2][1]), (None, "no id " + " ".join(base)), (None, "no id " + " ".join(base))]
+    rows += [(5, "one text " + " ".join(word(20))), (5, "another text " + " ".join(word(20))), (None, None), (None, None), (6, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("own")).repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in minhash.one_of_each(frame, num=80, bands=37).collect()]
+    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    want = brute_components({k: t for k, (_, t) in enumerate(order)}, 80)
+    assert sorted(kept, key=str) == sorted((order[k] for k, (_, c) in want.items() if k == c), key=str)
+    assert any(len(brute_components({0: a, 1: b}, 80)) == 2 for (_, a), (_, b) in zip(rows[::2], rows[1::2]))
+
+
 def test_links_between_components_of_split_buckets(spark, monkeypatch):
     monkeypatch.setattr(minhash, "GROUP", 3)
     random = np.random.default_rng(6)

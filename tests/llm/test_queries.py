@@ -60,3 +60,19 @@ def test_pipeline_stages(spark):
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_dedup_stage_is_exact_at_four_fifths(spark):
+    from test_cases import brute_components
+
+    filler = lambda k, n: [f"w{k}x{i}" for i in range(n)]
+    rows = []
+    for k in range(60):  # 200 words, of which the last 12 to 29 differ: similarity from 0.89 to 0.74
+        text = filler(k, 200)
+        rows.append((2 * k, " ".join(text)))
+        rows.append((2 * k + 1, " ".join(text[: 188 - k % 18] + filler(1000 + k, 12 + k % 18))))
+    want = {i for i, (_, c) in brute_components(dict(rows), 80).items() if i == c}
+    assert want != {i for i, (_, c) in brute_components(dict(rows), 85).items() if i == c}
+    docs = spark.createDataFrame([*rows, rows[0], (None, rows[2][1])], "doc_id long, text string").withColumn("source", F.lit("a"))
+    kept = corpus_pipeline.near_dedup(spark, docs, SF_DIR)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
