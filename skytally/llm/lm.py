@@ -3,7 +3,8 @@
     P(w | h) = d(c) c(hw) / c(h)        if the n-gram hw was seen c times in training
              = a(h) P(w | h')           if not; h' is h without its first word
 
-The discounts d are Good-Turing's for counts up to ``K``.  Backoff weights are normalised exactly:
+The discounts d are Good-Turing's for counts up to ``K``, from a line fitted to the counts of counts where
+these don't fall as it needs.  Backoff weights are normalised exactly:
 a(h) = (1 - sum of P(w | h) over seen w) / (1 - sum of P(w | h') over the same w).  Where no count of a
 history is discounted, its denominator grows by one, so that some mass is left for other words.  At
 the bottom stands (c + 0.5) / (N + 0.5 (V + 1)), where one of the V + 1 classes is the unknown word.
@@ -325,16 +326,37 @@ def _sums(replies: DataFrame, n: int) -> list[int]:
     return [int(x or 0) for x in row]
 
 
+def _discounts(n: np.ndarray) -> np.ndarray:
+    """Katz's form of Good-Turing, as it comes out of the numbers 1 .. K + 1; not a number where one is missing."""
+    r = np.arange(1, K + 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        common = (K + 1) * n[K] / n[0]
+        found = ((r + 1) * n[1:] / (r * n[:-1]) - common) / (1 - common)
+    return np.where(n[1:] * n[:-1] * n[K] * n[0] > 0, found, np.nan) if common < 1 else np.full(K, np.nan)
+
+
 def good_turing(n: list[int]) -> np.ndarray:
     """Discounts of the counts 1 .. K from the numbers of n-grams seen 1 .. K + 1 times.
 
-    Where these don't fall as Good-Turing needs (few texts), one absolute discount is used instead.
+    From the first count on whose own discount is not between 0 and 1, or not above the lower counts' once it is
+    applied, the numbers come from a line fitted to log n over log r (Gale's Simple Good-Turing).  It
+    gives discounts if it falls steeper than -1; where it doesn't, or only one number isn't 0 (a handful of
+    texts), there is no Good-Turing estimate, and one absolute discount is used instead.
     """
-    if all(n):
-        common = (K + 1) * n[K] / n[0]
-        d = np.array([((r + 1) * n[r] / (r * n[r - 1]) - common) / (1 - common) if common != 1 else 0 for r in range(1, K + 1)])
-        if ((d > 0) & (d < 1)).all():
-            return d
+    r = np.arange(1, K + 2)
+    counts = np.array(n, float)
+    held = np.flatnonzero(counts) + 1
+    if len(held) > 1:
+        # Next to counts that nothing was seen as often as, the number is shared with these.
+        before, after = np.concatenate([[0], held[:-1]]), np.append(held[1:], 2 * held[-1] - held[-2])
+        slope = np.polyfit(np.log(held), np.log(2 * counts[held - 1] / (after - before)), 1)[0]
+        if slope < -1 - 1e-9:
+            fitted, own = _discounts(r**slope), _discounts(counts)
+            for k in range(K, -1, -1):
+                d = np.concatenate([own[:k], fitted[k:]])
+                if (d > 0).all() and (d < 1).all() and (np.diff(d * r[:-1]) > 0).all():
+                    return d
+            return fitted
     absolute = n[0] / (n[0] + 2 * n[1]) if n[0] and n[1] else 0.5
     return 1 - absolute / np.arange(1, K + 1)
 

@@ -35,7 +35,7 @@ MIX = dict(weights=[DOMAINS, LANGS, {}], share=SHARE, max_epochs=EPOCHS, seed=SE
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
-    return lm.score(table(spark, sf_dir, "documents"), held_out, order=2)
+    return lm.score(table(spark, sf_dir, "documents"), held_out, order=3)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

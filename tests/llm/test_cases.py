@@ -531,6 +531,26 @@ def brute_scores(texts, held, order):
     return out
 
 
+@pytest.mark.parametrize(
+    "n", [[184712, 23127, 5984, 1951, 2262, 607], [1482341, 227973, 46941, 19718, 17404, 6993], [100, 20, 0, 4, 3, 0], [900, 200, 80, 40, 30, 0]]
+)
+def test_good_turing_of_counts_that_do_not_fall(n):
+    d, r = lm.good_turing(n), np.arange(1, lm.K + 1)
+    assert ((d > 0) & (d < 1)).all() and (np.diff(r * d) > 0).all()
+    # Not one absolute discount for all counts.
+    assert np.ptp(r * (1 - d)) > 0.05
+    if n[5]:
+        common = 6 * n[5] / n[0]
+        own = [((k + 1) * n[k] / (k * n[k - 1]) - common) / (1 - common) for k in (1, 2, 3)]
+        assert np.allclose(d[:2], own[:2])
+
+
+def test_good_turing_of_falling_counts_is_as_it_was():
+    n = [1000, 300, 150, 90, 62, 45]
+    common = 6 * 45 / 1000
+    assert np.allclose(lm.good_turing(n), [((k + 1) * n[k] / (k * n[k - 1]) - common) / (1 - common) for k in range(1, 6)])
+
+
 @pytest.mark.parametrize("order", [2, 3])
 def test_language_model(spark, monkeypatch, order):
     monkeypatch.setattr(lm, "BLOCK_TOKENS", 300)
