@@ -641,7 +641,7 @@ def reference_objects(spark, sf_dir):
         views.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     objects = suppliers.select(F.to_json(F.create_map(F.col("s_suppkey").cast("string"), entry)).alias("value"))
-    objects.coalesce(1).write.option("maxRecordsPerFile", 1).text(f"{root}/objects")
+    objects.write.option("maxRecordsPerFile", 1).text(f"{root}/objects")
     found = read_reference_object(spark, f"{root}/objects", "map<string, string>")
     write_reference(found, f"{root}/lines", "key", "value")
     lines = read_reference(spark, f"{root}/lines", "map<string, string>")

@@ -45,3 +45,11 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["continent", "average_flight_distance"]
+
+
+def test_reference_objects_are_written_by_all_tasks(spark, monkeypatch):
+    def single(self, n):
+        raise AssertionError(f"all objects in {n} task")
+
+    monkeypatch.setattr(type(spark.range(0)), "coalesce", single)
+    assert QUERIES["reference_objects"](spark, "/root/testdata/sf0.001").count() > 0
