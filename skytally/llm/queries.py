@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skytally.llm import chat, cotrain, lines, lm, mih, minhash, mixing, packing, pieces, rules
+from skytally.llm import chat, cotrain, lines, lm, mih, minhash, mixing, packing, pieces, pii, rules, spelling, whitening
 from skytally.llm.common import stored, table
 
 # Production parameters of the mixture: groups of sources, and the weights of each level.
@@ -117,6 +117,41 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mix_levels(), **MIX).select("doc_id", "mix_group.*", "n_tokens", "repeats")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.number_of(F.col("plain"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.joined(F.col("plain")).cast("binary"), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+        *[pii.number_of(F.col("spans"), kind).alias(f"all_{kind}") for kind in pii.KINDS],
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), "doc_id", "text", 7, 2, spelling.delete_some(31))
+    return spelling.variants(words, ratio=10, least_length=7)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_lm_score, op2_near_dedup, op3_chat_format, op4_line_dedup, op5_sentencepiece, op6_token_output, op7_quality_classifier, op8_nearest, op9_quality_rules, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_lm_score,
+        op2_near_dedup,
+        op3_chat_format,
+        op4_line_dedup,
+        op5_sentencepiece,
+        op6_token_output,
+        op7_quality_classifier,
+        op8_nearest,
+        op9_quality_rules,
+        op10_mixing,
+        op11_pii,
+        op12_whitening,
+        op13_spelling,
+    )
 }
