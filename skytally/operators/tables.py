@@ -2,7 +2,8 @@
 
 ``KeyedTable`` holds the current row of each key.  An upsert only writes its own rows, collapsed to
 one per key, to a folder of its own.  Readers overlay these deltas on the base.  ``compact`` folds them
-into it: it rewrites the segments (for flights: days) that hold a changed key.
+into it: it rewrites the segments (for flights: days) that hold a changed key.  Beside each segment lies a
+summary of its keys (``keysets``): compaction and ``lookup`` open only segments that may hold a wanted key.
 
 ``SnapshotTable`` holds the result rows of every run, one folder per batch.
 
@@ -15,6 +16,7 @@ time; readers need no lock.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -24,17 +26,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
+from skytally.operators import keysets
 from skytally.operators.conform import conform, storage_schema
 from skytally.operators.keyed import latest_per_key
 from skytally.schemas import KeyedSpec, SnapshotSpec
+from skytally.session import shared_dir
 from skytally.sources import files
 
 
 class Entry(NamedTuple):
     """One line of a table's list.
 
-    ``base``: the folder of a segment.  ``delta``: the folder of a writer's batch, by arrival.  ``folded``: the
-    writer's last batch in the base.  ``batch``: the folder of a run.  ``view``: a view that follows the table.
+    ``base``: the folder of a segment.  ``keys``: that of its key summary, ``number`` bitmaps.  ``delta``: the folder of
+    a writer's batch, by arrival.  ``folded``: batches ``first`` to ``number`` of a writer are in the base.  ``batch``: the
+    folder of a run, with its time in seconds as ``first``.  ``view``: a view that follows the table.
     """
 
     kind: str
@@ -43,6 +48,7 @@ class Entry(NamedTuple):
     seq: int | None = None
     writer: str | None = None
     number: int | None = None
+    first: int | None = None
 
 
 @dataclass(frozen=True)
@@ -85,32 +91,44 @@ class _Stored:
         """Make the state the newest; fails if another writer has committed since it was read."""
         text = "\n".join(json.dumps(e) for e in state.entries)
         files.write(self.spark, f"{self.path}/list/version={state.version + 1}", text)
-        for view in state.of("view"):
-            if self.spark.catalog.databaseExists(view.name.split(".")[0]):
-                self._create_view(view.name)
+        self._follow(replace(state, version=state.version + 1))
 
     def publish(self, view: str) -> None:
-        """Create a view of the table; each later commit to the table brings it up to date."""
+        """Create a view of the table in this session's catalog.
+
+        Each later commit, read and ``retire`` brings the views of its own session's catalog up to date if they lag,
+        whoever wrote the table and whatever was lost on the way; until then a view shows an older list.
+        """
         state = self._state()
         if view not in [e.name for e in state.of("view")]:
             self._commit(state.plus(Entry("view", view)))
         else:
-            self._create_view(view)
+            self._follow(state)
 
-    def _create_view(self, view: str) -> None:
-        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS {self.definition()}")
+    def _follow(self, state: _List) -> None:
+        """Rewrite the views that were made from another list than this one; a view's comment names its list."""
+        for view in state.of("view"):
+            if self.spark.catalog.databaseExists(view.name.split(".")[0]):
+                made = f"list {state.version} of {self.path}"
+                known = self.spark.catalog.tableExists(view.name)
+                if not known or self.spark.catalog.getTable(view.name).description != made:
+                    self.spark.sql(f"CREATE OR REPLACE VIEW {view.name} COMMENT '{made}' AS {self.definition(state)}")
 
     def retire(self, keep: int = 10) -> list[str]:
         """Delete the folders that none of the newest ``keep`` lists names, and older lists.
 
         Readers that began before these lists must have ended.  Returns what was deleted.
         """
+        self._follow(self._state())
         kept = sorted(self._versions(), reverse=True)[:keep]
         live = {e.name for v in kept for e in self._load(v).entries}
         gone = [f for f in self._folders() if f not in live] if kept else []
         gone += [f"list/version={v}" for v in self._versions() if kept and v < kept[-1]]
         for folder in gone:
             files.delete(self.spark, f"{self.path}/{folder}")
+            if folder.startswith("base/"):
+                # A segment's key summary goes with it.
+                files.delete(self.spark, f"{self.path}/keys/{folder.removeprefix('base/')}")
         return gone
 
     def _folders(self) -> list[str]:
@@ -155,15 +173,16 @@ class KeyedTable(_Stored):
 
         A batch is known by its writer and number: running it again replaces it in its old place, or changes
         nothing once it is folded into the base.  Other writers' numbers don't matter; batches
-        count in the order in which they first came.  Without a number it is a new batch.
+        count in the order in which they first came, so a number that comes late, after greater ones, counts as the
+        newest.  Without a number it is a new batch.
         Without ``arrival`` or ``order_by`` a key that a batch holds twice fails it.
         """
         state = self._state()
         own = [e for e in state.of("delta") if e.writer == writer]
-        folded = max([e.number for e in state.of("folded") if e.writer == writer], default=-1)
+        folded = [_range(e) for e in state.of("folded") if e.writer == writer]
         if batch_id is None:
-            batch_id = max([folded, *(e.number for e in own)]) + 1
-        if batch_id <= folded:
+            batch_id = max([-1, *(last for _, last in folded), *(e.number for e in own)]) + 1
+        if any(first <= batch_id <= last for first, last in folded):
             return
         before = [e for e in own if e.number == batch_id]
         seq = before[0].seq if before else max([0, *(e.seq for e in state.entries if e.seq is not None)]) + 1
@@ -191,14 +210,46 @@ class KeyedTable(_Stored):
         can hold it, and nothing is skipped.
         """
         state = self._state()
+        self._follow(state)
         if self.order_by and self.order_by[0] != self.spec.segment_column:
             since = None
         base = self._base([e for e in state.of("base") if since is None or e.segment >= since])
         return self._overlay(base, self._deltas(state))
 
-    def definition(self) -> str:
-        """SQL text of the current rows as they are now."""
+    def exists(self) -> bool:
+        """Whether anything was ever committed."""
+        return bool(self._versions())
+
+    def pending(self) -> int:
+        """Number of batches that are not in the base yet."""
+        return len(self._state().of("delta"))
+
+    def lookup(self, keys: DataFrame) -> DataFrame:
+        """The current rows of the given keys (a frame with the key column); only segments that may hold one are opened."""
         state = self._state()
+        key = self.spec.key
+        wanted = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+        base, deltas = self._base(self._may_hold(state, wanted)), self._deltas(state)
+        parts = [part.join(wanted, key, "left_semi") if part is not None else None for part in (base, deltas)]
+        return self._overlay(*parts)
+
+    def _may_hold(self, state: _List, keys: DataFrame) -> list[Entry]:
+        """Base entries of the segments that may hold one of the keys, by their summaries alone."""
+        summaries = state.of("keys")
+        known = {e.segment for e in summaries}
+        held = set()
+        if summaries:
+            schema = StructType([*keysets.SCHEMA.fields]).add("segment", LongType()).add("attempt", StringType())
+            rows = self._read("keys", [e.name for e in summaries], schema)
+            found = keysets.may_hold(rows, "segment", keys, self.spec.key, [e.number for e in summaries])
+            # One number per segment at most.
+            held = {row["segment"] for row in found.collect()}
+        # A segment of an older table may have no summary yet.
+        return [e for e in state.of("base") if e.segment in held or e.segment not in known]
+
+    def definition(self, state: _List | None = None) -> str:
+        """SQL text of the current rows as they are now."""
+        state = state or self._state()
 
         def part(top: str, kind: str) -> str | None:
             attempts = ", ".join(f"'{e.name.rsplit('=', 1)[1]}'" for e in state.of(kind))
@@ -215,8 +266,11 @@ class KeyedTable(_Stored):
         old = state.of("base")
         segments = deltas.selectExpr(f"bigint({self.spec.segment}) AS segment")
         if old:
+            # The summaries tell which segments to look at, their key columns which ones to rewrite.
             changed = deltas.select(self.spec.key).distinct()
-            segments = segments.union(self._base(old).join(changed, self.spec.key, "left_semi").select("segment"))
+            suspects = self._base(self._may_hold(state, changed))
+            if suspects is not None:
+                segments = segments.union(suspects.join(changed, self.spec.key, "left_semi").select("segment"))
         # One number per segment that holds a changed key, before or now.
         touched = {row["segment"] for row in segments.distinct().collect()}
         rows = self._overlay(self._base([e for e in old if e.segment in touched]), deltas)
@@ -236,11 +290,27 @@ class KeyedTable(_Stored):
             for s in sorted(touched)
             if files.exists(self.spark, f"{self.path}/base/segment={s}/{attempt}")
         ]
-        folded = {e.writer: e.number for e in state.of("folded")}
+        written += self._summarised(written, attempt)
+        folded: dict[str, list[tuple[int, int]]] = {}
+        for e in state.of("folded"):
+            folded.setdefault(e.writer, []).append(_range(e))
         for e in state.of("delta"):
-            folded[e.writer] = max(e.number, folded.get(e.writer, -1))
-        state = state.without(lambda e: e.kind in ("delta", "folded") or e.kind == "base" and e.segment in touched)
-        self._commit(state.plus(*written, *[Entry("folded", "", writer=w, number=n) for w, n in folded.items()]))
+            folded.setdefault(e.writer, []).append((e.number, e.number))
+        ranges = [Entry("folded", "", writer=w, number=b, first=a) for w, found in folded.items() for a, b in _merged(found)]
+        gone = lambda e: e.kind in ("delta", "folded") or e.kind in ("base", "keys") and e.segment in touched
+        self._commit(state.without(gone).plus(*written, *ranges))
+
+    def _summarised(self, written: list[Entry], attempt: str) -> list[Entry]:
+        """Write the key summaries of the segments just written."""
+        rows = self._base(written)
+        if rows is None:
+            return []
+        summary = keysets.summarise(rows, "segment", self.spec.key).withColumn("attempt", F.lit(attempt.split("=")[1]))
+        summary.repartition("segment").write.mode("append").partitionBy("segment", "attempt").parquet(f"{self.path}/keys")
+        schema = StructType([*keysets.SCHEMA.fields]).add("segment", LongType()).add("attempt", StringType())
+        folders = [f"keys/segment={e.segment}/{attempt}" for e in written]
+        sizes = self._read("keys", folders, schema).groupBy("segment").agg(F.max("buckets").alias("buckets"))
+        return [Entry("keys", f"keys/segment={r['segment']}/{attempt}", segment=r["segment"], number=r["buckets"]) for r in sizes.collect()]
 
     def _overlay(self, base: DataFrame | None, deltas: DataFrame | None) -> DataFrame:
         text = self._current("{base}" if base is not None else None, "{deltas}" if deltas is not None else None)
@@ -274,6 +344,21 @@ class KeyedTable(_Stored):
         return self._read("deltas", [e.name for e in state.of("delta")], schema)
 
 
+def _range(entry: Entry) -> tuple[int, int]:
+    """The batches that a folded entry stands for; older lists held the last one alone."""
+    return (entry.first if entry.first is not None else 0, entry.number)
+
+
+def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(ranges):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(last, out[-1][1]))
+        else:
+            out.append((first, last))
+    return out
+
+
 def _single(batch: DataFrame, key: str) -> DataFrame:
     """The batch, which fails when it is computed if a key stands in it twice."""
     n = F.count("*").over(Window.partitionBy(key))
@@ -285,33 +370,58 @@ class SnapshotTable(_Stored):
     def append(self, result: DataFrame, batch_id: int, created_at: datetime) -> None:
         """Store a run's rows, stamped with its time; running the same batch again replaces it.
 
-        Readers see the old rows until the new ones are complete.  ``id`` is unique in the batch and
-        grows with the result's order, without gathering the rows in one place to number them.
+        Readers see the old rows until the new ones are complete.  ``id`` counts the batch's rows from 1 in the
+        result's order.
         """
-        rows = conform(result, self.spec.result)
-        rows = rows.select(
-            F.monotonically_increasing_id().alias("id"), *rows.columns, F.lit(created_at).alias("created_at")
-        )
+        first_pass = shared_dir(self.spark, "numbered")
+        rows = numbered(conform(result, self.spec.result), "id", first_pass)
+        rows = rows.withColumn("created_at", F.lit(created_at))
         name = f"batches/batch_id={batch_id}/{_attempt()}"
         rows.write.parquet(f"{self.path}/{name}")
+        files.delete(self.spark, first_pass)
         state = self._state().without(lambda e: e.kind == "batch" and e.number == batch_id)
-        self._commit(state.plus(Entry("batch", name, number=batch_id)))
+        self._commit(state.plus(Entry("batch", name, number=batch_id, first=math.floor(created_at.timestamp()))))
+
+    def read(self, batch_ids: list[int] | None = None, since: int | None = None) -> DataFrame:
+        """Rows of all runs, or of those named, with ``batch_id``; other folders are not opened.
 
-    def read(self, batch_ids: list[int] | None = None) -> DataFrame:
-        """Rows of all runs, or of those named, with ``batch_id``; other folders are not opened."""
-        live = [e.name for e in self._state().of("batch") if batch_ids is None or e.number in batch_ids]
+        ``since`` leaves out the runs whose time lies before that second.
+        """
+        state = self._state()
+        self._follow(state)
+        live = [e for e in state.of("batch") if batch_ids is None or e.number in batch_ids]
+        # A batch of an older list has no time there.
+        live = [e.name for e in live if since is None or e.first is None or e.first >= since]
         rows = self._read("batches", live, self._schema().add("attempt", StringType()))
         return rows.drop("attempt") if rows is not None else self.spark.sql(f"SELECT * FROM {_no_rows(self._schema())}")
 
     def batch(self, batch_id: int) -> DataFrame:
         return self.read([batch_id])
 
-    def definition(self) -> str:
+    def definition(self, state: _List | None = None) -> str:
         columns = ", ".join(f"`{c}`" for c in self._schema().fieldNames())
-        attempts = ", ".join(f"'{e.name.rsplit('=', 1)[1]}'" for e in self._state().of("batch"))
+        attempts = ", ".join(f"'{e.name.rsplit('=', 1)[1]}'" for e in (state or self._state()).of("batch"))
         if not attempts:
             return f"SELECT {columns} FROM {_no_rows(self._schema())}"
         return f"SELECT {columns} FROM parquet.`{self.path}/batches` WHERE attempt IN ({attempts})"
 
     def _schema(self) -> StructType:
         return storage_schema(self.spec.schema).add("batch_id", LongType())
+
+
+def numbered(rows: DataFrame, name: str, path: str) -> DataFrame:
+    """``rows`` with a first column that counts them from 1 in their order.
+
+    Rows are written once, to ``path``, with their partition and place.  The partitions' sizes, a row each, give where
+    each partition's numbers begin; no task sees all rows.
+    """
+    spark = rows.sparkSession
+    # The upper bits are the partition, the lower 33 the place in it.
+    rows.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    stored = spark.read.schema(rows.schema.add("_at", LongType())).parquet(path)
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = stored.withColumn("_part", part).join(begins, "_part")
+    return joined.select((F.col("_before") + place + 1).alias(name), *rows.columns)

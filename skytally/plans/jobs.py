@@ -17,7 +17,10 @@ from skytally.functions.text import first_word
 from skytally.operators import keyed
 from skytally.operators.conform import split_nulls
 from skytally.operators.filters import equal_columns, in_the_air, non_empty, recent
-from skytally.operators.lookup import fan_out
+from skytally.operators.lookup import fan_out, for_each_tile, hot_codes, tiled
+
+#: Airports of one code that a row meets at once.
+HOT_TILE = 32
 
 
 def most_flights_in_progress(
@@ -55,22 +58,40 @@ def airport_and_zone_transition(
     """Each recent flight with both airports, their zones and the route length.
 
     Airports and distance are worked out once per distinct route; the flights then join the
-    finished routes.
+    finished routes.  Codes of more than ``HOT_TILE`` airports, like that of all airports without one, are
+    met in tiles: a route between two of them is as many rows as pairs of tiles, each with its own pairs of airports
+    and in a task of its own.
     """
     active = recent(flights, as_of, seconds, replay=replay).select(
         "id", "airline_iata", "airline_icao", "origin_airport_iata", "destination_airport_iata"
     )
     ends = ["origin_airport_iata", "destination_airport_iata"]
-    legs = active.select(*ends).distinct()
+    keys, hot = list(ends), hot_codes(airports, "iata", HOT_TILE)
+    # One look at the airports decides; without such a code the plan is the plain one.
+    split = not hot.isEmpty()
+    if split:
+        for end in ends:
+            active = for_each_tile(active, end, hot, f"_{end}_tile")
+            keys.append(f"_{end}_tile")
+    legs = active.select(*keys).distinct()
+    if split:
+        # By number: small partitions stay apart, as it is not their own size that counts but that of what they become.
+        legs = legs.repartition(int(legs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     for end in ("origin", "destination"):
-        side = airports.selectExpr(
+        code, tile = f"{end}_airport_iata", f"_{end}_airport_iata_tile"
+        columns = [
             f"iata AS _{end}",
             f"name AS {end}_airport_name",
             f"latitude AS {end}_airport_latitude",
             f"longitude AS {end}_airport_longitude",
             f"continent AS {end}_zone_name",
-        )
-        legs = fan_out(legs, side, f"{end}_airport_iata", f"_{end}")
+        ]
+        if split:
+            side = tiled(airports, "iata", hot, "icao", "_tile").selectExpr(*columns, f"_tile AS _{end}_tile")
+            met = (F.col(code) == F.col(f"_{end}")) & (F.col(tile) == F.col(f"_{end}_tile"))
+            legs = legs.join(side, met).drop(f"_{end}", f"_{end}_tile")
+        else:
+            legs = fan_out(legs, airports.selectExpr(*columns), code, f"_{end}")
     length = geodesic_km(
         "origin_airport_latitude",
         "origin_airport_longitude",
@@ -79,9 +100,9 @@ def airport_and_zone_transition(
         method,
     )
     legs = legs.withColumn("distance_km", length.cast("float"))
-    return active.join(legs, ends).selectExpr(
-        "id AS flight_id", "airline_iata", "airline_icao", *[c for c in legs.columns if c not in ends]
-    )
+    # Not by broadcast: flights of one route and their tiles would stay in one task.
+    met = active.join(legs.hint("merge") if split else legs, keys)
+    return met.selectExpr("id AS flight_id", "airline_iata", "airline_icao", *[c for c in legs.columns if c not in keys])
 
 
 def flights_per_model(flights: DataFrame) -> DataFrame:

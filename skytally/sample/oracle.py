@@ -247,8 +247,8 @@ ORACLE: dict[str, str] = {
         union all select page_id, 1, 1, concat('url: ', url) from page
         union all select page_id, 2, 0, '' from page)
       select page_id, cast(row_no as int) row_no, cast(cell_no as int) cell_no, cell from cell""",
-    "extract_page_tables_raw": """select page_id, cast(0 as int) row_count from pages
-      where contains(html, 'table table-striped table-bordered border-dark')""",
+    "extract_page_tables_raw": """select page_id, cast((length(html) - length(replace(lower(html), '<table', ''))) // 6 as int) row_count
+      from pages""",
     "ingest_flights": f"""with {_FLIGHT}
       select cast(o_custkey as varchar) id, airline_iata, airline_icao, altitude, on_ground, "time", aircraft_model
       from flight where o_totalprice <= 400000
@@ -368,6 +368,21 @@ ORACLE |= {
           row_number() over (partition by o_custkey order by o_orderkey desc) down from flight)
       select cast(o_custkey as varchar) id, airline_iata, altitude, on_ground, "time", aircraft_model
       from ends where (up = 1 or down = 1) and o_totalprice <= 400000 {_LAST_ORDER}""",
+    "upsert_late_batch": """select user_id, event_id, event_type, value from events
+      qualify row_number() over (partition by user_id
+        order by case event_type when 'click' then 2 when 'error' then 0 else 1 end desc, ts desc) = 1""",
+    "upsert_pruned_compaction": ORACLE["upsert_latest"],
+    "lookup_current_rows": f"""select * from ({ORACLE["upsert_latest"]})
+      where user_id in (select user_id from events where event_type = 'error')""",
+    "ingest_topic": ORACLE["ingest_flights"],
+    "airport_and_zone_transition_hot": f"""with recursive {_FLIGHT.replace("flight as", "flown as", 1)},
+      flight as (select * replace (
+        case when o_orderkey % 100 = 0 then '' else origin_airport_iata end as origin_airport_iata,
+        case when o_orderkey % 100 = 0 then '' else destination_airport_iata end as destination_airport_iata) from flown),
+      {_AIRPORT}, {_AIRLINE}, {_TRANSITION}
+      select flight_id, airline_iata, airline_icao, {_ENDS}, {_ROUNDED} from azt where batch = {AS_OF}""",
+    "average_flight_distance_joined": ORACLE["average_flight_distance_per_continent"],
+    "snapshot_ids": """select row_number() over (order by o_custkey desc, o_orderkey) id, o_orderkey from orders""",
     "publish_landed": ORACLE["publish_flights"],
     "jobs_after_each_batch": f"""with {_FLIGHT}, {_AIRLINE},
       state as (select * from flight where o_totalprice <= 400000 {_LAST_ORDER})
@@ -377,6 +392,9 @@ ORACLE |= {
     "topic_offset_order": """select event_id, max(cast(floor(epoch(ts)) as bigint) - (event_id * 37 % 1000) * 60)
         over (partition by user_id % 4 order by event_id) arrived from events""",
     "landed_airline_feed": ORACLE["load_airlines"],
+    "landed_airport_feed": f"""with {_AIRPORT}, {_STANDARD}
+      select icao, altitude, airport.country, iata, latitude, longitude, name, standard.continent
+      from airport left join standard on airport.country = standard.country""",
     "reference_objects": """select cast(s_suppkey as varchar) icao, s_name as name, n_name country
       from supplier join nation on s_nationkey = n_nationkey""",
     "upsert_airports": ORACLE["load_airports"],

@@ -10,7 +10,7 @@ import contextlib
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -38,6 +38,7 @@ from skytally.sources.feeds import (
     write_reference,
 )
 from skytally.sources.pages import DETAILS_CLASS
+from skytally.sources.topics import land_topic, topic_messages
 from skytally.streaming.ingest import ingest, publish
 from skytally.streaming.messages import decode, to_messages
 
@@ -91,6 +92,16 @@ def airport_and_zone_transition_sphere(spark, sf_dir):
     return transitions(spark, sf_dir, AS_OF, "sphere").withColumn("distance_km", _km())
 
 
+@query
+def airport_and_zone_transition_hot(spark, sf_dir):
+    """One order in a hundred flies from '' to '': between all pairs of airports without a code."""
+    flights = views.flights(spark, sf_dir, model=False)
+    for end in ("origin_airport_iata", "destination_airport_iata"):
+        flights = flights.withColumn(end, F.when(F.expr("bigint(id) % 100 = 0"), "").otherwise(F.col(end)))
+    moves = jobs.airport_and_zone_transition(flights, views.airports(spark, sf_dir), AS_OF, TRANSITION, replay=True)
+    return moves.withColumn("distance_km", _km())
+
+
 @query
 def aircraft_model_per_airline_country(spark, sf_dir):
     return jobs.aircraft_model_per_airline_country(views.flights(spark, sf_dir), views.airlines(spark, sf_dir))
@@ -112,6 +123,15 @@ def average_flight_distance_per_continent(spark, sf_dir):
     )
 
 
+@query
+def average_flight_distance_joined(spark, sf_dir):
+    """The same with each transition joined to its current flight first, a join by key that adds and takes no row."""
+    flights = views.flights(spark, sf_dir, model=False)
+    moves = history(flights, views.airports(spark, sf_dir))
+    moves = lookup.fan_out(moves, flights.select(F.col("id").alias("_id"), "time"), "flight_id", "_id", "left")
+    return jobs.average_flight_distance_per_continent(moves, flights, AS_OF, ACTIVE)
+
+
 @query
 def current_longest_flight(spark, sf_dir):
     transitions = history(views.flights(spark, sf_dir, model=False), views.airports(spark, sf_dir))
@@ -261,10 +281,10 @@ def extract_page_tables(spark, sf_dir):
 
 @query
 def extract_page_tables_raw(spark, sf_dir):
-    """The sample pages as they are: none has a table."""
-    return refdata.extract_page_tables(views.table(spark, sf_dir, "pages")).select(
-        "page_id", F.size("rows").alias("row_count")
-    )
+    """Rows found in each of the sample pages as they are: none has a table."""
+    pages = views.table(spark, sf_dir, "pages").select("page_id", "html")
+    found = refdata.extract_page_tables(pages).select("page_id", F.size("rows").alias("row_count"))
+    return pages.select("page_id").join(found, "page_id", "left").fillna(0, ["row_count"])
 
 
 def _order_stream(spark, sf_dir):
@@ -540,6 +560,42 @@ def upsert_two_writers(spark, sf_dir):
     return table.read()
 
 
+@query
+def upsert_late_batch(spark, sf_dir):
+    """The second batch first and folded, then the first one, late; both again change nothing."""
+    table = KeyedTable(spark, shared_dir(spark, "upsert"), EVENT_STATE)
+    batches = _event_batches(spark, sf_dir)
+    for number in (1, 0, 1, 2, 0):
+        table.upsert(batches[number], number, arrival="ts")
+        if number < 2:
+            table.compact()
+    return table.read()
+
+
+@query
+def upsert_pruned_compaction(spark, sf_dir):
+    """The batches of ``upsert_latest`` in segments of a thousand events, folded after each: of the base only segments
+    whose key summary can hold a changed user are looked at."""
+    spec = replace(EVENT_STATE, segment="event_id div 1000", segment_column="event_id")
+    table = KeyedTable(spark, shared_dir(spark, "upsert"), spec)
+    for number, events in enumerate(_event_batches(spark, sf_dir)):
+        table.upsert(events, number, arrival="ts")
+        table.compact()
+    return table.read()
+
+
+@query
+def lookup_current_rows(spark, sf_dir):
+    """The current rows of the users that ever met an error, by key; the last batch is not folded yet."""
+    spec = replace(EVENT_STATE, segment="event_id div 1000", segment_column="event_id")
+    table = KeyedTable(spark, shared_dir(spark, "upsert"), spec)
+    for number, events in enumerate(_event_batches(spark, sf_dir)):
+        table.upsert(events, number, arrival="ts")
+        if number < 2:
+            table.compact()
+    return table.lookup(views.table(spark, sf_dir, "events").filter("event_type = 'error'"))
+
+
 @query
 def upsert_new_checkpoint(spark, sf_dir):
     """``ingest_flights`` from a new checkpoint after a compaction: its batches, again from 0, count."""
@@ -574,6 +630,29 @@ def ingest_resumed(spark, sf_dir):
     return table.read().select("id", "airline_iata", "altitude", "on_ground", "time", "aircraft_model")
 
 
+@query
+def ingest_topic(spark, sf_dir):
+    """The messages of ``ingest_flights`` landed as a topic of eight partitions, read by offsets in bounded batches:
+    a first batch, a stop, then the rest from the same checkpoint."""
+    root = shared_dir(spark, "topic")
+    orders = views.table(spark, sf_dir, "orders")
+    sent = _messages(orders, views.first_lines(spark, sf_dir), views.table(spark, sf_dir, "part"))
+    part = F.col("o_custkey") % 8
+    offset = F.row_number().over(Window.partitionBy(part).orderBy("o_orderkey")) - 1
+    places = orders.select("o_orderkey", part.alias("partition"), offset.alias("offset"))
+    topic = sent.join(places, F.col("arrival") == F.col("o_orderkey")).withColumn("timestamp", F.timestamp_seconds("o_orderkey"))
+    land_topic(topic, f"{root}/topic", per_file=2000)
+    table = KeyedTable(spark, root, FLIGHT)
+    limit = {"maxOffsetsPerTrigger": max(1, orders.count() // 3), "checkpoint": f"{root}/checkpoint"}
+    for trigger in ({"availableNow": True}, {"processingTime": "0 seconds"}):
+        stream = ingest(topic_messages(spark, f"{root}/topic", **limit), table, f"{root}/checkpoint", trigger=trigger)
+        try:
+            stream.processAllAvailable() if "processingTime" in trigger else stream.awaitTermination()
+        finally:
+            stream.stop()
+    return table.read().select("id", "airline_iata", "airline_icao", "altitude", "on_ground", "time", "aircraft_model")
+
+
 @query
 def publish_landed(spark, sf_dir):
     """Observations landed as JSON records, streamed from there to messages."""
@@ -632,6 +711,19 @@ def landed_airline_feed(spark, sf_dir):
     return table.read()
 
 
+@query
+def landed_airport_feed(spark, sf_dir):
+    """The airport feed as landed JSON records, read, given its continents and stored."""
+    root = shared_dir(spark, "feed")
+    feed = views.airports(spark, sf_dir).drop("continent")
+    renamed = feed.select(*[F.col(c).alias(c.capitalize()) for c in feed.columns])
+    renamed.write.json(f"{root}/feed")
+    landed = read_feed(spark, f"{root}/feed", renamed.schema)
+    table = KeyedTable(spark, root, AIRPORT)
+    table.upsert(refdata.load_airports(records.lower_names(landed), override_continents(spark), _standard(spark, sf_dir)), arrival="_arrival")
+    return table.read()
+
+
 @query
 def reference_objects(spark, sf_dir):
     """Legacy reference files of one JSON object each, and their lines read back."""
@@ -734,6 +826,16 @@ def snapshot_append(spark, sf_dir):
     return table.read().select("event_type", "event_count", F.unix_timestamp("created_at").alias("stamp"), "batch_id")
 
 
+@query
+def snapshot_ids(spark, sf_dir):
+    """Ids of a stored result count its rows from 1 in its order."""
+    spec = SnapshotSpec("analytics_data", "orders", StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType())]))
+    table = SnapshotTable(spark, shared_dir(spark, "snapshot"), spec)
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    table.append(orders.orderBy(F.desc("o_custkey"), "o_orderkey"), 1, views.instant(AS_OF))
+    return table.read().select("id", "o_orderkey")
+
+
 @query
 def last_wins_per_key(spark, sf_dir):
     """The last page wins: keys repeat over the supplier pages, in integer order of the page."""

@@ -175,6 +175,17 @@ MOST_ACTIVE_FLIGHTS_PER_BUILDER = SnapshotSpec(
     _schema({"builder": TEXT, "flight_count": INT}),
 )
 
+# An index, not a result: the second of the first run whose transitions hold a flight.
+TRANSITION_SEEN = KeyedSpec(
+    "processed_data",
+    "transition_seen",
+    _schema({"flight_id": TEXT, "first_seen": LongType()}, required=("flight_id",)),
+    key="flight_id",
+    cluster_by=("flight_id",),
+    segment="first_seen div 86400",
+    segment_column="first_seen",
+)
+
 KEYED = (FLIGHT, AIRLINE, AIRPORT)
 SNAPSHOTS = (
     MOST_FLIGHTS_IN_PROGRESS,

@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 
 import pytest
 from conftest import AS_OF, frame, rows
+from pyspark.sql import functions as F
 
 from skytally import schemas
 from skytally.operators.tables import SnapshotTable
@@ -203,3 +204,32 @@ def test_jobs_agree_with_and_without_broadcast(spark, transitions, flights, airl
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_hot_fan_out_is_spread(spark, airports, monkeypatch):
+    """600 airports without a code, and flights without one at both ends: all pairs, in many tasks."""
+    others = spark.range(600).selectExpr(
+        "concat('J', id) icao", "0 altitude", "'x' country", "if(id % 2 = 0, '', concat('Q', id)) iata", "float(id % 90) latitude",
+        "float(id % 80) longitude", "concat('n', id) name", "if(id % 3 = 0, 'Asia', NULL) continent",
+    )
+    places = airports.unionByName(others)
+    moving = spark.range(0, 3000, 1, 4).selectExpr(
+        "string(id) id", "'AA' airline_iata", "'AAA' airline_icao", "if(id % 1000 = 7, '', if(id % 100 = 3, NULL, 'P1')) origin_airport_iata",
+        "if(id % 500 = 7, '', 'P2') destination_airport_iata", f"{AS_OF} time",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        monkeypatch.setattr(jobs, "HOT_TILE", 16)
+        found = jobs.airport_and_zone_transition(moving, places, AS_OF, method="sphere")
+        tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        n = 301
+        # '' at both ends three times, '' at the destination alone thrice more; the others meet both airports of P2.
+        assert sum(tasks) == 3 * n * n + 3 * n + (3000 - 6 - 30) * 2
+        assert len(tasks) >= 8 and max(tasks) < 2 * sorted(tasks)[len(tasks) // 2]
+        monkeypatch.setattr(jobs, "HOT_TILE", 10**9)
+        plain = jobs.airport_and_zone_transition(moving, places, AS_OF, method="sphere")
+        total = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()
+        assert total(found) == total(plain)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
