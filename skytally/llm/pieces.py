@@ -2,7 +2,8 @@
 
 A text's segmentations form a lattice over its characters.  Blanks stand at a piece's begin only, or are
 all of it, and no piece holds a line end, so the lattice is a chain of small ones, one per unit (a run of
-blanks with the characters up to the next blank, or a line end), which are built once per different unit.
+blanks with the characters up to the next blank, or a line end), which are built once per different unit.  What
+follows a place in a unit depends on the rest of it alone, so units that end alike share the nodes of their end.
 
 Each segmentation has the probability of its pieces, and sampling k of them without replacement is
 taking the k largest of their Gumbel-perturbed log-probabilities.  These are found best first, as
@@ -36,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skytally.llm.common import begin, keeps
 from skytally.llm.shingles import mixed
 
 MARK = "▁"
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _U = np.uint64
-#: Edges of lattices that a worker keeps (about 24 bytes each) before it starts anew.
-MAX_EDGES = 8_000_000
+#: Edges of lattices that a worker keeps (about 40 bytes each, with nodes and units) before it starts anew.
+MAX_EDGES = 4_000_000
 #: Characters of text worked on at once; a longer text is taken alone.
 SLICE_CHARS = 1_000_000
 
@@ -110,6 +112,10 @@ class Lattices:
         # and the probability of the node's edges up to this one.
         self.piece, self.target, self.logp, self.upto = array("i"), array("i"), array("d"), array("d")
         self.first = array("i", [0])  # each node's first edge
+        # Of each node of a short unit: the sum over all ways to the end.
+        self.ways = array("d")
+        # These nodes by what they are: the node one character on (plus 1; 0 at the end) and the character; sorted.
+        self.known, self.number = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, unit: str) -> int:
         """Number of the unit's first node."""
@@ -148,21 +154,56 @@ class Lattices:
                 self.upto.append(reach)
             self.upto[-1] = 1.0
             self.first.append(len(self.piece))
+            # No other unit shares these.
+            self.ways.append(math.nan)
         self.base[unit] = start
         return start
 
     def add_short(self, units: list[str]) -> None:
-        """The same for many units of which every character is a piece, in arrays over all their nodes."""
+        """The same for many units of which every character is a piece, in arrays over all their new nodes."""
         sizes = np.array([len(u) for u in units])
         codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
-        ends = np.repeat(np.cumsum(sizes), sizes)
-        n = len(codes)
-        left = ends - np.arange(n)
+        begin = np.cumsum(sizes) - sizes
+        start = len(self.first) - 1
+        # The node at each place, from the ends backwards; those that are new, and a place where each stands.
+        number = np.full(len(codes), -1, np.int64)
+        rest, going = np.zeros(len(units), np.int64), np.arange(len(units))
+        count, places, fresh_keys, fresh_numbers = start, [], [], []
+        for d in range(1, int(sizes.max()) + 1):
+            going = going[sizes[going] >= d]
+            at = begin[going] + sizes[going] - d
+            keys, one, of = np.unique(rest[going] << 21 | codes[at], return_index=True, return_inverse=True)
+            found = np.searchsorted(self.known, keys)
+            there = np.zeros(len(keys), bool)
+            inside = found < len(self.known)
+            there[inside] = self.known[found[inside]] == keys[inside]
+            numbers = np.empty(len(keys), np.int64)
+            numbers[there] = self.number[found[there]]
+            made = int((~there).sum())
+            numbers[~there] = np.arange(count, count + made)
+            count += made
+            places.append(at[one[~there]])
+            fresh_keys.append(keys[~there])
+            fresh_numbers.append(numbers[~there])
+            number[at] = numbers[of]
+            rest[going] = numbers[of] + 1
+        self.base.update(zip(units, number[begin].tolist()))
+        place = np.concatenate(places)
+        if not len(place):
+            return
+        keys, numbers = np.concatenate(fresh_keys), np.concatenate(fresh_numbers)
+        order = np.argsort(keys)
+        into = np.searchsorted(self.known, keys[order])
+        self.known = np.insert(self.known, into, keys[order])
+        self.number = np.insert(self.number, into, numbers[order])
+        ends = np.repeat(begin + sizes, sizes)[place]
+        left = ends - place
+        n = len(place)
         weight = np.zeros((n, self.longest))
         piece = np.zeros((n, self.longest), np.int32)
         state, at = np.zeros(n, np.int64), np.arange(n)
         for k in range(self.longest):
-            state, alive = self.trie.step(state, codes[at + k])
+            state, alive = self.trie.step(state, codes[place[at] + k])
             at, state = at[alive], state[alive]
             found = self.trie.piece[state] >= 0
             piece[at[found], k] = self.trie.piece[state[found]]
@@ -172,46 +213,47 @@ class Lattices:
             if not len(at):
                 break
         # From the ends of the units backwards: the sum over all ways to the end.
-        ways = np.zeros(n + self.longest)
+        self.ways.frombytes(np.zeros(n).tobytes())
+        ways = np.frombuffer(self.ways, np.float64)
         by_left = np.argsort(left, kind="stable")
         steps = np.searchsorted(left[by_left], np.arange(1, int(left.max()) + 2))
         for d, (a, b) in enumerate(zip(steps[:-1], steps[1:]), 1):
             nodes = by_left[a:b]
             total = weight[nodes, d - 1].copy() if d <= self.longest else np.zeros(len(nodes))
             for k in range(min(d - 1, self.longest)):
-                total += weight[nodes, k] * ways[nodes + k + 1]
-            ways[nodes] = total
+                total += weight[nodes, k] * ways[number[place[nodes] + k + 1]]
+            ways[start + nodes] = total
         node, k = np.nonzero(weight)
-        target = node + k + 1
+        target = place[node] + k + 1
         last = target == ends[node]
-        share = weight[node, k] * np.where(last, 1.0, ways[np.where(last, 0, target)]) / ways[node]
+        target = np.where(last, -1, number[np.where(last, 0, target)])
+        share = weight[node, k] * np.where(last, 1.0, ways[target]) / ways[start + node]
+        del ways
         # The likeliest edge of a node first: most walks look at one edge alone.
         order = np.lexsort((-share, node))
-        node, k, target, last, share = (x[order] for x in (node, k, target, last, share))
+        node, k, target, share = (x[order] for x in (node, k, target, share))
         count = np.bincount(node, minlength=n)
         first = np.cumsum(count) - count
         reach = np.cumsum(share)
         reach -= np.repeat(reach[first] - share[first], count)
         reach[first + count - 1] = 1.0
-        start = len(self.first) - 1
         self.first.frombytes((len(self.piece) + np.cumsum(count)).astype(np.int32).tobytes())
         self.piece.frombytes(piece[node, k].tobytes())
-        self.target.frombytes(np.where(last, -1, start + target).astype(np.int32).tobytes())
+        self.target.frombytes(target.astype(np.int32).tobytes())
         self.logp.frombytes(np.minimum(np.log(share), 0.0).tobytes())
         self.upto.frombytes(reach.tobytes())
-        self.base.update(zip(units, (start + np.cumsum(sizes) - sizes).tolist()))
 
     def nodes(self, units: list[str]) -> np.ndarray:
         """First node of each unit; new units are added."""
         base = self.base
-        new = [u for u in set(units) if u not in base]
+        new = set(units).difference(base)
         short = [u for u in new if len(u) <= self.short and self.trie.spells(u)]
-        for at in range(0, len(short), 10_000):
-            self.add_short(short[at : at + 10_000])
+        for at in range(0, len(short), 20_000):
+            self.add_short(short[at : at + 20_000])
         for u in new:
             if u not in base:
                 self.add(u)
-        return np.array([base[u] for u in units], np.int64)
+        return np.fromiter(map(base.__getitem__, units), np.int64, len(units))
 
     def views(self) -> tuple[np.ndarray, ...]:
         """The arrays, as they are now and without a copy: they can't grow while a view of them is held."""
@@ -420,7 +462,9 @@ def sample_segmentations(
     out = f"doc_id {kind}, sample int, ids array<int>, n_pieces long, log_prob double, inclusion double, restored boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("pieces")
         lattices = _lattices(model_path, power)
+        keeps("pieces", lattices.clear)
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1).to_numpy().astype(np.int64).view(np.uint64)
             texts = [t or "" for t in batch.column(2).to_pylist()]
