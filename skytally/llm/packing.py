@@ -20,26 +20,30 @@ there are; an empty table gives a table without blocks.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skytally.llm.common import stored
+from skytally.llm.common import begin, keeps, stored
+from skytally.llm.shingles import slices
 from skytally.session import shared_dir
 
 BLOCK_IDS = 1 << 19
 MAGIC = b"TKB1"
-#: Pieces of text whose ids a worker remembers, twice at most: those used lately, and those before.
-MAX_KNOWN = 400_000
-_INNER_SPACE = re.compile(r"\s")
+#: Pieces of text whose ids a worker remembers before it starts anew.
+MAX_KNOWN = 700_000
+_PIECE = re.compile("\n| ?[^ \n]+")
 #: White space but the blank and the line end, of any reading of \s.
-_OTHER_SPACE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_OTHER_SPACE = "[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _NULL_ID = np.iinfo(np.int64).min
 
 
@@ -95,20 +99,42 @@ class Encoder:
 
     Byte-level BPE never joins a word with the blank or the line end that follows it.  So where blanks and
     line ends stand alone between other characters, the pieces between them can be encoded one by
-    one; texts with any other white space go to the library whole.
+    one: Arrow finds the different pieces of many texts, and numpy puts their ids in the texts' order.  Texts with
+    any other white space, or with the content of one of the vocabulary's added tokens, go to the library whole.
+    So the ids are those of the library for whole texts.  ``plain_specials`` makes the contents of special tokens
+    ordinary text instead.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_specials: bool = False):
+        # A task has one core; threads of the library's own would only take others' time.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
-        self._line_end = self._whole(["\n"])[0]
+        self._tokenizer.encode_special_tokens = plain_specials
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._odd = "|".join([*map(re.escape, added), r"[ \n][ \n]", r"\A[ \n]", r"[ \n]\z", _OTHER_SPACE])
+        self._split = self._line_end = None
+        self.clear()
         kind = type(self._tokenizer.pre_tokenizer).__name__
         self._split = kind == "ByteLevel" and self._tokenizer.normalizer is None and not self._merges_words()
 
+    def clear(self) -> None:
+        """Forget all pieces."""
+        self._known: dict[str, int] = {}
+        self._ids, self._begins, self._uses = array("I"), array("q", [0]), array("q")
+
+    def _thin_out(self) -> None:
+        """Forget the half of the pieces that was used least."""
+        uses, words = np.frombuffer(self._uses, np.int64), list(self._known)
+        kept = np.sort(np.argsort(-uses, kind="stable")[: len(uses) // 2]).tolist()
+        data = [self._ids[self._begins[k] : self._begins[k + 1]].tobytes() for k in kept]
+        uses = uses[kept]
+        self.clear()
+        self._add([words[k] for k in kept], data)
+        # Old uses count less than new ones.
+        self._uses.frombytes((uses // 2).tobytes())
+
     def _merges_words(self) -> bool:
         """Whether the library itself disagrees with encoding pieces one by one, on a probe."""
         probe = ["a", " b1,c", " 2's", " _x", "\n", "d", " e!"]
@@ -117,56 +143,78 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        """The text in pieces; None where it has to be encoded whole."""
-        if not text or any(pair in text for pair in ("  ", "\n\n", " \n", "\n ", "\0")):
-            return None
-        # Each blank and line end parts two words, unless there is white space of another kind.
-        if text[0].isspace() or text[-1].isspace() or _OTHER_SPACE.search(text):
-            return None
-        # A blank opens a new piece; a line end is one.
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    def _add(self, pieces: list[str], found: list[bytes]) -> None:
+        first = len(self._begins) - 1
+        self._ids.frombytes(b"".join(found))
+        ends = self._begins[-1] + np.cumsum([len(f) // 4 for f in found])
+        self._begins.frombytes(ends.astype(np.int64).tobytes())
+        self._known.update(zip(pieces, range(first, first + len(pieces))))
 
     def _learn(self, pieces: list[str]) -> None:
         """Encode new pieces, many in one text with a line end after each."""
-        plain = [p for p in pieces if not _INNER_SPACE.search(p, 1) and (p[:1] == " " or not p[:1].isspace())]
-        rest = list(set(pieces) - set(plain))
-        self._known.update(zip(rest, self._whole(rest)))
-        mark = int(np.frombuffer(self._line_end, "<u4")[0])
-        groups = [plain[k : k + 500] for k in range(0, len(plain), 500)]
+        if self._line_end is None:
+            self._line_end = int(np.frombuffer(self._whole(["\n"])[0], "<u4")[0])
+        groups = [pieces[k : k + 500] for k in range(0, len(pieces), 500)]
         for group, data in zip(groups, self._whole(["\n".join(g) for g in groups])):
-            cuts = np.flatnonzero(np.frombuffer(data, "<u4") == mark) * 4
-            if len(cuts) == len(group) - 1:
+            cuts = np.flatnonzero(np.frombuffer(data, "<u4") == self._line_end) * 4
+            if "\n" not in group and len(cuts) == len(group) - 1:
                 begins, ends = [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]
-                self._known.update((p, data[a:b]) for p, a, b in zip(group, begins, ends))
+                self._add(group, [data[a:b] for a, b in zip(begins, ends)])
             else:
-                self._known.update(zip(group, self._whole(group)))
+                self._add(group, self._whole(group))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, as bytes of unsigned 32-bit integers."""
+    def _pieces(self, text: str) -> list[str] | None:
+        """The pieces of one text; None where it has to be encoded whole."""
+        return None if pc.match_substring_regex(pa.array([text]), self._odd)[0].as_py() else _PIECE.findall(text)
+
+    def _in_pieces(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all the texts, one after the other, and the end of each text's."""
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        # A blank opens a piece; a line end is one.
+        line_end = data == 10
+        opens = (data == 32) | line_end
+        opens[1:] |= line_end[:-1]
+        opens[offsets[:-1][offsets[:-1] < len(data)]] = True
+        starts = np.flatnonzero(opens)
+        cuts = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
+        found = pa.Array.from_buffers(pa.binary(), len(starts), [None, cuts, pa.py_buffer(data)]).dictionary_encode()
+        words = found.dictionary.cast(pa.string()).to_pylist()
         if len(self._known) > MAX_KNOWN:
-            # What is still in use comes back from the older half.
-            self._older, self._known = self._known, {}
-        known, older = self._known, self._older
-        parts = [self._pieces(t) if self._split else None for t in texts]
-        # One look at each piece; the few that are new are looked up again once they are known.
-        found = [list(map(known.get, p)) if p else [] for p in parts]
-        gaps = [list(_places_of_none(f)) for f in found]
-        new = {p[k] for p, holes in zip(parts, gaps) for k in holes}
-        known.update((p, older[p]) for p in new if p in older)
-        self._learn([p for p in new if p not in older])
-        for p, f, holes in zip(parts, found, gaps):
-            for k in holes:
-                f[k] = known[p[k]]
-        whole = iter(self._whole([t for t, p in zip(texts, parts) if p is None]))
-        return [next(whole) if p is None else b"".join(f) for p, f in zip(parts, found)]
-
-
-def _places_of_none(values: list) -> Iterator[int]:
-    at = -1
-    for _ in range(values.count(None)):
-        at = values.index(None, at + 1)
-        yield at
+            self._thin_out()
+        known, index = self._known, found.indices.to_numpy()
+        self._learn([w for w in words if w not in known])
+        number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        self._uses.frombytes(bytes(8 * (len(known) - len(self._uses))))
+        np.frombuffer(self._uses, np.int64)[number] += np.bincount(index, minlength=len(words))
+        number = number[index]
+        ids, begins = np.frombuffer(self._ids, np.uint32), np.frombuffer(self._begins, np.int64)
+        begin, size = begins[number], begins[number + 1] - begins[number]
+        ends = np.cumsum(size)
+        flat = ids[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])]
+        return flat, np.concatenate([[0], ends])[np.searchsorted(starts, offsets[1:])]
+
+    def encode_array(self, texts: pa.Array) -> list[bytes]:
+        """Each text's ids, as bytes of unsigned 32-bit integers; null texts are empty."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        odd = np.ones(len(texts), bool)
+        if self._split:
+            odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        places = np.flatnonzero(~odd)
+        for a, b, offsets, data in slices(texts.take(pa.array(places)) if odd.any() else texts):
+            ids, ends = self._in_pieces(offsets, data)
+            for k, (x, y) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
+                out[places[a + k]] = ids[x:y].tobytes()
+        whole = np.flatnonzero(odd)
+        for at in range(0, len(whole), 256):
+            part = whole[at : at + 256]
+            for k, data in zip(part.tolist(), self._whole(texts.take(pa.array(part)).to_pylist())):
+                out[k] = data
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_array(pa.array(texts, pa.large_string()))
 
 
 @lru_cache(2)
@@ -193,7 +241,9 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        begin("packing")
         file, encoder = TaskContext.get().partitionId(), _encoder(tokenizer_path)
+        keeps("packing", encoder.clear)
         number = written = 0
         names: list[int] = []
         parts: list[bytes] = []
@@ -212,11 +262,10 @@ def write_tokens(
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
+            for at in range(0, batch.num_rows, 1024):
+                rows = batch.slice(at, 1024)
                 ids = [_NULL_ID if i is None else i for i in rows.column(0).to_pylist()]
-                for name, data in zip(ids, encoder.encode(texts)):
+                for name, data in zip(ids, encoder.encode_array(rows.column(1))):
                     names.append(name)
                     parts.append(data + end)
                     held += len(parts[-1]) // 4

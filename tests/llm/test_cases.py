@@ -375,6 +375,33 @@ def test_encoding_in_pieces_of_any_white_space():
     assert encoder._pieces("plain words\nof a text") is not None
 
 
+def test_ids_are_the_plain_librarys():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(TOKENIZER)
+    random = np.random.default_rng(12)
+    parts = ["a", "b1,", "'s", "\u00e9", "\u65e5\u672c", "!", " ", " ", " ", "\n", "\t", "\u00a0", "<|endoftext|>", "<|", "|>", "\x1c"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", ""] + ["".join(random.choice(parts, random.integers(0, 12))) for _ in range(20000)]
+    ids = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    encoder = packing.Encoder(TOKENIZER)
+    assert encoder.encode(texts) == ids
+    assert len(np.frombuffer(encoder.encode(["a <|endoftext|> b"])[0], "<u4")) == 4
+    # As an option the contents of special tokens are ordinary text.
+    spelled = packing.Encoder(TOKENIZER, plain_specials=True)
+    plain.encode_special_tokens = True
+    assert spelled.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_forgotten_pieces_come_back(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_KNOWN", 40)
+    encoder = packing.Encoder(TOKENIZER)
+    random = np.random.default_rng(13)
+    for _ in range(50):
+        texts = [" ".join(random.choice([f"w{k}" for k in range(300)], 30)) for _ in range(3)]
+        assert encoder.encode(texts) == encoder._whole(texts)
+        assert len(encoder._known) == len(encoder._uses) == len(encoder._begins) - 1 < 140
+
+
 @pytest.mark.parametrize("bits", [1, 7, 16, 17, 32])
 def test_bits_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 1001, dtype=np.uint64).astype(np.uint32)
