@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +61,36 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(operator: str, clear: Callable[[], None]) -> None:
+    """Say that an operator's tasks leave something in this worker for those after them."""
+    _kept[operator] = clear
+
+
+def begin(operator: str) -> None:
+    """A task of an operator begins: what other operators keep in this worker goes, its memory back to the system."""
+    others = [name for name in _kept if name != operator]
+    for name in others:
+        _kept.pop(name)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what is run inside: for rows of several whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

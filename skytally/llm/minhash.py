@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.llm import graph
-from skytally.llm.common import fresh, stored
+from skytally.llm.common import arrow_rows, begin, fresh, stored
 from skytally.llm.shingles import SHINGLE, mixed, shingle_sets, slices, words
 
 BANDS, ROWS = 25, 5
@@ -83,6 +83,7 @@ _FEATURES = "doc_id long, n long, key1 long, key2 long, sig array<int>, bands ar
 
 
 def _features(batches: Iterator[pa.RecordBatch], places: int = PLACES) -> Iterator[pa.RecordBatch]:
+    begin("minhash")
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for start, end, offsets, data in slices(texts):
