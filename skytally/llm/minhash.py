@@ -9,7 +9,8 @@ Texts with equal shingle sets are one class and are compared through one of them
 in a band of the signature meet in a bucket.  Each is compared with the bucket's smallest id, not with
 all others; the confirmed links give components.  Then the buckets that still hold several components
 are searched for further links between different components, so that no link is lost that could join
-two of them: members whose signatures come near enough are compared in the task, on full sets.  With 25 bands of 5 places, a pair at similarity 0.85 meets in no bucket with probability
+two of them.  Such a bucket is cut in tiles by its members and their shingles, and each two tiles meet in a group of
+their own: there all signatures are compared in numpy, and members that come near enough then on full sets.  With 25 bands of 5 places, a pair at similarity 0.85 meets in no bucket with probability
 (1 - 0.85**5)**25 = 4e-7; at 0.80, 37 bands do the same.  Links are confirmed on the words themselves.
 
 A null or empty text, or one without words, has an empty set and is linked with nothing.  Ids identify
@@ -35,6 +36,8 @@ from skytally.llm.common import arrow_rows, begin, fresh, stored
 from skytally.llm.shingles import SHINGLE, mixed, shingle_sets, slices, words
 
 BANDS, ROWS = 25, 5
+#: Rows of an Arrow batch: pairs of them hold two whole texts.
+ARROW_ROWS = 1000
 PLACES = BANDS * ROWS
 _U = np.uint64
 
@@ -140,31 +143,57 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFr
     return both.filter(_linked(num, den)(F.col("text_a"), F.col("text_b"))).select("a", "b")
 
 
-#: Members of a bucket that are compared in one task.
-GROUP = 1000
+#: Members of a tile of a bucket, and shingles of them; two tiles are compared in one task.
+GROUP, GROUP_SHINGLES = 1000, 500_000
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """(bucket, doc_id, component, n, …) once for each two tiles (i, j) of the bucket in which a row stands."""
+    many = F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_SHINGLES)).cast("int")
+    counts = rows.groupBy("bucket").agg(many.alias("splits"))
+    dealt = rows.join(counts, "bucket").withColumn("split", F.pmod(F.xxhash64("doc_id"), F.col("splits")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    i, j = F.least("split", "other").alias("i"), F.greatest("split", "other").alias("j")
+    return dealt.select("bucket", i, j, *[c for c in rows.columns if c != "bucket"])
+
+
+def _near_in_tiles(tiles: DataFrame, places: int, num: int, den: int) -> DataFrame:
+    """The rows (bucket, doc_id, component) that come near one of another component, by size and signature."""
+    # Six standard deviations of the agreement below the threshold; full sets decide on the rest.
+    least = places * (num / den - 6 * (num / den * (1 - num / den) / places) ** 0.5)
+
+    def near(part: pd.DataFrame) -> pd.DataFrame:
+        begin("minhash")
+        n, component = part["n"].to_numpy(), part["component"].to_numpy()
+        sig = np.ascontiguousarray(np.stack(part["sig"].to_numpy()).T)
+        found = np.zeros(len(part), bool)
+        for at in range(0, len(part), 256):
+            own = slice(at, at + 256)
+            agree = np.zeros((len(n[own]), len(n)), np.int16)
+            for place in sig:
+                agree += place[own, None] == place[None, :]
+            sizes = den * np.minimum(n[own, None], n[None, :]) >= num * np.maximum(n[own, None], n[None, :])
+            found[own] = ((agree >= least) & sizes & (component[own, None] != component[None, :])).any(axis=1)
+        return part.loc[found, ["bucket", "doc_id", "component"]]
+
+    found = tiles.groupBy("bucket", "i", "j").applyInPandas(near, "bucket long, doc_id long, component long")
+    return found.distinct()
 
 
 def _links_between(close: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between members (bucket, doc_id, component) of a bucket in different components.
 
-    All pairs of a bucket are compared on their full sets (of 64-bit shingle values) where they are; only
-    links that join components leave the task.  A large bucket is split, and each two splits meet in a task.
+    All pairs of two tiles are compared on their full sets (of 64-bit shingle values) where they are; only
+    links that join components leave the task.
     """
     ids = stored(close.select("doc_id").distinct(), "minhash-close-ids")
     sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, elements binary").dropDuplicates(["doc_id"])
-    counts = close.groupBy("bucket").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("splits"))
-    split = F.pmod(F.xxhash64("doc_id"), F.col("splits")).cast("int")
-    rows = close.join(counts, "bucket").withColumn("split", split)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-    rows = rows.select(
-        "bucket",
-        F.least("split", "other").alias("i"),
-        F.greatest("split", "other").alias("j"),
-        "doc_id",
-        "component",
-    )
+    sets = stored(sets, "minhash-close-sets")
+    sizes = sets.select("doc_id", F.floor(F.octet_length("elements") / 8).alias("n"))
+    rows = _tiles(close.select("bucket", "doc_id", "component").join(sizes, "doc_id")).drop("n")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
+        begin("minhash")
         part = part.sort_values("doc_id").reset_index(drop=True)
         sets = [np.frombuffer(e, np.uint64) for e in part["elements"]]
         n = np.array([len(s) for s in sets])
@@ -212,6 +241,11 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = 85, den: int = 100, bands: int = BANDS
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row; links have intersection / union >= num / den."""
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        return _near_duplicates(docs, doc_id, text, num, den, bands)
+
+
+def _near_duplicates(docs: DataFrame, doc_id: str, text: str, num: int, den: int, bands: int) -> DataFrame:
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     places = bands * ROWS
     features = stored(texts.mapInArrow(lambda batches: _features(batches, places), _FEATURES), "minhash-features")
@@ -240,14 +274,8 @@ def near_duplicates(
     of = meet.join(found.toDF("doc_id", "component"), "doc_id", "left").select("bucket", "doc_id", label)
     split = of.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     open_rows = stored(of.join(split.select("bucket"), "bucket", "left_semi"), "minhash-open")
-    full = open_rows.join(heads.select("doc_id", "n", "sig"), "doc_id")
-    x, y = full.alias("x"), full.alias("y")
-    sizes = f"{den} * least(x.n, y.n) >= {num} * greatest(x.n, y.n)"
-    # Six standard deviations of the agreement below the threshold; full sets decide on the rest.
-    least = places * (num / den - 6 * (num / den * (1 - num / den) / places) ** 0.5)
-    agree = f"aggregate(zip_with(x.sig, y.sig, (p, q) -> int(p = q)), 0, (s, v) -> s + v) >= {least}"
-    met = F.expr(f"x.bucket = y.bucket AND x.component <> y.component AND {sizes} AND {agree}")
-    close = stored(x.join(y, met, "left_semi").select("bucket", "doc_id", "component"), "minhash-close")
+    full = _tiles(open_rows.join(heads.select("doc_id", "n"), "doc_id")).join(heads.select("doc_id", "sig"), "doc_id")
+    close = stored(_near_in_tiles(full, places, num, den), "minhash-close")
     if not close.isEmpty():
         links = stored(links.union(_links_between(close, texts, num, den)), "minhash-all-links")
         found = graph.components(links)

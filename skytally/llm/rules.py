@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytally.llm.common import fresh
+from skytally.llm.common import begin, fresh
 
 WINDOW = 5
 _SPACES = " \t\n\v\f\r"
@@ -131,6 +131,7 @@ def cascade(docs: DataFrame, rules: Sequence[Rule], text: str = "text", kept: st
 
     @F.pandas_udf("boolean")
     def verdict(texts: pd.Series) -> pd.Series:
+        begin("rules")
         return pd.Series([not any(rule.rejects(t) for rule in rules) for t in map(Text, texts)], dtype=bool)
 
     return docs.withColumn(kept, verdict(F.col(text)))
@@ -154,6 +155,7 @@ def measured(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> Data
 
     @F.pandas_udf(kind)
     def measure(texts: pd.Series) -> pd.DataFrame:
+        begin("rules")
         rows = []
         for t in map(Text, texts):
             kept = not any(rule.rejects(t) for rule in rules)

@@ -179,6 +179,25 @@ def test_links_between_components_of_split_buckets(spark, monkeypatch):
     assert joined == {(k, c) for k, (_, c) in brute_components(table).items()}
 
 
+def test_hot_bucket_is_compared_in_tiles(spark, monkeypatch):
+    """Texts that share most of their words, in one bucket, some alike enough; tiles of few members and of few shingles."""
+    random = np.random.default_rng(8)
+    base, table = [f"v{x}" for x in random.integers(0, 10**6, 200)], {}
+    for k in range(90):
+        own = [f"o{k}x{i}" for i in range(40 if k % 3 else 4)]
+        table[k] = " ".join(base[: 200 - k // 2] + own)
+    frame = spark.createDataFrame(list(table.items()), "doc_id long, text string")
+    want = brute_components(table)
+    assert 1 < len({c for _, c in want.values()}) < 90
+    for group, shingle_limit in ((1000, 500_000), (7, 500_000), (1000, 900)):
+        monkeypatch.setattr(minhash, "GROUP", group)
+        monkeypatch.setattr(minhash, "GROUP_SHINGLES", shingle_limit)
+        assert {r[0]: (r[1], r[2]) for r in minhash.near_duplicates(frame).collect()} == want
+    rows = spark.createDataFrame([(1, k, k, 200) for k in range(90)], "bucket long, doc_id long, component long, n long")
+    tiles = minhash._tiles(rows).groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
+    assert len(tiles) == 20 * 21 // 2 and max(r["n"] for r in tiles) < 5000
+
+
 def test_signature_estimates_similarity():
     random = np.random.default_rng(0)
     errors = []
