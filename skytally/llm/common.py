@@ -64,6 +64,7 @@ def word_count(text: Column) -> Column:
 
 
 _kept: dict[str, Callable[[], None]] = {}
+_last = [""]
 
 
 def keeps(operator: str, clear: Callable[[], None]) -> None:
@@ -73,10 +74,12 @@ def keeps(operator: str, clear: Callable[[], None]) -> None:
 
 def begin(operator: str) -> None:
     """A task of an operator begins: what other operators keep in this worker goes, its memory back to the system."""
-    others = [name for name in _kept if name != operator]
-    for name in others:
+    if _last[0] == operator:
+        return
+    before, _last[0] = _last[0], operator
+    for name in [name for name in _kept if name != operator]:
         _kept.pop(name)()
-    if others:
+    if before:
         gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -145,16 +145,35 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFr
 
 #: Members of a tile of a bucket, and shingles of them; two tiles are compared in one task.
 GROUP, GROUP_SHINGLES = 1000, 500_000
+#: Rows of small buckets that share a group, as groups cost more than buckets.
+PACK = 1000
 
 
-def _tiles(rows: DataFrame) -> DataFrame:
-    """(bucket, doc_id, component, n, …) once for each two tiles (i, j) of the bucket in which a row stands."""
+def _tiles(rows: DataFrame, total: int = 0) -> DataFrame:
+    """(pack, i, j, bucket, doc_id, component, n) once for each two tiles (i, j) of the bucket in which a row stands.
+
+    A large bucket is a pack of its own; buckets of one tile, of ``total`` rows, share packs.
+    """
     many = F.ceil(F.greatest(F.count("*") / GROUP, F.sum("n") / GROUP_SHINGLES)).cast("int")
     counts = rows.groupBy("bucket").agg(many.alias("splits"))
     dealt = rows.join(counts, "bucket").withColumn("split", F.pmod(F.xxhash64("doc_id"), F.col("splits")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
     i, j = F.least("split", "other").alias("i"), F.greatest("split", "other").alias("j")
-    return dealt.select("bucket", i, j, *[c for c in rows.columns if c != "bucket"])
+    # Tiles of large buckets and packs can't be taken for each other: their j differs.
+    name = F.xxhash64("bucket")
+    pack = F.when(F.col("splits") == 1, F.pmod(name, F.lit(total // PACK + 1))).otherwise(name)
+    j = F.when(F.col("splits") == 1, -1).otherwise(j).alias("j")
+    return dealt.select(pack.alias("pack"), i, j, *rows.columns)
+
+
+def _by_bucket(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """The buckets of a pack, or a bucket's two tiles."""
+    part = part.sort_values(["bucket", "doc_id"]).reset_index(drop=True)
+    bucket = part["bucket"].to_numpy()
+    cuts = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True)) + 1
+    for a, b in zip([0, *cuts.tolist()], cuts.tolist()):
+        if b - a > 1:
+            yield part.iloc[a:b]
 
 
 def _near_in_tiles(tiles: DataFrame, places: int, num: int, den: int) -> DataFrame:
@@ -162,21 +181,31 @@ def _near_in_tiles(tiles: DataFrame, places: int, num: int, den: int) -> DataFra
     # Six standard deviations of the agreement below the threshold; full sets decide on the rest.
     least = places * (num / den - 6 * (num / den * (1 - num / den) / places) ** 0.5)
 
+    def agreement(own: np.ndarray, sig: np.ndarray) -> np.ndarray:
+        if len(sig) <= 32:
+            return (own[:, None, :] == sig[None, :, :]).sum(axis=2)
+        agree = np.zeros((len(own), len(sig)), np.int16)
+        for mine, place in zip(own.T, np.ascontiguousarray(sig.T)):
+            agree += mine[:, None] == place[None, :]
+        return agree
+
     def near(part: pd.DataFrame) -> pd.DataFrame:
         begin("minhash")
-        n, component = part["n"].to_numpy(), part["component"].to_numpy()
-        sig = np.ascontiguousarray(np.stack(part["sig"].to_numpy()).T)
-        found = np.zeros(len(part), bool)
-        for at in range(0, len(part), 256):
-            own = slice(at, at + 256)
-            agree = np.zeros((len(n[own]), len(n)), np.int16)
-            for place in sig:
-                agree += place[own, None] == place[None, :]
-            sizes = den * np.minimum(n[own, None], n[None, :]) >= num * np.maximum(n[own, None], n[None, :])
-            found[own] = ((agree >= least) & sizes & (component[own, None] != component[None, :])).any(axis=1)
-        return part.loc[found, ["bucket", "doc_id", "component"]]
-
-    found = tiles.groupBy("bucket", "i", "j").applyInPandas(near, "bucket long, doc_id long, component long")
+        out = [part.iloc[:0]]
+        for rows in _by_bucket(part):
+            n, component, sig = rows["n"].to_numpy(), rows["component"].to_numpy(), np.stack(rows["sig"].to_numpy())
+            if (component == component[0]).all():
+                continue
+            found = np.zeros(len(rows), bool)
+            for at in range(0, len(rows), 256):
+                own = slice(at, at + 256)
+                sizes = den * np.minimum(n[own, None], n[None, :]) >= num * np.maximum(n[own, None], n[None, :])
+                apart = sizes & (component[own, None] != component[None, :])
+                found[own] = ((agreement(sig[own], sig) >= least) & apart).any(axis=1)
+            out.append(rows[found])
+        return pd.concat(out)[["bucket", "doc_id", "component"]]
+
+    found = tiles.groupBy("pack", "i", "j").applyInPandas(near, "bucket long, doc_id long, component long")
     return found.distinct()
 
 
@@ -190,12 +219,10 @@ def _links_between(close: DataFrame, texts: DataFrame, num: int, den: int) -> Da
     sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, elements binary").dropDuplicates(["doc_id"])
     sets = stored(sets, "minhash-close-sets")
     sizes = sets.select("doc_id", F.floor(F.octet_length("elements") / 8).alias("n"))
-    rows = _tiles(close.select("bucket", "doc_id", "component").join(sizes, "doc_id")).drop("n")
+    rows = _tiles(close.select("bucket", "doc_id", "component").join(sizes, "doc_id"), close.count()).drop("n")
 
-    def compare(part: pd.DataFrame) -> pd.DataFrame:
-        begin("minhash")
-        part = part.sort_values("doc_id").reset_index(drop=True)
-        sets = [np.frombuffer(e, np.uint64) for e in part["elements"]]
+    def linked_pairs(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
+        sets = [np.frombuffer(e, np.uint64) for e in rows["elements"]]
         n = np.array([len(s) for s in sets])
         values, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         # Shingles of one member alone are in no intersection.
@@ -203,15 +230,20 @@ def _links_between(close: DataFrame, texts: DataFrame, num: int, den: int) -> Da
         owner, shared = np.repeat(np.arange(len(sets)), n), held[place] > 1
         owner, place = owner[shared], column[place[shared]]
         both = np.zeros((len(sets), len(sets)), np.int64)
+        width = min(4096, int(column[-1]) + 1)
         for at in range(0, int(column[-1]) + 1, 4096):
-            inside = (place >= at) & (place < at + 4096)
-            matrix = np.zeros((len(sets), 4096), np.float32)
+            inside = (place >= at) & (place < at + width)
+            matrix = np.zeros((len(sets), width), np.float32)
             matrix[owner[inside], place[inside] - at] = 1
             both += (matrix @ matrix.T).astype(np.int64)
-        component = part["component"].to_numpy()
+        component = rows["component"].to_numpy()
         linked = (both > 0) & (den * both >= num * (n[:, None] + n[None, :] - both))
         linked &= component[:, None] != component[None, :]
-        root = {c: c for c in component.tolist()}
+        yield from zip(*np.nonzero(np.triu(linked)))
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        begin("minhash")
+        root = {c: c for c in part["component"].tolist()}
 
         def find(c: int) -> int:
             while root[c] != c:
@@ -219,14 +251,16 @@ def _links_between(close: DataFrame, texts: DataFrame, num: int, den: int) -> Da
             return c
 
         out = []
-        for a, b in zip(*np.nonzero(np.triu(linked))):
-            p, q = find(int(component[a])), find(int(component[b]))
-            if p != q:
-                root[p] = q
-                out.append((part["doc_id"][b], part["doc_id"][a]))
+        for rows in _by_bucket(part):
+            doc_id, component = rows["doc_id"].tolist(), rows["component"].tolist()
+            for a, b in linked_pairs(rows):
+                p, q = find(component[a]), find(component[b])
+                if p != q:
+                    root[p] = q
+                    out.append((doc_id[b], doc_id[a]))
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return rows.join(sets, "doc_id").groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
+    return rows.join(sets, "doc_id").groupBy("pack", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +308,7 @@ def _near_duplicates(docs: DataFrame, doc_id: str, text: str, num: int, den: int
     of = meet.join(found.toDF("doc_id", "component"), "doc_id", "left").select("bucket", "doc_id", label)
     split = of.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
     open_rows = stored(of.join(split.select("bucket"), "bucket", "left_semi"), "minhash-open")
-    full = _tiles(open_rows.join(heads.select("doc_id", "n"), "doc_id")).join(heads.select("doc_id", "sig"), "doc_id")
+    full = _tiles(open_rows.join(heads.select("doc_id", "n"), "doc_id"), open_rows.count()).join(heads.select("doc_id", "sig"), "doc_id")
     close = stored(_near_in_tiles(full, places, num, den), "minhash-close")
     if not close.isEmpty():
         links = stored(links.union(_links_between(close, texts, num, den)), "minhash-all-links")

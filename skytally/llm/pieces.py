@@ -34,6 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +46,8 @@ _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _U = np.uint64
 #: Edges of lattices that a worker keeps (about 40 bytes each, with nodes and units) before it starts anew.
 MAX_EDGES = 4_000_000
-#: Characters of text worked on at once; a longer text is taken alone.
-SLICE_CHARS = 1_000_000
+#: Bytes of text worked on at once; a longer text is taken alone.
+SLICE_BYTES = 500_000
 
 
 class _Trie:
@@ -467,14 +468,12 @@ def sample_segmentations(
         keeps("pieces", lattices.clear)
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1).to_numpy().astype(np.int64).view(np.uint64)
-            texts = [t or "" for t in batch.column(2).to_pylist()]
+            taken = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy()
+            upto = np.concatenate([[0], np.cumsum(taken, dtype=np.int64)])
             start = 0
-            while start < len(texts):
-                end, chars = start, 0
-                while end < len(texts) and (end == start or chars + len(texts[end]) <= SLICE_CHARS):
-                    chars += len(texts[end])
-                    end += 1
-                part = texts[start:end]
+            while start < len(taken):
+                end = max(start + 1, int(np.searchsorted(upto, upto[start] + SLICE_BYTES, "right")) - 1)
+                part = [t or "" for t in batch.column(2).slice(start, end - start).to_pylist()]
                 found = list(sample_texts(lattices, keys[start:end], part, k))
                 owner = [start + d for d, f in enumerate(found) for _ in f]
                 flat = [x for f in found for x in f]
@@ -483,7 +482,7 @@ def sample_segmentations(
                     pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()),
                     pa.array(np.concatenate([x[0] for x in flat]), pa.int32()),
                 )
-                restored = [(lattices.decode(x[0].tolist()) if len(x[0]) else "") == texts[o] for x, o in zip(flat, owner)]
+                restored = [(lattices.decode(x[0].tolist()) if len(x[0]) else "") == part[o - start] for x, o in zip(flat, owner)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(owner)),
