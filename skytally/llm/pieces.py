@@ -45,7 +45,7 @@ MARK = "▁"
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n")
 _U = np.uint64
 #: Edges of lattices that a worker keeps (about 40 bytes each, with nodes and units) before it starts anew.
-MAX_EDGES = 4_000_000
+MAX_EDGES = 2_500_000
 #: Bytes of text worked on at once; a longer text is taken alone.
 SLICE_BYTES = 500_000
 
