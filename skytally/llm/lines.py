@@ -1,11 +1,13 @@
 """Lines that a site repeats on too many of its pages are boilerplate and go.
 
 A line's share is the number of the host's pages that contain it, divided by the host's number of
-pages.  Lines are compared as they stand; lines without a word are never boilerplate.
+pages.  Lines are compared as they stand; lines without a word are never boilerplate.  One rule holds for hosts of
+every size: the share is above the ratio, and at least ``min_pages`` pages hold the line, so that on a host of a
+few pages two pages alike are not enough.
 
 A null host is the host ''.  A null text stays null, and its page counts for the host; an empty text
 stays empty.  A line that a page repeats counts once for the page, and all its copies go.  Repeated
-rows are pages of their own.  Other columns pass through whatever their names; an empty table gives
+rows are pages of their own.  Texts and lines of any length are whole.  Other columns pass through whatever their names; an empty table gives
 an empty result.
 """
 
@@ -35,10 +37,9 @@ def boilerplate(docs: DataFrame, host: Column, text: Column, ratio: float, min_p
         F.array_distinct(F.transform(F.filter(_lines(text), _has_word), lambda x: F.xxhash64(x))).alias("lines"),
     )
     # Explicit, so that a host with a third of all pages is counted in each task before the shuffle.
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= min_pages)
+    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     counts = pages.select("host", F.explode("lines").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
-    # Of a host with enough pages, a line above the ratio is on more than this many.
-    counts = counts.filter(F.col("n") > ratio * min_pages)
+    counts = counts.filter(F.col("n") >= min_pages)
     common = counts.join(totals, "host").filter(F.col("n") > ratio * F.col("pages"))
     return common.groupBy("host").agg(F.collect_set("line").alias("lines"))
 
@@ -48,13 +49,12 @@ def drop_boilerplate(
     host: str | Column = "source",
     text: str = "text",
     ratio: float = 0.05,
-    min_pages: int = 20,
+    min_pages: int = 3,
     dropped: str | None = None,
 ) -> DataFrame:
-    """``docs`` without the lines on more than ``ratio`` of their host's pages.
+    """``docs`` without the lines on more than ``ratio`` of their host's pages, and on ``min_pages`` of them at least.
 
-    Hosts of fewer than ``min_pages`` pages keep all lines.  ``dropped`` names a column for the
-    number of lines that went; one of that name is replaced.
+    ``dropped`` names a column for the number of lines that went; one of that name is replaced.
     """
     host = F.col(host) if isinstance(host, str) else host
     found = stored(boilerplate(docs, host, F.col(text), ratio, min_pages), "boilerplate")

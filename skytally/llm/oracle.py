@@ -6,14 +6,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 LINES = """
 pages AS (SELECT row_number() OVER () AS page, doc_id, coalesce(source, '') AS host, text FROM documents),
-hosts AS (SELECT host, count(*) AS pages FROM pages GROUP BY host HAVING count(*) >= 20),
+hosts AS (SELECT host, count(*) AS pages FROM pages GROUP BY host),
 page_lines AS (
   SELECT page, host, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS line
   FROM pages WHERE text IS NOT NULL),
 shared AS (
   SELECT host, line FROM page_lines JOIN hosts USING (host)
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
-  GROUP BY host, line, pages HAVING count(DISTINCT page) > 0.05 * pages),
+  GROUP BY host, line, pages HAVING count(DISTINCT page) > 0.05 * pages AND count(DISTINCT page) >= 3),
 left_lines AS (
   SELECT page, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n
   FROM page_lines ANTI JOIN shared USING (host, line) GROUP BY page)

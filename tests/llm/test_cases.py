@@ -90,6 +90,21 @@ def test_rules(spark, docs):
     assert rules.keep_good(docs.limit(0)).count() == rules.measured(docs.limit(0), rules.RULES).count() == 0
 
 
+def test_lines_of_small_and_large_hosts(spark):
+    """One rule: a header on all of 3 or 19 pages goes, one on two of 20 or 1,000 pages stays."""
+    rows = []
+    for host, pages in (("h3", 3), ("h19", 19), ("h20", 20), ("h1000", 1000)):
+        for k in range(pages):
+            head = f"header of {host}\n" if host != "h1000" or k < 51 else ""
+            rows.append((host, head + ("two of them\n" if k < 2 else "") + ("half\n" if k < 50 else "") + f"own {k}"))
+    frame = spark.createDataFrame(rows, "source string, text string")
+    left = Counter((r["source"], line) for r in lines.drop_boilerplate(frame).collect() for line in r["text"].split("\n"))
+    assert not any(line.startswith("header") for _, line in left)
+    assert {k: n for k, n in left.items() if k[1] == "two of them"} == {(h, "two of them"): 2 for h in ("h3", "h19", "h20", "h1000")}
+    assert {k: n for k, n in left.items() if k[1] == "half"} == {("h1000", "half"): 50}
+    assert sum(n for (_, line), n in left.items() if line.startswith("own")) == 1042
+
+
 def test_rules_give_the_same_verdict_in_any_order(docs):
     assert ids(rules.cascade(docs, rules.RULES), "kept") == ids(rules.cascade(docs, rules.RULES[::-1]), "kept")
 
