@@ -224,9 +224,43 @@ class KeyedTable(_Stored):
         """Number of batches that are not in the base yet."""
         return len(self._state().of("delta"))
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
-        """The current rows of the given keys (a frame with the key column); only segments that may hold one are opened."""
-        state = self._state()
+    def version(self) -> int:
+        """The number of the newest list."""
+        return self._state().version
+
+    def read_version(self, version: int) -> DataFrame:
+        """The rows that were current by an older list, while it is kept."""
+        state = self._load(version) if version else _List(0, ())
+        return self._overlay(self._base(state.of("base")), self._deltas(state))
+
+    def changed_keys(self, since: int) -> DataFrame | None:
+        """The distinct keys whose rows may have changed since a list; None if it is not kept any more.
+
+        They are those of the batches that came since then, and of those that were replaced.
+        """
+        if since not in (versions := sorted(self._versions())):
+            return None
+        lists = [self._load(v) for v in versions if v >= since]
+        known = {e.name: e for e in lists[0].of("delta")}
+        folders: dict[str, Entry] = {}
+        for before, after in zip(lists, lists[1:]):
+            now = {e.name: e for e in after.of("delta")}
+            folders |= {n: e for n, e in now.items() if n not in known}
+            for e in before.of("delta"):
+                ranges = [_range(f) for f in after.of("folded") if f.writer == e.writer]
+                if e.name not in now and not any(a <= e.number <= b for a, b in ranges):
+                    folders[e.name] = e
+        rows = self._deltas(_List(0, tuple(folders.values())))
+        if rows is None:
+            return self.spark.sql(f"SELECT `{self.spec.key}` FROM {_no_rows(storage_schema(self.spec.schema))}")
+        return rows.select(self.spec.key).distinct()
+
+    def lookup(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """The current rows of the given keys (a frame with the key column); only segments that may hold one are opened.
+
+        ``version`` asks an older list, while it is kept.
+        """
+        state = self._state() if version is None else self._load(version)
         key = self.spec.key
         wanted = keys.select(key).filter(F.col(key).isNotNull()).distinct()
         base, deltas = self._base(self._may_hold(state, wanted)), self._deltas(state)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytally import schemas
+from skytally.operators.counts import MaintainedCounts
 from skytally.operators.filters import recent
 from skytally.operators.tables import KeyedTable, SnapshotTable
 from skytally.plans import jobs
@@ -36,6 +37,8 @@ class Warehouse:
         self.airport = KeyedTable(spark, root, schemas.AIRPORT)
         self.snapshots = {s.name: SnapshotTable(spark, root, s) for s in schemas.SNAPSHOTS}
         self.seen = KeyedTable(spark, root, schemas.TRANSITION_SEEN)
+        # What J3 and J7 need of the flights, kept up to date by the batches that came since the last run.
+        self.per_model = MaintainedCounts(self.flight, ["airline_icao", "aircraft_model"], "flights")
 
     def create_catalog(self) -> None:
         """Create the three databases, and in them a view of every table for SQL users.
@@ -102,8 +105,8 @@ def run_all(
         rows.write.parquet(path)
         return spark.read.schema(rows.schema).parquet(path)
 
-    # The deltas are laid over the base once for all jobs with a window, and once for those without.
-    # The former need only the days it touches (a second more, as its start is rounded).
+    # The deltas are laid over the base once for all jobs with a window, which need only the days it touches (a
+    # second more, as its start is rounded).  Those without a window need counts that are maintained.
     start = as_of - max(active_seconds, transition_seconds) - 1
     lately = warehouse.flight.read(since=start // warehouse.segment_seconds).filter(F.col("time") >= start)
     lately = kept(
@@ -112,7 +115,7 @@ def run_all(
         ),
         "lately",
     )
-    per_model = kept(jobs.flights_per_model(warehouse.flight.read()), "models")
+    per_model = warehouse.per_model.refresh()
     done = {}
 
     def store(name: str, result: DataFrame) -> DataFrame:

@@ -372,6 +372,16 @@ ORACLE |= {
       qualify row_number() over (partition by user_id
         order by case event_type when 'click' then 2 when 'error' then 0 else 1 end desc, ts desc) = 1""",
     "upsert_pruned_compaction": ORACLE["upsert_latest"],
+    "maintained_counts": f"select event_type, count(*) users from ({ORACLE['upsert_latest']}) group by 1",
+    "active_per_window": f"""with {_FLIGHT}, {_AIRLINE},
+      seen as (select *, (("time" - 1) // {ACTIVE} + 1) * {ACTIVE} as_of from flight),
+      last as (select * from seen qualify row_number() over (
+        partition by as_of, origin_airport_iata order by "time" desc, o_orderkey desc) = 1),
+      counted as (select as_of, airline_iata, count(*) n from last where on_ground = 0 and airline_iata != '' group by all)
+      select cast(as_of as bigint) as_of, airline_iata airline_code, a.name airline_name, cast(n as int) flight_count
+      from counted left join (select distinct code, name from airline) a on a.code = airline_iata""",
+    "flights_with_details": f"""with {_FLIGHT}
+      select id, "time", case when o_orderkey % 4 > 0 and o_orderkey % 7 <= 4 then aircraft_model end aircraft_model from flight""",
     "lookup_current_rows": f"""select * from ({ORACLE["upsert_latest"]})
       where user_id in (select user_id from events where event_type = 'error')""",
     "ingest_topic": ORACLE["ingest_flights"],

@@ -20,6 +20,7 @@ from skytally.functions.text import field_after, first_word, non_empty_cells, st
 from skytally.functions.country import COUNTRIES, OVERRIDES, override_continents, standard_continents
 from skytally.operators import filters, keyed, lookup, records
 from skytally.operators.conform import conform, split_nulls
+from skytally.operators.counts import MaintainedCounts
 from skytally.operators.tables import KeyedTable, SnapshotTable
 from skytally.plans import jobs, refdata
 from skytally.plans.pipeline import Warehouse, run_all
@@ -41,6 +42,8 @@ from skytally.sources.pages import DETAILS_CLASS
 from skytally.sources.topics import land_topic, topic_messages
 from skytally.streaming.ingest import ingest, publish
 from skytally.streaming.messages import decode, to_messages
+from skytally.streaming.windows import active_per_window as active_per_window_stream
+from skytally.streaming.windows import with_details
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -596,6 +599,64 @@ def lookup_current_rows(spark, sf_dir):
     return table.lookup(views.table(spark, sf_dir, "events").filter("event_type = 'error'"))
 
 
+@query
+def maintained_counts(spark, sf_dir):
+    """Users by the type of their last event, brought up to date after each batch by the rows that changed."""
+    spec = replace(EVENT_STATE, segment="event_id div 1000", segment_column="event_id")
+    table = KeyedTable(spark, shared_dir(spark, "upsert"), spec)
+    counts = MaintainedCounts(table, ["event_type"], "users")
+    for number, events in enumerate(_event_batches(spark, sf_dir)):
+        table.upsert(events, number, arrival="ts")
+        counts.refresh()
+        if number < 2:
+            table.compact()
+    return counts.refresh()
+
+
+@query
+def active_per_window(spark, sf_dir):
+    """Landed observations as a stream: flights in the air per airline at the end of each 90 days.  An order is an
+    observation of its customer; a last one, years later, closes all windows."""
+    root = shared_dir(spark, "windows")
+    flights = views.flights(spark, sf_dir, model=False).select(F.col("origin_airport_iata").alias("id"), "airline_iata", "on_ground", "time", F.expr("bigint(id)").alias("seq"))
+    flights.write.json(f"{root}/landed")
+    _landed_end(flights, f"{root}/landed")
+    seen = landed_observations(spark, f"{root}/landed", flights.schema)
+    counts = active_per_window_stream(seen, views.airlines(spark, sf_dir), ACTIVE, "0 seconds", ("seq",))
+    return _drained(counts, root)
+
+
+def _landed_end(flights: DataFrame, path: str) -> None:
+    """One more record, ten years after the last, that lets a stream's watermark pass all others."""
+    spark, kinds = flights.sparkSession, flights.schema
+    last = [AS_OF + 10 * 365 * 86400 if f.name == "time" else "end" if f.name == "id" else None for f in kinds]
+    spark.createDataFrame([tuple(last)], kinds).write.mode("append").json(path)
+
+
+def _drained(stream: DataFrame, root: str) -> DataFrame:
+    """All that a stream gives for what has landed."""
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+@query
+def flights_with_details(spark, sf_dir):
+    """Two landed streams: orders, and details of three in four of them, some within a day and some too late."""
+    root = shared_dir(spark, "details")
+    flights = views.flights(spark, sf_dir).select("id", "time", "aircraft_model", F.expr("bigint(id)").alias("n"))
+    listed = flights.select("id", "time")
+    late = F.expr("int(n % 7) * 21600")
+    details = flights.filter("n % 4 > 0").select("id", (F.col("time") + late).cast("int").alias("time"), "aircraft_model")
+    for rows, name in ((listed, "listed"), (details, "details")):
+        rows.write.json(f"{root}/{name}")
+        _landed_end(rows, f"{root}/{name}")
+    met = with_details(
+        landed_observations(spark, f"{root}/listed", listed.schema), landed_observations(spark, f"{root}/details", details.schema),
+        wait=86400, delay="0 seconds",
+    )
+    return _drained(met, root).filter("id <> 'end'")
+
+
 @query
 def upsert_new_checkpoint(spark, sf_dir):
     """``ingest_flights`` from a new checkpoint after a compaction: its batches, again from 0, count."""

@@ -447,3 +447,37 @@ def test_views_that_lag_follow_at_the_next_read(spark, tmp_path, monkeypatch):
         assert rows(spark.table("lagging.flight").select("id")) == [("a",), ("b",)]
     finally:
         spark.sql("DROP DATABASE lagging CASCADE")
+
+
+def test_maintained_counts_equal_a_full_pass(spark, tmp_path, monkeypatch):
+    from skytally.operators.counts import MaintainedCounts
+
+    table = KeyedTable(spark, str(tmp_path), schemas.FLIGHT)
+    counts = MaintainedCounts(table, ["airline_icao", "aircraft_model"], "flights")
+    draw, day = random.Random(4), 86400
+    assert counts.refresh().count() == 0
+
+    def batch(keys):
+        made = [flight(f"k{k}", "AA", draw.choice(["A", "B", None]), "P1", "P2", 0, draw.randrange(9) * day + k, draw.choice(["x", "y", None])) for k in keys]
+        return frame(spark, schemas.FLIGHT.schema, *made)
+
+    full = lambda: rows(jobs.flights_per_model(table.read()))
+    table.upsert(batch(range(200)), 0)
+    assert rows(counts.refresh()) == full()
+    table.compact()
+    for n in range(1, 5):
+        table.upsert(batch(draw.sample(range(260), 15)), n)
+        if n == 2:
+            # Again, with other rows: those of the first try leave.
+            table.upsert(batch(draw.sample(range(260), 15)), n)
+        if n == 3:
+            table.compact()
+        with monkeypatch.context() as here:
+            here.setattr(KeyedTable, "read_version", lambda *a: pytest.fail("counted all"))
+            now = rows(counts.refresh())
+        assert now == full()
+    # Where the old list is gone, all is counted.
+    table.upsert(batch(range(5)), 9)
+    table.compact()
+    table.retire(keep=1)
+    assert rows(counts.refresh()) == full()
