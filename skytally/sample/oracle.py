@@ -372,6 +372,8 @@ ORACLE |= {
       qualify row_number() over (partition by user_id
         order by case event_type when 'click' then 2 when 'error' then 0 else 1 end desc, ts desc) = 1""",
     "upsert_pruned_compaction": ORACLE["upsert_latest"],
+    "distinct_count_sketched": f"""with {_FLIGHT}
+      select airline_icao, count(distinct origin_airport_iata) origins, true as within from flight group by 1""",
     "maintained_counts": f"select event_type, count(*) users from ({ORACLE['upsert_latest']}) group by 1",
     "active_per_window": f"""with {_FLIGHT}, {_AIRLINE},
       seen as (select *, (("time" - 1) // {ACTIVE} + 1) * {ACTIVE} as_of from flight),
@@ -407,6 +409,8 @@ ORACLE |= {
       from airport left join standard on airport.country = standard.country""",
     "reference_objects": """select cast(s_suppkey as varchar) icao, s_name as name, n_name country
       from supplier join nation on s_nationkey = n_nationkey""",
+    "reference_large_object": """select cast(s_suppkey as varchar) icao, s_name || ', "{[\\' as name, n_name country
+      from supplier join nation on s_nationkey = n_nationkey""",
     "upsert_airports": ORACLE["load_airports"],
     "catalog_views": f"""with {_FLIGHT}, {_AIRLINE}, {_AIRPORT}
       select a.name airline, count(*) flights, count(distinct p.icao) airports from flight f

@@ -18,7 +18,7 @@ from skytally.functions.clock import half_even_int, window_start
 from skytally.functions.geo import geodesic_km
 from skytally.functions.text import field_after, first_word, non_empty_cells, strip
 from skytally.functions.country import COUNTRIES, OVERRIDES, override_continents, standard_continents
-from skytally.operators import filters, keyed, lookup, records
+from skytally.operators import filters, keyed, lookup, records, sketches
 from skytally.operators.conform import conform, split_nulls
 from skytally.operators.counts import MaintainedCounts
 from skytally.operators.tables import KeyedTable, SnapshotTable
@@ -38,6 +38,7 @@ from skytally.sources.feeds import (
     topic_arrival,
     write_reference,
 )
+from skytally.sources.objects import read_large_object
 from skytally.sources.pages import DETAILS_CLASS
 from skytally.sources.topics import land_topic, topic_messages
 from skytally.streaming.ingest import ingest, publish
@@ -801,6 +802,22 @@ def reference_objects(spark, sf_dir):
     return lines.select(F.col("key").alias("icao"), F.col("value")["name"].alias("name"), F.col("value")["country"].alias("country"))
 
 
+@query
+def reference_large_object(spark, sf_dir):
+    """The suppliers as members of one JSON object in one file, read by many tasks; names hold commas, braces and quotes."""
+    root = shared_dir(spark, "object")
+    suppliers = views.table(spark, sf_dir, "supplier").join(views.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    name = F.concat("s_name", F.lit(', "{[\\'))
+    entry = F.create_map(F.lit("name"), name, F.lit("country"), F.col("n_name"))
+    member = F.to_json(F.create_map(F.col("s_suppkey").cast("string"), entry))
+    # Joined by commas, without the braces around each: written as one file, as such files come.
+    members = suppliers.select(F.substring(member, F.lit(2), F.length(member) - 2).alias("value"))
+    whole = members.agg(F.array_join(F.collect_list("value"), ", ").alias("value"))
+    whole.select(F.concat(F.lit("{"), "value", F.lit("}")).alias("value")).write.text(f"{root}/object")
+    found = read_large_object(spark, f"{root}/object", "map<string, string>")
+    return found.select(F.col("key").alias("icao"), F.col("value")["name"].alias("name"), F.col("value")["country"].alias("country"))
+
+
 @query
 def upsert_airports(spark, sf_dir):
     """The airport load, stored twice."""
@@ -914,6 +931,20 @@ def distinct_count(spark, sf_dir):
     )
 
 
+@query
+def distinct_count_sketched(spark, sf_dir):
+    """Origins per airline over eight stored batches of sketches, against the exact count; a group of a few values is exact."""
+    flights = views.flights(spark, sf_dir, model=False)
+    path = shared_dir(spark, "sketches")
+    batch = F.expr("int(bigint(id) % 8)").alias("batch")
+    sketches.sketched(flights.select("airline_icao", "origin_airport_iata", batch), ["batch", "airline_icao"], "origin_airport_iata").write.parquet(path)
+    about = sketches.united(spark.read.parquet(path), ["airline_icao"], "about")
+    exact = flights.groupBy("airline_icao").agg(F.count_distinct("origin_airport_iata").alias("origins"))
+    near = F.abs(F.col("about") - F.col("origins")) <= 4 * sketches.relative_error() * F.col("origins") + 1
+    met = about.join(exact.withColumnRenamed("airline_icao", "_code"), F.col("airline_icao").eqNullSafe(F.col("_code")))
+    return met.select("airline_icao", "origins", near.alias("within"))
+
+
 @query
 def mean_half_even(spark, sf_dir):
     return views.flights(spark, sf_dir, model=False).groupBy("airline_iata").agg(

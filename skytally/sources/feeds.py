@@ -27,8 +27,8 @@ def read_reference(spark: SparkSession, path: str, value: StructType | ArrayType
 def read_reference_object(spark: SparkSession, path: str, value: StructType | ArrayType | str) -> DataFrame:
     """The same table out of files that each hold one JSON object, a member per key.
 
-    One such file is one record and cannot be split; write it back with ``write_reference`` and
-    read the lines from then on.  Members are parsed one by one, so one of another shape (a text
+    Each file is one record here, read by one task (``sources.objects.read_large_object`` splits it); write it back with
+    ``write_reference`` and read the lines from then on.  Members are parsed one by one, so one of another shape (a text
     in place of rows) gives a NULL value instead of losing the file.
     """
     members = spark.read.text(path, wholetext=True).select(

@@ -57,14 +57,16 @@ def ingest(
     trigger: dict | None = None,
     partitions: int | None = None,
     compact_every: int | None = 100,
+    keep: int = 10,
     after_batch: Callable[[KeyedTable, int], None] | None = None,
 ) -> StreamingQuery:
     """Run the stream of (value, arrival) into the table.
 
     The checkpoint holds the position, so a restart goes on where the last finished batch ended.
     ``partitions`` spreads a batch's messages over so many tasks where the source has few splits.
-    ``compact_every`` folds the deltas after so many batches and removes folders that recent lists don't
-    name; ``after_batch`` may run queries over the new state.
+    ``compact_every`` folds the deltas after so many batches and removes folders that none of the last ``keep`` lists
+    names: as many lists as the longest reader may take (a batch makes one, a compaction another).
+    ``after_batch`` may run queries over the new state.
 
     Batches are known by the stream's id, which lies in the checkpoint: a new checkpoint is a new
     writer, whose batches count whatever their numbers.  A topic's first batch takes all there is; bound
@@ -80,7 +82,7 @@ def ingest(
         ingest_batch(spread, table, batch_id, quarantine, on_bad, writer)
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
-            table.retire()
+            table.retire(keep)
         if after_batch:
             after_batch(table, batch_id)
 

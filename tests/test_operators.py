@@ -149,3 +149,19 @@ def test_record_shape(spark):
     assert records.public_columns(records.lower_names(df)).columns == ["icao", "name"]
     with pytest.raises(KeyError, match="code"):
         records.project(df, ["ICAO", "code"])
+
+
+def test_sketches_of_batches_unite_within_the_stated_error(spark):
+    from skytally.operators import sketches
+
+    rows = spark.range(60000).selectExpr("id % 3 AS g", "id % 5 AS batch", "string(id div 2) AS v").union(
+        spark.range(4).selectExpr("9L", "id", "if(id = 0, NULL, 'same')")
+    )
+    stored = sketches.sketched(rows, ["batch", "g"], "v").cache()
+    for batches in ((0,), (0, 1, 2, 3, 4)):
+        found = {r["g"]: r["n"] for r in sketches.united(stored.filter(F.col("batch").isin(*batches)), ["g"]).collect()}
+        exact = {r["g"]: r["n"] for r in rows.filter(F.col("batch").isin(*batches)).groupBy("g").agg(F.count_distinct("v").alias("n")).collect()}
+        assert found.keys() == exact.keys()
+        assert all(abs(found[g] - n) <= 4 * sketches.relative_error() * n for g, n in exact.items())
+    assert found[9] == 1
+    assert max(len(r["sketch"]) for r in stored.collect()) < 20000

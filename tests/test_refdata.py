@@ -135,3 +135,31 @@ def rows_by_icao(df):
 
 def test_topic_table():
     assert feeds.topic_table("raw_flight_data") == "flight"
+
+
+def test_large_object_is_read_by_many_tasks(spark, tmp_path):
+    import random
+
+    from skytally.sources import objects
+    from skytally.sources.feeds import read_reference_object
+
+    draw, parts = random.Random(3), ['"', ",", "{", "}", "[", "]", "\\", "a", "é", ":", " ", "\n"]
+    word = lambda: "".join(draw.choices(parts, k=draw.randrange(12)))
+    data = {f"{k}{word()}": {"name": word(), "x": word()} for k in range(3000)}
+    data |= {"list": ["a,b", {"c": [1, 2]}], "empty": {}, "no": None, "long": {"name": ",".join(map(str, range(9000)))}}
+    for folder, files in (("one", [data]), ("more", [{}, {"a": {"name": "b"}}, data])):
+        (tmp_path / folder).mkdir()
+        for n, content in enumerate(files):
+            text = json.dumps(content, ensure_ascii=False, indent=n or None)
+            (tmp_path / folder / f"{n}.json").write_text(f" {text} \n" if n else text)
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+        try:
+            path = str(tmp_path / folder)
+            assert spark.read.option("lineSep", ",").text(path).rdd.getNumPartitions() > 10
+            found = objects.read_large_object(spark, path, "map<string, string>").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        want = read_reference_object(spark, path, "map<string, string>").collect()
+        key = lambda r: (r["key"], str(r["value"]))
+        assert sorted(map(key, found)) == sorted(map(key, want)) and len(want) >= 3003

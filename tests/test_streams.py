@@ -130,3 +130,47 @@ def test_publish_and_read_back(spark, tmp_path):
 def test_messages_decode_to_the_same_rows(spark, flights):
     back = decode(to_messages(flights), schemas.FLIGHT.schema).drop("value", "_reason")
     assert rows(back) == rows(flights)
+
+
+def drained(stream, root):
+    stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(
+        f"{root}/out"
+    ).awaitTermination()
+    return rows(stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out"))
+
+
+def test_active_flights_per_window_over_a_restart(spark, tmp_path, airlines):
+    from skytally.streaming.windows import active_per_window
+
+    kinds = "id string, airline_iata string, on_ground int, time int"
+    stream = lambda: active_per_window(landed_observations(spark, str(tmp_path / "in"), kinds), airlines, 600, "0 seconds")
+    seen = lambda key, code, ground, time: {"id": key, "airline_iata": code, "on_ground": ground, "time": time}
+    # At 600: a is in the air, b has landed, c has no code, d was seen at 600 itself, e belongs to the next window.
+    first = [seen("a", "AA", 0, 5), seen("b", "BB", 0, 7), seen("b", "BB", 1, 9), seen("c", "", 0, 9), seen("d", "ZZ", 0, 600), seen("e", "AA", 0, 601)]
+    land(tmp_path / "in", "1", *first, at=1)
+    at_600 = [(600, "AA", "Alpha", 1), (600, "AA", "Alpha Cargo", 1), (600, "ZZ", None, 1)]
+    got = lambda found: {tuple(sorted(map(str, r))) for r in found}
+    assert got(drained(stream(), tmp_path / "run")) == got(at_600)
+    # The window of e is still open.
+    land(tmp_path / "in", "2", seen("a", "BB", 0, 601), seen("f", "AA", 0, 1300), at=2)
+    at_1200 = [(1200, "AA", "Alpha", 1), (1200, "AA", "Alpha Cargo", 1), (1200, "BB", "Beta", 1)]
+    assert got(drained(stream(), tmp_path / "run")) == got(at_600 + at_1200)
+    land(tmp_path / "in", "3", seen("g", "AA", 0, 30), seen("h", "AA", 0, 9000), at=3)
+    at_1800 = [(1800, "AA", "Alpha", 1), (1800, "AA", "Alpha Cargo", 1)]
+    assert got(drained(stream(), tmp_path / "run")) == got(at_600 + at_1200 + at_1800)
+
+
+def test_details_that_come_late_or_never(spark, tmp_path):
+    from skytally.streaming.windows import with_details
+
+    read = lambda name, kinds: landed_observations(spark, str(tmp_path / name), kinds)
+    stream = lambda: with_details(read("list", "id string, time int"), read("details", "id string, time int, model string"), 300, "0 seconds")
+    land(tmp_path / "list", "1", {"id": "a", "time": 100}, {"id": "b", "time": 110}, {"id": "c", "time": 120}, at=1)
+    land(tmp_path / "details", "1", {"id": "a", "time": 150, "model": "x"}, at=1)
+    assert drained(stream(), tmp_path / "run") == [("a", 100, "x")]
+    # b's details come after a restart and in time, c's too late.
+    land(tmp_path / "details", "2", {"id": "b", "time": 410, "model": "y"}, {"id": "c", "time": 421, "model": "z"}, at=2)
+    assert drained(stream(), tmp_path / "run") == [("a", 100, "x"), ("b", 110, "y")]
+    land(tmp_path / "list", "2", {"id": "end", "time": 9000}, at=3)
+    land(tmp_path / "details", "3", {"id": "end", "time": 9000, "model": "e"}, at=3)
+    assert ("c", 120, None) in drained(stream(), tmp_path / "run")
