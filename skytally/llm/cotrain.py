@@ -6,15 +6,16 @@ labelled rows.  In each round, either view labels the unlabelled rows that it is
 join the other view's training rows.  Then each view is calibrated on labelled rows kept out of
 training, and a logistic regression of both calibrated views, fitted there too, scores every document.
 
-Fitting looks at no more than about ``max_labelled`` labelled and ``max_pool`` unlabelled rows, chosen by
-a hash of the id, whose features (some hundred numbers each) are fitted on the driver; scoring is one
-pass over all rows.
+Features of all rows are worked out once and written.  Labelled rows beyond about ``max_labelled``, chosen by a hash of
+the id, are not fitted.  The unlabelled ones are all scored in every round: each task keeps the ``per_round`` surest
+of each label, and of these the ``per_round`` surest of all reach the driver, where the fit is.  Equally sure rows
+go by the hash of their content; copies of a row count once.  Scoring is a pass over the features of all rows.
 
 Null or empty texts are scored like any other, by their features; null metadata is a value of its own.
 Labels other than 0 and 1 don't count; of several labels of an id the mean decides, halves are dropped.
 Without labels of both kinds nothing can be learned: the score is then the labels' smoothed mean (0.5
 without any), and a document is kept from 0.5 on.  Repeated rows get equal scores, rows with a null id
-are scored but not learned from.  An empty table gives an empty result.
+are scored but not learned from.  A text of any length is read whole.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skytally.llm.common import stored
+from skytally.llm.common import begin, stored
 from skytally.llm.rules import Text
 from skytally.llm.shingles import mixed, slices, words
 
@@ -129,11 +130,79 @@ def _calibrated(models, calibrations, views) -> np.ndarray:
     return np.stack([c.logit(m.logit(x)[:, None]) for m, c, x in zip(models, calibrations, views)], axis=1)
 
 
+class Pool:
+    """Unlabelled rows in memory: the two views."""
+
+    def __init__(self, views: tuple[np.ndarray, np.ndarray]):
+        self.views = views
+        self.used = np.zeros((2, len(views[0])), bool)
+
+    def surest(self, models: tuple[Linear, Linear], limits: tuple[int, int], sure: float) -> dict[tuple[int, int], np.ndarray]:
+        """For (view, label) the other view of the rows that the view is surest of, and never gave before."""
+        found = {}
+        for v in (0, 1):
+            p = 1 / (1 + np.exp(-models[v].logit(self.views[v])))
+            for label, confidence in ((1, p), (0, 1 - p)):
+                open_rows = np.flatnonzero((confidence >= sure) & ~self.used[1 - v])
+                taken = open_rows[np.argsort(-confidence[open_rows], kind="stable")[: limits[label]]]
+                self.used[1 - v, taken] = True
+                found[v, label] = self.views[1 - v][taken]
+        return found
+
+
+class StoredPool:
+    """All unlabelled rows of a table of features (key, text_view, meta_view), scored where they are."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows.select("key", "text_view", "meta_view")
+        self.used: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def surest(self, models: tuple[Linear, Linear], limits: tuple[int, int], sure: float) -> dict[tuple[int, int], np.ndarray]:
+        used = self.used
+
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept: dict[tuple[int, int], list] = {}
+            for batch in batches:
+                keys, views = batch.column(0).to_numpy(), [_matrix(batch.column(v + 1), v) for v in (0, 1)]
+                for v in (0, 1):
+                    p = 1 / (1 + np.exp(-models[v].logit(views[v].astype(np.float64))))
+                    given = np.isin(keys, used[1 - v])
+                    for label, confidence in ((1, p), (0, 1 - p)):
+                        taken = np.flatnonzero((confidence >= sure) & ~given)
+                        old = kept.get((v, label), [np.zeros(0), np.zeros(0, np.int64), np.zeros((0, views[1 - v].shape[1]), np.float32)])
+                        sums = [np.concatenate(c) for c in zip(old, (confidence[taken], keys[taken], views[1 - v][taken]))]
+                        # Copies once; then the surest, equal ones by key.
+                        once = np.unique(sums[1], return_index=True)[1]
+                        order = once[np.lexsort((sums[1][once], -sums[0][once]))][: limits[label]]
+                        kept[v, label] = [c[order] for c in sums]
+            for (v, label), (confidence, keys, other) in kept.items():
+                n = len(keys)
+                parts = [np.full(n, v, np.int32), np.full(n, label, np.int32), confidence, keys]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, parts), pa.array([x.tobytes() for x in other], pa.binary())],
+                    ["view", "label", "confidence", "key", "other"],
+                )
+
+        found = self.rows.mapInArrow(best, "view int, label int, confidence double, key long, other binary")
+        found = found.dropDuplicates(["view", "label", "key"])
+        place = F.row_number().over(Window.partitionBy("view", "label").orderBy(F.desc("confidence"), "key"))
+        limit = F.when(F.col("label") == 1, limits[1]).otherwise(limits[0])
+        top = found.withColumn("place", place).filter(F.col("place") <= limit).toPandas()
+        out, now = {}, [list(u) for u in used]
+        for v in (0, 1):
+            for label in (0, 1):
+                own = top[(top["view"] == v) & (top["label"] == label)].sort_values("place")
+                out[v, label] = _matrix(pa.array(own["other"], pa.binary()), 1 - v).astype(np.float64)
+                now[1 - v] += own["key"].tolist()
+        self.used = tuple(np.array(u, np.int64) for u in now)
+        return out
+
+
 def co_train(
     labelled: tuple[np.ndarray, np.ndarray],
     y: np.ndarray,
     held: np.ndarray,
-    pool: tuple[np.ndarray, np.ndarray],
+    pool: tuple[np.ndarray, np.ndarray] | Pool | StoredPool,
     rounds: int = 3,
     sure: float = 0.95,
     per_round: int = 500,
@@ -142,23 +211,19 @@ def co_train(
     rate = (float(y.sum()) + 1) / (len(y) + 2)
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         return Model(None, None, None, rate)
+    pool = Pool(pool) if isinstance(pool, tuple) else pool
     own = [[labelled[v][~held]] for v in (0, 1)]
     targets = [[y[~held]] for _ in (0, 1)]
-    used = np.zeros((2, len(pool[0])), bool)
+    # As many of each label as its share among the labelled rows, the surest first.
+    limits = (max(1, round(per_round * (1 - rate))), max(1, round(per_round * rate)))
     for n in range(rounds + 1):
         models = tuple(fit(np.concatenate(own[v]), np.concatenate(targets[v])) for v in (0, 1))
-        if n == rounds or not len(pool[0]):
-            break
-        for v in (0, 1):
-            p = 1 / (1 + np.exp(-models[v].logit(pool[v])))
-            for label, confidence in ((1.0, p), (0.0, 1 - p)):
-                # As many of each label as its share among the labelled rows, the surest first.
-                limit = max(1, round(per_round * (rate if label else 1 - rate)))
-                open_rows = np.flatnonzero((confidence >= sure) & ~used[1 - v])
-                taken = open_rows[np.argsort(-confidence[open_rows], kind="stable")[:limit]]
-                used[1 - v, taken] = True
-                own[1 - v].append(pool[1 - v][taken])
-                targets[1 - v].append(np.full(len(taken), label))
+        if n < rounds:
+            found = pool.surest(models, limits, sure)
+            for v in (0, 1):
+                for label in (1, 0):
+                    own[1 - v].append(found[v, label])
+                    targets[1 - v].append(np.full(len(found[v, label]), float(label)))
     views = tuple(x[held] for x in labelled)
     calibrations = tuple(fit(m.logit(x)[:, None], y[held]) for m, x in zip(models, views))
     combined = fit(_calibrated(models, calibrations, views), y[held])
@@ -166,78 +231,74 @@ def co_train(
 
 
 _PARTS = 1_000_000
+_WIDTH = (_MEASURES + WORDS, SOURCES + LANGS + 2)
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, label: str, max_labelled: int, max_pool: int) -> DataFrame:
-    """Feature rows of labelled and unlabelled samples: (held, y or null, text_view, meta_view)."""
+def _matrix(rows: pa.Array, view: int) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.to_pylist()), np.float32).reshape(-1, _WIDTH[view])
+
+
+def featured(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, key, y, text_view, meta_view) of every row; ``y`` is null without a label, or without an id."""
     votes = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.avg(F.col(label).cast("double")).alias("y"))
         .filter("y <> 0.5")
+        .withColumn("y", (F.col("y") > 0.5).cast("double"))
     )
-    n_docs, n_labels = docs.count(), votes.count()
-    shares = [int(min(1.0, most / max(n, 1)) * _PARTS) for most, n in ((max_labelled, n_labels), (max_pool, n_docs))]
+    key = F.xxhash64("doc_id", "text", "source", "lang", "n_chars").alias("key")
+    rows = docs.select("doc_id", key, "text", "source", "lang", "n_chars")
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("cotrain")
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                source, lang, size = (part.column(k).to_pandas() for k in (3, 4, 5))
+                views = text_features(part.column(2).to_pylist()), metadata_features(source, lang, size)
+                columns = [pa.array([x.tobytes() for x in v.astype(np.float32)], pa.binary()) for v in views]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["doc_id", "key", "text_view", "meta_view"])
+
+    found = rows.mapInArrow(features, f"doc_id {dict(docs.dtypes)['doc_id']}, key long, text_view binary, meta_view binary")
+    return found.join(votes, "doc_id", "left")
+
+
+def learn(features: DataFrame, max_labelled: int = 8000, rounds: int = 3, sure: float = 0.95, per_round: int = 500) -> Model:
+    """The model from rows of features, as ``featured`` gives them."""
+    known = features.filter("y IS NOT NULL")
+    share = int(min(1.0, max_labelled / max(known.select("doc_id").distinct().count(), 1)) * _PARTS)
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(_PARTS))
-    some = docs.filter(F.col("doc_id").isNotNull()).withColumn("place", place).filter(F.col("place") < max(shares))
-    some = some.join(votes, "doc_id", "left")
-    some = some.filter((F.col("y").isNotNull() & (F.col("place") < shares[0])) | (F.col("y").isNull() & (F.col("place") < shares[1])))
     held = F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(10)) < 3
-    some = some.select(held.alias("held"), (F.col("y") > 0.5).cast("double").alias("y"), "text", "source", "lang", "n_chars")
-
-    def features(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            views = text_features(part["text"].tolist()), metadata_features(part["source"], part["lang"], part["n_chars"])
-            yield pd.DataFrame(
-                {
-                    "held": part["held"],
-                    "y": part["y"],
-                    "text_view": [x.astype(np.float32).tobytes() for x in views[0]],
-                    "meta_view": [x.astype(np.float32).tobytes() for x in views[1]],
-                }
-            )
-
-    return some.mapInPandas(features, "held boolean, y double, text_view binary, meta_view binary")
-
-
-def learn(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", max_labelled: int = 8000, max_pool: int = 8000
-) -> Model:
-    rows = stored(_sampled(docs, labels, label, max_labelled, max_pool), "cotrain-sample").toPandas()
+    rows = known.filter(place < share).select(held.alias("held"), "y", "text_view", "meta_view").toPandas()
     # In one order, whatever the partitioning, so that rounding doesn't differ between runs.
-    rows = rows.sort_values(["text_view", "meta_view"], kind="stable").reset_index(drop=True)
-    width = (_MEASURES + WORDS, SOURCES + LANGS + 2)
-    views = [
-        np.frombuffer(b"".join(rows[c]), np.float32).reshape(-1, w).astype(np.float64)
-        for c, w in zip(("text_view", "meta_view"), width)
-    ]
-    known = rows["y"].notna().to_numpy()
-    held = rows["held"].to_numpy(bool)
-    return co_train(
-        (views[0][known], views[1][known]),
-        rows["y"].to_numpy(np.float64)[known],
-        held[known],
-        (views[0][~known], views[1][~known]),
-    )
+    rows = rows.sort_values(["text_view", "meta_view", "y"], kind="stable").reset_index(drop=True)
+    views = tuple(_matrix(pa.array(rows[c], pa.binary()), v).astype(np.float64) for v, c in enumerate(("text_view", "meta_view")))
+    pool = StoredPool(features.filter("y IS NULL AND doc_id IS NOT NULL"))
+    return co_train(views, rows["y"].to_numpy(np.float64), rows["held"].to_numpy(bool), pool, rounds, sure, per_round)
 
 
-def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.5, **bounds: int) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.5, **learning) -> DataFrame:
     """(doc_id, score, text_score, meta_score, kept) of each row of ``docs``.
 
-    ``docs`` has doc_id, text, source, lang and n_chars; ``labels`` has doc_id and the label.
+    ``docs`` has doc_id, text, source, lang and n_chars; ``labels`` has doc_id and the label.  ``learning``: ``learn``'s
+    parameters.
     """
     docs = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("double").alias("n_chars"))
-    model = learn(docs, labels.select("doc_id", label), label, **bounds)
-
-    @F.pandas_udf("score double, text_score double, meta_score double")
-    def scores(text: pd.Series, source: pd.Series, lang: pd.Series, size: pd.Series) -> pd.DataFrame:
-        views = text_features(text.tolist()), metadata_features(source, lang, size)
-        out = {"score": model.score(views)}
-        for name, k in (("text_score", 0), ("meta_score", 1)):
-            out[name] = model.rate if model.views is None else 1 / (
-                1 + np.exp(-model.calibrations[k].logit(model.views[k].logit(views[k])[:, None]))
-            )
-        return pd.DataFrame(out)
-
-    scored = docs.select("doc_id", scores("text", "source", "lang", "n_chars").alias("s")).select("doc_id", "s.*")
+    features = stored(featured(docs, labels.select("doc_id", label), label), "cotrain-features")
+    model = learn(features, **learning)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            views = tuple(_matrix(batch.column(v + 1), v).astype(np.float64) for v in (0, 1))
+            out = [model.score(views)]
+            for k in (0, 1):
+                if model.views is None:
+                    out.append(np.full(batch.num_rows, model.rate))
+                else:
+                    out.append(1 / (1 + np.exp(-model.calibrations[k].logit(model.views[k].logit(views[k])[:, None]))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, out)], ["doc_id", "score", "text_score", "meta_score"])
+
+    kind = f"doc_id {dict(docs.dtypes)['doc_id']}, score double, text_score double, meta_score double"
+    scored = features.select("doc_id", "text_view", "meta_view").mapInArrow(scores, kind)
     return scored.withColumn("kept", F.col("score") >= threshold)

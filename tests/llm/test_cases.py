@@ -470,6 +470,35 @@ def test_classifier(spark):
     assert cotrain.classify(frame.limit(0), known).count() == 0
 
 
+def test_classifier_equals_co_training_in_memory(spark):
+    """Each round's pseudo-labels are the surest of all unlabelled rows, wherever they lie; copies count once."""
+    random = np.random.default_rng(4)
+    rows, labels = [], []
+    for k in range(1500):
+        good = random.random() < 0.6
+        share = random.random() * 0.6 + (0.4 if good else 0)
+        text = " ".join("river" if random.random() < share else "###" for _ in range(20))
+        rows.append((k, text, "en" if random.random() < (0.8 if good else 0.3) else "de", f"src{int(random.random() * 4) if good else 4}", len(text)))
+        if k < 120:
+            labels.append((k, int(good)))
+    rows += rows[1400:1420] * 3
+    docs = spark.createDataFrame(rows, DOCS).repartition(7)
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    features = cotrain.featured(docs.withColumn("n_chars", F.col("n_chars").cast("double")), known, "quality").toPandas()
+    views = [np.stack([np.frombuffer(x, np.float32) for x in features[c]]).astype(float) for c in ("text_view", "meta_view")]
+    once = features.assign(at=range(len(features)))[features["y"].isna()].drop_duplicates("key").sort_values("key")["at"].to_numpy()
+    named = features.assign(at=range(len(features)))[features["y"].notna()].sort_values(["text_view", "meta_view", "y"], kind="stable")
+    held = {r["doc_id"]: r["held"] for r in known.select("doc_id", (F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(10)) < 3).alias("held")).collect()}
+    at = named["at"].to_numpy()
+    parts = (tuple(v[at] for v in views), named["y"].to_numpy(float), named["doc_id"].map(held).to_numpy(bool))
+    model = cotrain.co_train(*parts, tuple(v[once] for v in views), per_round=60)
+    want = dict(zip(features["doc_id"], model.score(tuple(views))))
+    found = {r["doc_id"]: r["score"] for r in cotrain.classify(docs, known, per_round=60).collect()}
+    assert found.keys() == want.keys() and max(abs(found[k] - want[k]) for k in want) < 1e-6
+    alone = cotrain.co_train(*parts, tuple(v[once] for v in views), rounds=0)
+    assert max(abs(alone.score(tuple(views)) - model.score(tuple(views)))) > 0.01
+
+
 def test_each_view_teaches_the_other():
     random = np.random.default_rng(2)
 
@@ -487,6 +516,21 @@ def test_each_view_teaches_the_other():
     assert hit(taught) > 0.97 and hit(taught) >= hit(alone) - 0.005
 
 
+def test_co_training_gains_over_labels_alone():
+    """Views of one telling and eight idle numbers: few labels mislead each view, and the other one's sure rows mend it."""
+    for seed in (2, 3, 4):
+        random = np.random.default_rng(seed)
+
+        def views(n):
+            y = (random.random(n) < 0.5).astype(float)
+            return y, tuple(np.stack([y + random.normal(0, s, n), *random.normal(size=(8, n))], axis=1) for s in (0.25, 0.4))
+
+        (y, few), (_, pool), (test_y, test) = views(40), views(2000), views(2000)
+        held = np.arange(40) % 2 == 0
+        hit = lambda rounds: ((cotrain.co_train(few, y, held, pool, rounds).score(test) > 0.5) == test_y).mean()
+        assert hit(3) > hit(0) + 0.02
+
+
 def test_nearest(spark):
     random = np.random.default_rng(3)
     v = random.normal(size=(3000, 24))
