@@ -105,6 +105,7 @@ class Lattices:
         # Units up to this length are built together, with probabilities as they are, not as logarithms.
         self.short = min(48, int(600 / (power * math.log(n + 3))))
         self.trie = _Trie(pieces)
+        self.max_edges = MAX_EDGES
         self.clear()
 
     def clear(self) -> None:
@@ -391,7 +392,7 @@ class _Text:
 
 def sample_texts(lattices: Lattices, keys: np.ndarray, texts: list[str], k: int):
     """For each text up to k tuples (ids, log_prob, inclusion), greatest perturbed value first."""
-    if len(lattices.piece) > MAX_EDGES:
+    if len(lattices.piece) > lattices.max_edges:
         lattices.clear()
     units = [_UNIT.findall(" " + t) if t else [] for t in texts]
     ends = np.concatenate([[0], np.cumsum([len(x) for x in units])])
@@ -453,10 +454,12 @@ def sample_segmentations(
     seed: int = 1,
     doc_id: str = "doc_id",
     text: str = "text",
+    max_edges: int = MAX_EDGES,
 ) -> DataFrame:
     """(doc_id, sample from 1, ids, n_pieces, log_prob, inclusion, restored): up to k rows of each row.
 
-    ``restored`` says that decoding the ids gives the text (null: empty).
+    ``restored`` says that decoding the ids gives the text (null: empty).  ``max_edges`` bounds what a worker keeps of
+    lattices: more saves time, the result is the same.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.lit(seed), doc_id), F.col(text))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -465,6 +468,7 @@ def sample_segmentations(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("pieces")
         lattices = _lattices(model_path, power)
+        lattices.max_edges = max_edges
         keeps("pieces", lattices.clear)
         for batch in batches:
             ids, keys = batch.column(0), batch.column(1).to_numpy().astype(np.int64).view(np.uint64)
