@@ -455,11 +455,12 @@ def sample_segmentations(
     doc_id: str = "doc_id",
     text: str = "text",
     max_edges: int = MAX_EDGES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """(doc_id, sample from 1, ids, n_pieces, log_prob, inclusion, restored): up to k rows of each row.
 
     ``restored`` says that decoding the ids gives the text (null: empty).  ``max_edges`` bounds what a worker keeps of
-    lattices: more saves time, the result is the same.
+    lattices and ``slice_bytes`` the text it works on at once: more saves time, the result is the same.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.lit(seed), doc_id), F.col(text))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -476,7 +477,7 @@ def sample_segmentations(
             upto = np.concatenate([[0], np.cumsum(taken, dtype=np.int64)])
             start = 0
             while start < len(taken):
-                end = max(start + 1, int(np.searchsorted(upto, upto[start] + SLICE_BYTES, "right")) - 1)
+                end = max(start + 1, int(np.searchsorted(upto, upto[start] + slice_bytes, "right")) - 1)
                 part = [t or "" for t in batch.column(2).slice(start, end - start).to_pylist()]
                 found = list(sample_texts(lattices, keys[start:end], part, k))
                 owner = [start + d for d, f in enumerate(found) for _ in f]

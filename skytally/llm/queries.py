@@ -90,7 +90,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.sample_segmentations(docs, model_path("piece_bpe_32k.model"), k=2, max_edges=6_000_000)
+    return pieces.sample_segmentations(docs, model_path("piece_bpe_32k.model"), k=2, max_edges=4_000_000, slice_bytes=1_000_000)
 
 
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
