@@ -677,3 +677,53 @@ def test_language_model(spark, monkeypatch, order):
     assert [r["n_tokens"] for r in lm.score(odd, F.col("doc_id") == 1, order).collect()] == [3, 3, 3]
     none = lm.score(odd, F.lit(True), order).collect()
     assert {(r["train_tokens"], r["score"], r["base_score"]) for r in none} == {(0, 0.0, 0.0)}
+
+
+def test_language_model_of_one_hot_word_and_one_long_text(spark, monkeypatch):
+    """A word that is a third of all tokens is split; so is one before it that nearly always goes with it."""
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 300)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 60)
+    random, rounds = np.random.default_rng(3), []
+    texts = {k: " ".join(f"{w} of the" for w in random.integers(0, 30, 12)) for k in range(40)}
+    texts[40] = " ".join(f"w{w}" for w in random.zipf(1.5, 600))
+    counted = lm._counted
+
+    def noted(requests, facts):
+        rounds.append((requests.count(), facts))
+        return counted(requests, facts)
+
+    monkeypatch.setattr(lm, "_counted", noted)
+    held = {k: k % 5 == 1 for k in texts}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    out = lm.score(frame, F.col("doc_id") % 5 == 1, 3).collect()
+    want = brute_scores(texts, held, 3)
+    for r in out:
+        w = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:3]
+        assert abs(r["base_score"] - w[3]) < 1e-7 and abs(r["score"] - w[4]) < 1e-7
+    (messages, facts), = rounds
+    # Not a message per block and bucket: each holds an n-gram.
+    assert facts.split and facts.n_buckets > 30 and messages < facts.tokens
+
+
+def test_messages_of_a_block_are_bounded_by_its_n_grams():
+    """However many buckets there are, and however often words are split."""
+    random = np.random.default_rng(5)
+    words = np.sort(lm.mixed(np.arange(1, 61, dtype=np.uint64)))
+    token = random.integers(0, 60, 900) * (random.random(900) < 0.6)
+    counts = np.bincount(token, minlength=60)
+    rank = np.empty(60, np.uint32)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(60)
+    texts = lm.dump(np.arange(3), np.zeros(3, np.uint8), np.full(3, 300))
+    for n_buckets in (10, 1_000, 100_000, 10_000_000):
+        block = lm.Block(texts, lm.dump(lm._deltas(words), counts), lm.dump(rank[token]))
+        facts = lm.Facts(3, 900 * n_buckets, n_buckets)
+        keys, trained, every = block.unigrams()
+        # As if the corpus were so many times as large.
+        replies = [lm.dump(np.arange(hi - lo), trained[lo:hi], every[lo:hi] * n_buckets) for _, lo, hi in lm._runs(lm.bucket_of(keys, n_buckets))]
+        block.set_unigrams(replies, facts)
+        block.grams(facts)
+        sent = list(block.requests())
+        assert len(sent) <= len(block.counts) <= 900
+        assert sum(len(lm.load(data)[-1]) for _, data in sent) == len(block.counts)
+        assert [b for b, _ in sent] == sorted({b for b, _ in sent})
