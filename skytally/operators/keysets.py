@@ -1,12 +1,11 @@
-"""Summaries of key sets as blocked Bloom filters, made and asked with Spark's bitmap functions.
+"""Summaries of key sets as their keys' hashes, asked by a join.
 
-A set of keys has a number of bitmaps of 32,768 bits, as many as its size asks for.  A key's hash names
-one of them, and ``SET`` places in it.  So one row of the summary answers for a key: it can hold the key
-only if all its places are set.  No key that is in the set is ever denied; with ``PER_KEY`` bits a key about
-six in a million of those that aren't are not denied either.
+A summary has a row for each key: 64 bits of its hash.  A set can hold a key only if it has the key's hash, so no key
+that is in a set is ever denied, and one that isn't is only let through if two hashes meet.
 
-Summaries and keys meet in a join by (number of bitmaps, bitmap), which neither reads the keys of the
-sets nor moves anything but the asked keys and the bitmaps.
+An asked key meets the rows of its own hash and no others, however many sets there are: the work grows with the keys and
+not with keys times sets, as it would if each small set had to answer for itself.  Nothing is sorted or grouped to make
+a summary.
 """
 
 from __future__ import annotations
@@ -15,59 +14,39 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-BITS = 32768
-PER_KEY, SET = 32, 8
-#: Numbers of bitmaps grow by this factor, so that sets of like size share one and a key is asked once for all.
+#: Keys of a bucket, about; large sets are dealt over tasks by buckets.
+PER_BUCKET = 1024
+#: Numbers of buckets grow by this factor.
 STEP = 1.25
 
-SCHEMA = StructType([StructField("buckets", IntegerType()), StructField("bucket", IntegerType()), StructField("bits", BinaryType())])
+SCHEMA = StructType([StructField("buckets", IntegerType()), StructField("bucket", IntegerType()), StructField("hash", LongType())])
 
 
 def bucket_number(keys: Column) -> Column:
-    """How many bitmaps a set of so many keys has."""
-    least = F.greatest(keys * (PER_KEY / BITS), F.lit(1.0))
+    """How many buckets a set of so many keys has."""
+    least = F.greatest(keys / PER_BUCKET, F.lit(1.0))
     return F.ceil(F.pow(F.lit(STEP), F.ceil(F.log(least) / math.log(STEP)))).cast("int")
 
 
-def _bucket(key: Column, buckets: Column) -> Column:
-    return F.pmod(F.xxhash64(key), buckets).cast("int")
-
-
-def _places(key: Column) -> Column:
-    """Eight places: four runs of 15 bits of each of two hashes."""
-    hashes = [F.xxhash64(key, F.lit(seed)) for seed in range(1, SET // 4 + 1)]
-    return F.array(*[F.pmod(F.shiftrightunsigned(h, 15 * k), F.lit(BITS)) for h in hashes for k in range(4)])
-
-
 def summarise(keys: DataFrame, group: str, key: str) -> DataFrame:
-    """(group, buckets, bucket, bits) of the keys of each group; repeated keys are allowed.
+    """(group, buckets, bucket, hash) of the keys of each group; repeated keys are allowed.
 
-    Keys are counted per task before they meet; a group's bitmaps are built by as many tasks as it has bitmaps.
+    Keys are counted per task before they meet; their rows stay where they are.
     """
-    keys = keys.select(F.col(group).alias("_group"), F.col(key).alias("_key"))
+    keys = keys.select(F.col(group).alias("_group"), F.xxhash64(key).alias("hash"))
     sizes = keys.groupBy("_group").agg(bucket_number(F.count("*")).alias("buckets"))
-    placed = keys.join(sizes, "_group").select(
-        "_group", "buckets", _bucket(F.col("_key"), F.col("buckets")).alias("bucket"), F.explode(_places(F.col("_key"))).alias("_place")
-    )
-    rows = placed.groupBy("_group", "buckets", "bucket").agg(F.bitmap_construct_agg("_place").alias("bits"))
-    return rows.withColumnRenamed("_group", group)
-
-
-def _set(bits: Column, place: Column) -> Column:
-    """Whether a bit of a bitmap is set."""
-    byte = F.ascii(F.decode(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1)), "ISO-8859-1"))
-    return F.call_function("getbit", byte, F.pmod(place, F.lit(8)).cast("int")) == 1
+    rows = keys.join(F.broadcast(sizes), "_group")
+    return rows.select(F.col("_group").alias(group), "buckets", F.pmod("hash", "buckets").cast("int").alias("bucket"), "hash")
 
 
 def may_hold(summaries: DataFrame, group: str, keys: DataFrame, key: str, buckets: list[int]) -> DataFrame:
-    """The distinct groups that may hold one of the keys.  ``buckets``: the numbers of bitmaps in use."""
-    asked = keys.select(F.col(key).alias("_key")).distinct().withColumn("buckets", F.explode(F.array(*[F.lit(b) for b in sorted(set(buckets))])))
-    asked = asked.select("buckets", _bucket(F.col("_key"), F.col("buckets")).alias("bucket"), _places(F.col("_key")).alias("_places"))
-    met = summaries.join(asked, ["buckets", "bucket"])
-    held = [_set(F.col("bits"), F.col("_places")[k]) for k in range(SET)]
-    all_set = held[0]
-    for one in held[1:]:
-        all_set = all_set & one
-    return met.filter(all_set).select(group).distinct()
+    """The distinct groups that may hold one of the keys.  ``buckets``: the numbers of buckets in use.
+
+    A summary of another form, as older tables have it, says nothing: its group may hold any key.
+    """
+    summaries = summaries.filter(F.col("buckets").isin(sorted(set(buckets))))
+    asked = keys.select(F.xxhash64(key).alias("hash")).distinct()
+    held = summaries.join(asked, "hash", "left_semi").select(group)
+    return held.union(summaries.filter("hash IS NULL").select(group)).distinct()

@@ -34,10 +34,14 @@ from skytally.session import shared_dir
 from skytally.sources import files
 
 
+#: Folders that one task writes, where a table has many segments.
+FOLDERS_PER_TASK = 64
+
+
 class Entry(NamedTuple):
     """One line of a table's list.
 
-    ``base``: the folder of a segment.  ``keys``: that of its key summary, ``number`` bitmaps.  ``delta``: the folder of
+    ``base``: the folder of a segment.  ``keys``: that of its key summary, of ``number`` buckets.  ``delta``: the folder of
     a writer's batch, by arrival.  ``folded``: batches ``first`` to ``number`` of a writer are in the base.  ``batch``: the
     folder of a run, with its time in seconds as ``first``.  ``view``: a view that follows the table.
     """
@@ -148,7 +152,14 @@ class _Stored:
         if not folders:
             return None
         paths = [f"{self.path}/{f}" for f in folders]
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{top}").parquet(*paths)
+        # Folders are listed by a few tasks, each many: a task of its own for each costs more than the listing.
+        key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(min(int(before), 4 * self.spark.sparkContext.defaultParallelism)))
+        try:
+            return self.spark.read.schema(schema).option("basePath", f"{self.path}/{top}").parquet(*paths)
+        finally:
+            self.spark.conf.set(key, before)
 
 
 def _attempt() -> str:
@@ -312,18 +323,15 @@ class KeyedTable(_Stored):
         rows = rows.selectExpr("*", f"bigint({self.spec.segment}) AS segment")
         (
             rows.withColumn("attempt", F.lit(attempt.split("=")[1]))
-            .repartitionByRange(*order)
+            .repartitionByRange(*self._tasks(len(touched)), *order)
             .sortWithinPartitions(*order)
             .write.mode("append")
             .partitionBy("segment", "attempt")
             .parquet(f"{self.path}/base")
         )
         # Readers move over with the list; a touched segment without rows is in it no more.
-        written = [
-            Entry("base", f"base/segment={s}/{attempt}", segment=s)
-            for s in sorted(touched)
-            if files.exists(self.spark, f"{self.path}/base/segment={s}/{attempt}")
-        ]
+        found = files.parents(self.spark, f"{self.path}/base", attempt)
+        written = [Entry("base", f"base/segment={s}/{attempt}", segment=s) for s in sorted(touched) if f"segment={s}" in found]
         written += self._summarised(written, attempt)
         folded: dict[str, list[tuple[int, int]]] = {}
         for e in state.of("folded"):
@@ -334,13 +342,21 @@ class KeyedTable(_Stored):
         gone = lambda e: e.kind in ("delta", "folded") or e.kind in ("base", "keys") and e.segment in touched
         self._commit(state.without(gone).plus(*written, *ranges))
 
+    def _tasks(self, segments: int) -> list[int]:
+        """The number of tasks that write so many segments, if it is they that count: each is a folder and takes its time,
+        however few its bytes.  Of few segments the bytes count, and Spark finds the number by them."""
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return [max(least, math.ceil(segments / FOLDERS_PER_TASK))] if segments >= least else []
+
     def _summarised(self, written: list[Entry], attempt: str) -> list[Entry]:
         """Write the key summaries of the segments just written."""
         rows = self._base(written)
         if rows is None:
             return []
         summary = keysets.summarise(rows, "segment", self.spec.key).withColumn("attempt", F.lit(attempt.split("=")[1]))
-        summary.repartition("segment").write.mode("append").partitionBy("segment", "attempt").parquet(f"{self.path}/keys")
+        # A large segment's summary is dealt over tasks too.
+        dealt = summary.repartition(*self._tasks(len(written)), "segment", F.floor(F.col("bucket") / 1024))
+        dealt.write.mode("append").partitionBy("segment", "attempt").parquet(f"{self.path}/keys")
         schema = StructType([*keysets.SCHEMA.fields]).add("segment", LongType()).add("attempt", StringType())
         folders = [f"keys/segment={e.segment}/{attempt}" for e in written]
         sizes = self._read("keys", folders, schema).groupBy("segment").agg(F.max("buckets").alias("buckets"))

@@ -23,6 +23,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(place)) if system.exists(place) else []
 
 
+def parents(spark: SparkSession, path: str, name: str) -> set[str]:
+    """Names of the folders in a folder that hold something of the given name: one call, however many they are."""
+    system, place = _open(spark, f"{path}/*/{name}")
+    return {f.getPath().getParent().getName() for f in system.globStatus(place) or ()}
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, place = _open(spark, path)
     system.delete(place, True)

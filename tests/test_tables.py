@@ -481,3 +481,32 @@ def test_maintained_counts_equal_a_full_pass(spark, tmp_path, monkeypatch):
     table.compact()
     table.retire(keep=1)
     assert rows(counts.refresh()) == full()
+
+
+def test_many_segments_are_written_by_many_tasks(spark, tmp_path):
+    spec = replace(schemas.FLIGHT, segment="time div 10")
+    table = KeyedTable(spark, str(tmp_path), spec)
+    for n in range(2):
+        table.upsert(messages(spark, [(f"k{i}", 10 * i + n) for i in range(40)]), n, "arrival")
+        table.compact()
+    assert len(table._state().of("base")) == 40 and len(state(table)) == 40
+    for top in ("base", "keys"):
+        attempts = {}
+        for f in Path(table.path, top).glob("segment=*/attempt=*/part-*.parquet"):
+            attempts.setdefault(f.parent.name, set()).add(f.name.split("-")[1])
+        # Four shuffle partitions; before, one task wrote what is small.
+        assert [len(tasks) for tasks in attempts.values()] == [4, 4]
+
+
+def test_summaries_grow_with_keys_alone(spark):
+    from skytally.operators import keysets
+
+    keys = spark.range(4000).select((F.col("id") % 400).alias("segment"), F.concat(F.lit("k"), "id").alias("key"))
+    summary = keysets.summarise(keys, "segment", "key").cache()
+    # An asked key meets the rows of its own hash, not a row of each set.
+    assert summary.count() == 4000 and summary.select("hash").distinct().count() == 4000
+    wanted = keys.filter("key IN ('k7', 'k1207', 'k8')")
+    assert rows(keysets.may_hold(summary, "segment", wanted, "key", [1])) == [(7,), (8,)]
+    # A summary as older tables have it, without hashes, denies nothing.
+    older = summary.union(spark.sql("SELECT 999L, 1, 0, CAST(NULL AS LONG)"))
+    assert rows(keysets.may_hold(older, "segment", wanted, "key", [1])) == [(7,), (8,), (999,)]
