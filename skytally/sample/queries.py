@@ -795,6 +795,8 @@ def reference_objects(spark, sf_dir):
         views.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     objects = suppliers.select(F.to_json(F.create_map(F.col("s_suppkey").cast("string"), entry)).alias("value"))
+    # By number: each row becomes a file, so it is not their bytes that count.
+    objects = objects.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     objects.write.option("maxRecordsPerFile", 1).text(f"{root}/objects")
     found = read_reference_object(spark, f"{root}/objects", "map<string, string>")
     write_reference(found, f"{root}/lines", "key", "value")

@@ -53,3 +53,13 @@ def test_reference_objects_are_written_by_all_tasks(spark, monkeypatch):
 
     monkeypatch.setattr(type(spark.range(0)), "coalesce", single)
     assert QUERIES["reference_objects"](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_reference_objects_are_dealt_over_tasks(spark, monkeypatch, tmp_path):
+    from skytally.sample import queries
+
+    monkeypatch.setattr(queries, "shared_dir", lambda s, purpose: str(tmp_path))
+    assert QUERIES["reference_objects"](spark, "/root/testdata/sf0.001").count() > 0
+    files = [f.name for f in (tmp_path / "objects").glob("part-*")]
+    # One object a file; before, a small table was one split, so one task wrote them all.
+    assert len({f.split("-")[1] for f in files}) == 4 and len(files) > 4
