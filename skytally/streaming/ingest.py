@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,9 @@ from skytally.operators.tables import KeyedTable
 from skytally.sources.feeds import in_batch
 from skytally.streaming.messages import decode, to_messages
 
+#: Messages that one task decodes, where a batch is spread.
+PER_TASK = 250_000
+
 
 def ingest_batch(
     messages: DataFrame,
@@ -63,7 +67,8 @@ def ingest(
     """Run the stream of (value, arrival) into the table.
 
     The checkpoint holds the position, so a restart goes on where the last finished batch ended.
-    ``partitions`` spreads a batch's messages over so many tasks where the source has few splits.
+    ``partitions`` spreads a batch's messages over so many tasks where the source has few splits, and over more where
+    these would have more than ``PER_TASK`` messages each; for that the batch is counted first.
     ``compact_every`` folds the deltas after so many batches and removes folders that none of the last ``keep`` lists
     names: as many lists as the longest reader may take (a batch makes one, a compaction another).
     ``after_batch`` may run queries over the new state.
@@ -77,7 +82,7 @@ def ingest(
     def run(batch: DataFrame, batch_id: int) -> None:
         # Where arrivals are equal (lines of one file), the order of reading decides.
         numbered = in_batch(batch).withColumn("arrival", F.struct("arrival", F.monotonically_increasing_id().alias("row")))
-        spread = numbered.repartition(partitions) if partitions else numbered
+        spread = numbered.repartition(max(partitions, math.ceil(batch.count() / PER_TASK))) if partitions else numbered
         writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         ingest_batch(spread, table, batch_id, quarantine, on_bad, writer)
         if compact_every and (batch_id + 1) % compact_every == 0:

@@ -174,3 +174,17 @@ def test_details_that_come_late_or_never(spark, tmp_path):
     land(tmp_path / "list", "2", {"id": "end", "time": 9000}, at=3)
     land(tmp_path / "details", "3", {"id": "end", "time": 9000, "model": "e"}, at=3)
     assert ("c", 120, None) in drained(stream(), tmp_path / "run")
+
+
+def test_large_batch_is_spread_over_more_tasks(spark, tmp_path, monkeypatch):
+    from skytally.streaming import ingest as module
+
+    monkeypatch.setattr(module, "PER_TASK", 10)
+    tasks, batch = [], module.ingest_batch
+    monkeypatch.setattr(module, "ingest_batch", lambda m, *a: (tasks.append(m.rdd.getNumPartitions()), batch(m, *a)))
+    folder, table = tmp_path / "in", KeyedTable(spark, str(tmp_path / "w"), schemas.FLIGHT)
+    land(folder, "a.txt", *[message(id=f"a{i}", time=i) for i in range(35)], at=1000)
+    run(spark, folder, table, partitions=2)
+    land(folder, "b.txt", message(id="a1", time=50), at=2000)
+    run(spark, folder, table, partitions=2)
+    assert tasks == [4, 2] and table.read().count() == 35
