@@ -8,6 +8,9 @@ from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 CELL_ROWS = ArrayType(ArrayType(StringType()))
 
+#: Offsets of a topic's partition that one task puts in order.
+RANGE = 1 << 14
+
 # Order of files by landing time, and of the splits of a file.
 _FILE = ("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start")
 
@@ -72,15 +75,26 @@ def topic_arrival(raw: DataFrame) -> DataFrame:
 def in_batch(messages: DataFrame) -> DataFrame:
     """The rows of one batch with an ``arrival`` that never goes back within a partition of the topic.
 
-    Each time is raised to the greatest one before it in its partition: a window over the topic's partition,
-    which one task reads in the order of offsets, as it does from the topic.
+    Each time is raised to the greatest one before it in its partition: the greatest before it in its range of
+    offsets, and that of the ranges before, of which there is one row each.  So a partition's messages are shared by as
+    many tasks as it has ranges.
     """
     fields = messages.schema["arrival"].dataType
     if "offset" not in getattr(fields, "names", ()):
         return messages
-    so_far = Window.partitionBy("arrival.partition").orderBy("arrival.offset")
-    time = F.max("arrival.timestamp").over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return messages.withColumn("_time", time).select(
+    places = messages.select(
+        F.col("arrival.partition").alias("_part"), F.floor(F.col("arrival.offset") / RANGE).alias("_range"), "arrival.timestamp"
+    )
+    greatest = places.groupBy("_part", "_range").agg(F.max("timestamp").alias("_greatest"))
+    before = Window.partitionBy("_part").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    greatest = greatest.select("_part", "_range", F.max("_greatest").over(before).alias("_before"))
+    ranges = messages.withColumn("_p", F.col("arrival.partition")).withColumn("_r", F.floor(F.col("arrival.offset") / RANGE))
+    so_far = Window.partitionBy("_p", "_r").orderBy("arrival.offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = ranges.withColumn("_within", F.max("arrival.timestamp").over(so_far))
+    same = F.col("_p").eqNullSafe(F.col("_part")) & F.col("_r").eqNullSafe(F.col("_range"))
+    # One row for a range: few enough to be sent to all tasks.
+    met = ranges.join(F.broadcast(greatest), same, "left")
+    return met.withColumn("_time", F.greatest("_before", "_within")).select(
         *[c for c in messages.columns if c != "arrival"],
         F.struct(F.col("_time").alias("timestamp"), "arrival.partition", "arrival.offset").alias("arrival"),
     )

@@ -112,3 +112,25 @@ def test_messages_with_holes_are_not_landed(spark, tmp_path):
     rows = spark.range(3).selectExpr("cast('x' as binary) value", "0 partition", "id * 2 offset", "timestamp_seconds(0) timestamp")
     with pytest.raises(Exception, match="holes or repeated offsets"):
         land_topic(rows, str(tmp_path))
+
+
+def test_partition_is_put_in_order_by_many_tasks(spark, monkeypatch):
+    from skytally.sources import feeds
+
+    monkeypatch.setattr(feeds, "RANGE", 4)
+    small = "spark.sql.adaptive.coalescePartitions.enabled"
+    stamps = [5, 3, None, 9, 1, 2, 10, 4, 4, 4, None, 12, 1]
+    sent = [(str(o).encode(), p, o, t) for p in (0, None) for o, t in enumerate(stamps)]
+    raw = spark.createDataFrame(sent, "value binary, partition int, offset long, t long").withColumn("timestamp", F.timestamp_seconds("t"))
+    found = feeds.in_batch(feeds.topic_arrival(raw)).withColumn("task", F.spark_partition_id())
+    spark.conf.set(small, "false")
+    try:
+        got = found.select("arrival.partition", "arrival.offset", F.unix_timestamp("arrival.timestamp").alias("t"), "task").collect()
+    finally:
+        spark.conf.unset(small)
+    want = [max(t for t in stamps[: o + 1] if t is not None) for o in range(len(stamps))]
+    for part in (0, None):
+        mine = sorted((r for r in got if r["partition"] == part), key=lambda r: r["offset"])
+        assert [r["t"] for r in mine] == want
+        # Before, one task had all of a partition.
+        assert len({r["task"] for r in mine}) > 1
