@@ -106,6 +106,7 @@ def order_rules(
         return list(rules)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        begin("rules")
         for batch in batches:
             for k, rule in enumerate(rules):
                 start = time.perf_counter()
