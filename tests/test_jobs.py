@@ -233,3 +233,37 @@ def test_hot_fan_out_is_spread(spark, airports, monkeypatch):
         assert total(found) == total(plain)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_route_repeats_few_rows(spark, airports, monkeypatch):
+    """However many airports share a code, a flight is repeated for a number of tiles that the partitions set."""
+    others = spark.range(400).selectExpr(
+        "if(id % 7 = 3, NULL, concat('J', id % 390)) icao", "0 altitude", "'x' country", "'' iata", "float(id % 90) latitude",
+        "if(id % 11 = 0, NULL, float(id % 80)) longitude", "concat('n', id) name", "'Asia' continent",
+    )
+    places = airports.unionByName(others)
+    moving = spark.range(40).selectExpr(
+        "string(id % 30) id", "'AA' airline_iata", "'AAA' airline_icao", "CASE WHEN id < 6 THEN '' WHEN id % 9 > 0 THEN 'P1' END"
+        " origin_airport_iata", "if(id < 4, '', 'P2') destination_airport_iata", f"{AS_OF} time",
+    )
+    repeated, deal = [], jobs.for_each_tile
+    monkeypatch.setattr(jobs, "for_each_tile", lambda *args: repeated.append(deal(*args)) or repeated[-1])
+    monkeypatch.setattr(jobs, "HOT_TILE", 1)
+    found = jobs.airport_and_zone_transition(moving, places, AS_OF)
+    # Four partitions: 8 x 8 tiles, of 401 x 401 airports.  Two flights are from '' to P2, which has two airports.
+    assert max(df.count() for df in repeated) <= 4 * 8 * 8 + 2 * 8 * 2 + 34 * 2
+    monkeypatch.setattr(jobs, "HOT_TILE", 10**9)
+    plain = jobs.airport_and_zone_transition(moving, places, AS_OF)
+    total = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first()
+    assert total(found) == total(plain) and total(found)[0] > 4 * 401 * 401
+
+
+@pytest.mark.parametrize("tile", [1, 10**9])
+def test_length_is_rounded_once_per_route(spark, flights, airports, monkeypatch, tile):
+    """Rounded for each route, below the join that makes a row of every flight; the same numbers as rounded after it."""
+    monkeypatch.setattr(jobs, "HOT_TILE", tile)
+    found = jobs.airport_and_zone_transition(flights, airports, AS_OF, decimals=1)
+    after = jobs.airport_and_zone_transition(flights, airports, AS_OF)
+    assert rows(found) == rows(after.withColumn("distance_km", F.round(F.col("distance_km").cast("double"), 1)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan[: plan.index("Join Inner")]
